@@ -6,7 +6,6 @@ The expressions are stateless, so they serve batch frames and streams alike.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +21,8 @@ REQUIRED_WTL = ("session_id", "page", "timestamp")
 
 def carries(text: Column, required: Sequence[str]) -> Column:
     """True where the text is a JSON object with all the fields, null where it is no object."""
-    present = F.json_object_keys(text)
-    return reduce(lambda a, b: a & b, [F.array_contains(present, name) for name in required])
+    absent = F.array_except(F.array(*[F.lit(name) for name in required]), F.json_object_keys(text))
+    return absent == F.array().cast("array<string>")
 
 
 def encode(text: Column) -> Column:
@@ -37,7 +36,9 @@ def decode_envelopes(
     """Replace the envelope by the fields of its record and say what became of it.
 
     Outcomes: ``valid``, ``empty``, ``bad_base64``, ``bad_utf8``, ``bad_json`` and
-    ``missing_field``. Only valid records have fields; nothing is dropped.
+    ``missing_field``. Only valid records have fields; nothing is dropped. The result
+    comes out of a one-element ``inline``, which later filters on the outcome do not
+    pass, so that each envelope is opened and parsed once.
     """
     raw = F.col(column)
     binary = F.try_to_binary(raw, F.lit("base64"))
@@ -52,11 +53,12 @@ def decode_envelopes(
         .when(~complete, "missing_field")
         .otherwise(VALID)
     )
-    parsed = opened.withColumn(OUTCOME, outcome).withColumn(
+    judged = opened.withColumn(OUTCOME, outcome).withColumn(
         "_record", F.when(F.col(OUTCOME) == VALID, F.from_json(text, schema))
     )
+    fields = [F.col(f"_record.{name}").alias(name) for name in schema.names]
     others = [c for c in df.columns if c != column]
-    return parsed.select(*others, OUTCOME, *[F.col(f"_record.{n}").alias(n) for n in schema.names])
+    return judged.select(*others, F.inline_outer(F.array(F.struct(OUTCOME, *fields))))
 
 
 def valid_records(decoded: DataFrame) -> DataFrame:

@@ -143,7 +143,8 @@ def live_records(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         return F.to_json(F.struct(*chosen), {"ignoreNullFields": "false"})
 
     text = F.when(_every("event_id", 17, 3), written(without="interaction_type")).otherwise(written())
-    return events.select(text.alias("value"), *keep)
+    # The one-element explode keeps later filters from repeating the whole expression.
+    return events.select(F.explode_outer(F.array(text)).alias("value"), *keep)
 
 
 NOT_UTF8 = "//79"  # base64 of the bytes FF FE FD
@@ -160,4 +161,5 @@ def live_envelopes(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         .otherwise(encode(text))
     )
     carried = list(dict.fromkeys([*keep, "event_id"]))
-    return live_records(events, carried).select(sent.alias("data"), *keep)
+    records = live_records(events, carried)
+    return records.select(F.explode_outer(F.array(sent)).alias("data"), *keep)
