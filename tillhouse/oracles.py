@@ -178,9 +178,11 @@ def calendar(column: str, hour: bool) -> str:
     return ", ".join(f"CAST({p}({column}) AS INTEGER) AS {p}" for p in parts)
 
 
-POS_COLUMNS = f"""transaction_id, store_id, product_id, quantity,
-  {number('revenue', 'revenue')}, {number('discount_applied', 'discount_applied')},
-  {number('net_revenue', 'net_revenue')}, {calendar('timestamp', hour=False)},
+POS_MONEY = ", ".join(
+    f"CAST({c} AS DOUBLE) AS {c}" for c in ("revenue", "discount_applied", "net_revenue")
+)
+POS_COLUMNS = f"""transaction_id, store_id, product_id, quantity, {POS_MONEY},
+  {calendar('timestamp', hour=False)},
   {iso_time()}, {iso_date()}"""
 INVENTORY_COLUMNS = f"""inventory_id, product_id, warehouse_id, stock_level, restock_threshold,
   needs_restock, {calendar('last_updated', hour=True)}, {iso_time('last_updated')}"""
@@ -508,7 +510,7 @@ FROM turned FULL JOIN state USING (product_id)"""
 # --- streams -----------------------------------------------------------------------
 
 ORACLES["stream_landing_hourly"] = f"""
-SELECT event_id, event_id % 17 <> 3 AS accepted, CAST(event_id AS VARCHAR) AS partition_key,
+SELECT event_id, event_id % 17 <> 3 AS accepted, CAST(user_id AS VARCHAR) AS partition_key,
   concat('{{"customer_id":', user_id,
     CASE WHEN event_id % 17 = 3 THEN ''
       ELSE concat(',"interaction_type":"', {INTERACTION_TYPE}, '"') END,
@@ -518,8 +520,7 @@ SELECT event_id, event_id % 17 <> 3 AS accepted, CAST(event_id AS VARCHAR) AS pa
     ',"message_excerpt":', CASE WHEN event_id % 5 = 0 THEN 'null'
       ELSE coalesce('"' || replace(props, '"', '\\"') || '"', 'null') END,
     ',"timestamp":', CASE WHEN event_id % 19 = 0 THEN 'null'
-      ELSE CAST(epoch_us(ts) // 1000000 AS VARCHAR) END, '}}') AS value,
-  {calendar('ts', hour=True)}
+      ELSE CAST(epoch_us(ts) // 1000000 AS VARCHAR) END, '}}') AS value
 FROM events"""
 
 # Groups are emitted once the newest event is ten minutes past them.
@@ -589,9 +590,7 @@ salted AS (
 SELECT {WTL_COLUMNS.replace('user_id, hashed', 'hashed')} FROM salted"""
 
 ORACLES["team_view_sales_store"] = f"""WITH {POS}
-SELECT transaction_id, store_id, product_id, quantity, {number('revenue', 'revenue')},
-  {number('discount_applied', 'discount_applied')}, {number('net_revenue', 'net_revenue')},
-  {iso_date()}
+SELECT transaction_id, store_id, product_id, quantity, {POS_MONEY}, {iso_date()}
 FROM pos WHERE store_id IN (
   SELECT s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'EUROPE')"""

@@ -33,6 +33,7 @@ from tillhouse.sinks.tables import upsert, write_partitioned
 from tillhouse.sources import envelopes, feeds, json_files, tables
 from tillhouse.streaming import event_time
 from tillhouse.streaming import landing as stream_landing
+from tillhouse.streaming import support as stream_support
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -48,7 +49,8 @@ LATENESS = "10 minutes"
 
 
 def tabular(df: DataFrame) -> DataFrame:
-    """Dates and times as ISO text, floating numbers as doubles with six decimals."""
+    """Dates and times as ISO text, numbers as doubles, computed
+    ones rounded to six decimals."""
     shown = []
     for field in df.schema:
         column = F.col(field.name)
@@ -56,8 +58,10 @@ def tabular(df: DataFrame) -> DataFrame:
             column = F.date_format(column, "yyyy-MM-dd")
         elif isinstance(field.dataType, T.TimestampType):
             column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
-        elif isinstance(field.dataType, T.FloatType | T.DoubleType | T.DecimalType):
-            column = F.round(column.cast("double"), 6)
+        elif isinstance(field.dataType, T.FloatType | T.DecimalType):
+            column = column.cast("double")
+        elif isinstance(field.dataType, T.DoubleType):
+            column = F.round(column, 6)
         shown.append(column.alias(field.name))
     return df.select(*shown)
 
@@ -430,28 +434,30 @@ def mart_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_landing_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Live records screened and landed by hour, refused ones apart, both read back."""
-    records = feeds.live_records(event_stream(spark, sf_dir), keep=["event_id", "ts"])
+    """Live records screened and landed in folders of their arrival hour, refused ones
+    apart, both read back. The hour is that of the run and not part of the result."""
+    records = feeds.live_records(event_stream(spark, sf_dir), keep=["event_id"])
     screened = stream_landing.screen(records, envelopes.REQUIRED_CRM)
-    keyed = stream_landing.with_partition_key(screened, "event_id")
-    hourly = stream_landing.with_arrival_hour(keyed, F.col("ts").cast("timestamp")).drop("ts")
+    keyed = stream_landing.with_partition_key(screened, "customer_id")
+    hourly = stream_landing.with_arrival_hour(keyed)
     good = caught_up(spark, hourly.where("accepted"), "stream-good")
     bad = caught_up(spark, hourly.where("NOT accepted"), "stream-refused")
-    schema = hourly.schema
-    landed = [json_files.read_json_lines(spark, path, schema) for path in (good, bad)]
-    return landed[0].unionByName(landed[1])
+    landed = [json_files.read_json_lines(spark, path, hourly.schema) for path in (good, bad)]
+    return landed[0].unionByName(landed[1]).drop(*stream_landing.HOURLY)
 
 
 @query
 def stream_support_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Support figures of each micro-batch of the envelope stream."""
-    live = envelopes.valid_records(decoded(event_stream(spark, sf_dir)))
-    path = caught_up(
-        spark, stream_landing.with_batch_time(live), "support-batches",
-        file_format="parquet", partitions=(),
-    )
-    landed = spark.read.parquet(path)
-    return support.support_snapshot(landed, stamp="batch_time").drop("batch_time")
+    """Support figures of each micro-batch of the envelope stream, stored once each."""
+    folder = working_folder(spark, "support-batches")
+    envelope_stream = feeds.live_envelopes(event_stream(spark, sf_dir))
+    stream_support.start_live_landing(
+        envelope_stream, f"{folder}/landed", f"{folder}/checkpoint",
+        trigger=stream_landing.UNTIL_CAUGHT_UP,
+    ).awaitTermination()
+    for _ in range(2):
+        stream_support.store_batch_figures(spark, f"{folder}/landed", f"{folder}/figures")
+    return spark.read.parquet(f"{folder}/figures").drop("batch_time")
 
 
 def _timed(stream: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillhouse.functions.columns import holds
+
 OUTCOME = "outcome"
 VALID = "valid"
 
@@ -40,21 +42,29 @@ def decode_envelopes(
     comes out of a one-element ``inline``, which later filters on the outcome do not
     pass, so that each envelope is opened and parsed once.
     """
-    raw = F.col(column)
-    binary = F.try_to_binary(raw, F.lit("base64"))
-    opened = df.withColumn("_text", F.try_validate_utf8(binary.cast("string")))
-    text = F.col("_text")
-    complete = carries(text, required)
+    raw, binary, text = F.col(column), F.col("_binary"), F.col("_text")
+    complete, records = F.col("_complete"), F.col("_records")
+    # Each step is a column of its own, since every one is needed more than once. The
+    # record is parsed as the only element of an array, which fails on text after it.
+    opened = (
+        df.withColumn("_binary", F.try_to_binary(raw, F.lit("base64")))
+        .withColumn("_text", F.try_validate_utf8(binary.cast("string")))
+        .withColumn("_complete", carries(text, required))
+        .withColumn(
+            "_records",
+            F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema)),
+        )
+    )
     outcome = (
         F.when(raw.isNull() | (raw == ""), "empty")
         .when(binary.isNull(), "bad_base64")
         .when(text.isNull(), "bad_utf8")
-        .when(complete.isNull(), "bad_json")
+        .when(complete.isNull() | ~holds(F.size(records) == 1), "bad_json")
         .when(~complete, "missing_field")
         .otherwise(VALID)
     )
     judged = opened.withColumn(OUTCOME, outcome).withColumn(
-        "_record", F.when(F.col(OUTCOME) == VALID, F.from_json(text, schema))
+        "_record", F.when(F.col(OUTCOME) == VALID, F.get(records, 0))
     )
     fields = [F.col(f"_record.{name}").alias(name) for name in schema.names]
     others = [c for c in df.columns if c != column]

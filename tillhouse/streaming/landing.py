@@ -53,13 +53,13 @@ def with_arrival_hour(stream: DataFrame, arrival: Column | None = None) -> DataF
     )
 
 
-def with_partition_key(stream: DataFrame, key: str) -> DataFrame:
-    """Key that a stream of records is divided by.
+def with_partition_key(stream: DataFrame, field: str, column: str = "value") -> DataFrame:
+    """Field of the record that a stream is divided by (customer or session).
 
     Kept as a column only. Order within a key is that of the event time, so the rows of
     one key need not travel through one task.
     """
-    return stream.withColumn("partition_key", F.col(key).cast("string"))
+    return stream.withColumn("partition_key", F.get_json_object(column, f"$.{field}"))
 
 
 def start_landing(
