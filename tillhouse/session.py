@@ -46,10 +46,11 @@ def working_folder(spark: SparkSession, purpose: str) -> str:
     Executors on other machines read what is written here, so a machine-local folder
     is used only where the setting is absent and the master is local.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors reach")
         shared = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        context.setCheckpointDir(shared)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
 
 
@@ -20,6 +22,14 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
 
+def partition_folders(spark: SparkSession, path: str, partitions: Sequence[str]) -> set[str]:
+    """Partition folders below a table root, relative to it (``year=2024/month=5``)."""
+    file_system, root = _locate(spark, path)
+    pattern = "/".join(f"{name}=*" for name in partitions)
+    found = file_system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, pattern)) or []
+    return {"/".join(f.getPath().toString().split("/")[-len(partitions):]) for f in found}
+
+
 def remove(spark: SparkSession, path: str) -> None:
     file_system, hadoop_path = _locate(spark, path)
     file_system.delete(hadoop_path, True)

@@ -39,7 +39,7 @@ def land(
     """
     partitions = HOURLY if hourly else DAILY
     arriving = with_arrival(rows, arrived_at, hourly)
-    finish_pending(spark, path, partitions)
+    finish_pending(spark, path, arriving.schema, partitions)
     if arriving.isEmpty():
         return
     if not folders.exists(spark, path):
@@ -51,7 +51,7 @@ def land(
         landed = landed.where(F.col(name) == getattr(arrived_at, name))
     names = rows.select("source_file").distinct()
     others = landed.join(names, "source_file", "left_anti").select(*arriving.columns)
-    replace_partitions(spark, path, others.unionByName(arriving), partitions, [target])
+    replace_partitions(spark, path, others.unionByName(arriving), partitions, {target})
 
 
 def latest_objects(records: DataFrame, keys: list[str], arrival: str) -> DataFrame:

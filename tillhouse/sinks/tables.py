@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillhouse.operators.merging import merge_frames
 from tillhouse.operators.screening import with_complete_key
@@ -34,18 +35,30 @@ def write_partitioned(
     rows.write.mode("overwrite").partitionBy(*partitions).parquet(path)
 
 
+# Fixed value: how Spark spells a null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _folder(partitions: Sequence[str]) -> Column:
-    """Partition folder below the table root, as Spark spells it for integers."""
-    return F.concat_ws("/", *[F.concat(F.lit(f"{p}="), F.col(p).cast("string")) for p in partitions])
+    """Partition folder below the table root, as Spark spells it for integers and null."""
+    levels = [
+        F.concat(F.lit(f"{p}="), F.coalesce(F.col(p).cast("string"), F.lit(NULL_PARTITION)))
+        for p in partitions
+    ]
+    return F.concat_ws("/", *levels)
 
 
-def _listed(df: DataFrame, partitions: Sequence[str]) -> list[str]:
-    """Partition folders that occur in the frame.
+def _listed(df: DataFrame, partitions: Sequence[str]) -> set[str]:
+    """Partition folders the rows of a frame belong to.
 
-    This reaches the driver, as Spark's own file listing does: one entry per folder.
+    These reach the driver as Spark's own file listing does, one entry per folder.
     """
     rows = df.select(_folder(partitions).alias("folder")).distinct().collect()
-    return sorted(row.folder for row in rows)
+    return {row.folder for row in rows}
+
+
+def _pending(path: str) -> str:
+    return f"{path.rstrip('/')}__pending"
 
 
 def replace_partitions(
@@ -53,31 +66,31 @@ def replace_partitions(
     path: str,
     content: DataFrame,
     partitions: Sequence[str],
-    touched: list[str],
+    touched: set[str],
 ) -> None:
     """Make ``content`` all there is in the ``touched`` partition folders."""
     pending = _pending(path)
     write_partitioned(content, f"{pending}/content", partitions, gather=len(touched) > 1)
-    listing = spark.createDataFrame([(t,) for t in touched], "folder string")
+    listing = spark.createDataFrame([(folder,) for folder in sorted(touched)], "folder string")
     listing.write.mode("overwrite").parquet(f"{pending}/touched")
-    finish_pending(spark, path, partitions)
+    finish_pending(spark, path, content.schema, partitions)
 
 
-def finish_pending(spark: SparkSession, path: str, partitions: Sequence[str]) -> None:
+def finish_pending(
+    spark: SparkSession, path: str, schema: T.StructType, partitions: Sequence[str]
+) -> None:
     """Publish a change that was fully written aside; do nothing without one."""
     pending = _pending(path)
     if not folders.is_complete(spark, f"{pending}/touched"):
         return
     touched = {r.folder for r in spark.read.parquet(f"{pending}/touched").collect()}
-    filled: set[str] = set()
-    if _has_partitions(spark, f"{pending}/content", partitions):
-        content = spark.read.parquet(f"{pending}/content")
-        filled = set(_listed(content, partitions))
-        rows = content
+    filled = folders.partition_folders(spark, f"{pending}/content", partitions)
+    if filled:
+        content = spark.read.schema(schema).parquet(f"{pending}/content")
         if len(filled) > 1:
-            rows = content.hint("rebalance", *[F.col(p) for p in partitions])
+            content = content.hint("rebalance", *[F.col(p) for p in partitions])
         (
-            rows.write.mode("overwrite")
+            content.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partitions)
             .parquet(path)
@@ -89,18 +102,8 @@ def finish_pending(spark: SparkSession, path: str, partitions: Sequence[str]) ->
     spark.catalog.refreshByPath(path)
 
 
-def _pending(path: str) -> str:
-    return f"{path.rstrip('/')}__pending"
-
-
-def _has_partitions(spark: SparkSession, path: str, partitions: Sequence[str]) -> bool:
-    """False for a written folder that got no row at all, which has no partition column."""
-    try:
-        return set(partitions) <= set(spark.read.parquet(path).columns)
-    except Exception as error:  # an empty folder has no schema to infer
-        if "UNABLE_TO_INFER_SCHEMA" in str(error):
-            return False
-        raise
+def _same_columns(found: T.StructType, expected: T.StructType) -> bool:
+    return [(f.name, f.dataType) for f in found] == [(f.name, f.dataType) for f in expected]
 
 
 def upsert(spark: SparkSession, path: str, updates: DataFrame, table: SilverTable) -> None:
@@ -110,7 +113,9 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, table: SilverTabl
     quarantine). Only partitions that receive an update, or that hold the old version
     of an updated row, are rewritten. Errors are raised and the table stays.
     """
-    finish_pending(spark, path, table.partitions)
+    if not _same_columns(updates.schema, table.schema):
+        raise ValueError(f"updates for {table.name} have columns {updates.schema.simpleString()}")
+    finish_pending(spark, path, table.schema, table.partitions)
     keyed = keep_newest(
         with_complete_key(updates, table.keys), table.keys, table.time_column
     )
@@ -124,10 +129,11 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, table: SilverTabl
     existing = spark.read.schema(table.schema).parquet(path)
     touched = _listed(changes, table.partitions)
     if not table.key_fixes_partition:
-        # Key and partition columns of the table, nothing else, are read for this.
-        moved = existing.join(changes.select(*table.keys), list(table.keys), "left_semi")
-        touched = sorted({*touched, *_listed(moved, table.partitions)})
-    affected = existing.where(_folder(table.partitions).isin(touched))
+        # Of the table, only the key and the folder names are read for this.
+        old_versions = existing.join(changes.select(*table.keys), list(table.keys), "left_semi")
+        touched |= _listed(old_versions, table.partitions)
+    affected = existing.where(_folder(table.partitions).isin(sorted(touched)))
     merged = merge_frames(affected, changes, table.keys).select(*table.schema.names)
-    replace_partitions(spark, path, merged, table.partitions, touched)
+    if touched:
+        replace_partitions(spark, path, merged, table.partitions, touched)
     folders.remove(spark, staged)
