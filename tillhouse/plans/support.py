@@ -118,12 +118,6 @@ def support_snapshot(live: DataFrame, stamp: str = "kpi_date") -> DataFrame:
         F.sum(F.when(clean, F.col("rating"))).alias("rating_sum"),
         F.count(F.when(clean, F.col("rating"))).alias("rated"),
     )
-    shown = F.col("interaction_type").isNotNull() & (F.col("volume") > 0)
-    figures = by_type.groupBy(stamp).agg(
-        F.sum("rating_sum").alias("rating_sum"),
-        F.sum("rated").alias("rated"),
-        F.collect_list(F.when(shown, F.struct("interaction_type", "volume"))).alias("volumes"),
-    )
     resolutions = (
         resolution_totals(records.where(clean), owner=(stamp, "customer_id"))
         .groupBy(stamp)
@@ -132,7 +126,17 @@ def support_snapshot(live: DataFrame, stamp: str = "kpi_date") -> DataFrame:
             F.sum("resolution_seconds").alias("resolution_seconds"),
         )
     )
-    return figures.join(resolutions, stamp, "left").select(
+    # Both parts are a few rows per batch; stacked and summed they need no join.
+    parts = by_type.unionByName(resolutions, allowMissingColumns=True)
+    shown = F.col("interaction_type").isNotNull() & (F.col("volume") > 0)
+    figures = parts.groupBy(stamp).agg(
+        F.sum("rating_sum").alias("rating_sum"),
+        F.sum("rated").alias("rated"),
+        F.collect_list(F.when(shown, F.struct("interaction_type", "volume"))).alias("volumes"),
+        F.sum("resolved").alias("resolved"),
+        F.sum("resolution_seconds").alias("resolution_seconds"),
+    )
+    return figures.select(
         ratio(F.col("rating_sum"), F.col("rated")).alias("feedback_score"),
         type_counts_json(F.col("volumes")).alias("interaction_volume_by_type"),
         ratio(F.col("resolution_seconds") / 60.0, F.col("resolved")).alias(
