@@ -71,3 +71,20 @@ def test_absent_silver_table_is_an_empty_typed_frame(spark, tmp_path):
     empty = jobs.read_silver(spark, jobs.Lake(str(tmp_path)), POS)
     assert empty.count() == 0
     assert empty.schema == S.SILVER_POS
+
+
+def test_purge_rewrites_only_partitions_that_lose_rows(spark, tmp_path):
+    lake = jobs.Lake(str(tmp_path))
+    contacts = [
+        (customer, "Feedback", None, 4, "m", NOON + 86_400 * days)
+        for customer, days in ((1, 0), (2, 0), (1, 1), (3, 2), (2, -90))
+    ]
+    jobs.refresh_silver(spark, lake, spark.createDataFrame(contacts, S.BRONZE_CRM), CRM, DATE)
+    untouched = next(Path(lake.silver(CRM)).rglob("day=10/*.parquet"))
+    stamp = untouched.stat().st_mtime_ns
+    forgotten = spark.createDataFrame([(1,)], "customer_id int")
+    for _ in range(2):
+        jobs.purge_users(spark, lake, CRM, DATE, 30, forgotten, "customer_id")
+        left = jobs.read_silver(spark, lake, CRM).collect()
+        assert sorted((r.customer_id, r.day) for r in left) == [(2, 8), (3, 10)]
+    assert untouched.stat().st_mtime_ns == stamp

@@ -268,3 +268,14 @@ def test_mart_contracts_match_the_warehouse_tables():
 
 def test_pos_is_searched_for_moved_rows():
     assert not POS.key_fixes_partition
+
+
+def test_touched_partitions_are_pruned_from_the_table(spark, folder):
+    path = f"{folder}/inventory"
+    sink.upsert(spark, path, stock(spark, (1, 5, DAY), (2, 6, NEXT)), INVENTORY)
+    existing = spark.read.schema(S.SILVER_INVENTORY).parquet(path)
+    touched = sorted(sink._listed(existing.where("day = 9"), INVENTORY.partitions))
+    affected = existing.where(sink._folder(INVENTORY.partitions).isin(touched))
+    plan = affected._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(concat_ws" in plan and "Filter (" not in plan
+    assert affected.count() == 1

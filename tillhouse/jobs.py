@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tillhouse import schemas as S
+from tillhouse.operators.governance import retain
 from tillhouse.operators.screening import failing, passing, with_broken_key
 from tillhouse.plans import marketing, operations, sales, support
 from tillhouse.plans.periods import Period
@@ -16,7 +17,7 @@ from tillhouse.plans.silver import CRM, INVENTORY, POS, WTL, SilverTable, projec
 from tillhouse.session import working_folder
 from tillhouse.sinks import folders
 from tillhouse.sinks.reports import dated_folder, load_mart, write_csv
-from tillhouse.sinks.tables import upsert
+from tillhouse.sinks.tables import remove_rows, upsert
 from tillhouse.sources.tables import read_table
 
 
@@ -123,3 +124,23 @@ def refresh_support(spark: SparkSession, lake: Lake, date: dt.date) -> None:
     write_csv(support.feedback_score(crm), root, "feedback_score", date, single_file=True)
     write_csv(support.interaction_volume(crm), root, "interaction_volume", date, single_file=True)
     publish(spark, lake, support.customer_support_mart(crm, date), S.SUPPORT_MART, date)
+
+
+def purge_users(
+    spark: SparkSession,
+    lake: Lake,
+    table: SilverTable,
+    as_of: dt.date,
+    keep_days: int,
+    forgotten: DataFrame,
+    user_column: str,
+) -> None:
+    """Delete rows of forgotten users and rows past their retention from a silver table.
+
+    ``forgotten`` holds the ids in a column named like ``user_column``.
+    """
+
+    def retained(rows: DataFrame) -> DataFrame:
+        return retain(rows, as_of, keep_days, forgotten, user_column)
+
+    remove_rows(spark, lake.silver(table), table, retained)

@@ -91,4 +91,6 @@ def retain(
     """
     oldest = as_of - dt.timedelta(days=keep_days)
     kept = df.where(~holds(F.col(date_column) < F.lit(oldest)))
-    return kept if forgotten is None else kept.join(forgotten.select(user_column), user_column, "left_anti").select(*df.columns)
+    if forgotten is None:
+        return kept
+    return kept.join(forgotten.select(user_column), user_column, "left_anti").select(*df.columns)

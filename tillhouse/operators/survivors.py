@@ -24,11 +24,3 @@ def keep_newest(df: DataFrame, keys: Sequence[str], recency: str | None = None)
     packed = df.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("_survivor"))
     return packed.select(*[c if c.lower() in lowered else f"_survivor.{c}" for c in df.columns])
 
-
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, with their row count; empty when the key is one."""
-    return (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("row_count"))
-        .where(F.col("row_count") > 1)
-    )

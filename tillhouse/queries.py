@@ -54,10 +54,8 @@ def tabular(df: DataFrame) -> DataFrame:
     shown = []
     for field in df.schema:
         column = F.col(field.name)
-        if isinstance(field.dataType, T.DateType):
-            column = F.date_format(column, "yyyy-MM-dd")
-        elif isinstance(field.dataType, T.TimestampType):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+        if isinstance(field.dataType, T.DateType | T.TimestampType):
+            column = column.cast("string")
         elif isinstance(field.dataType, T.FloatType | T.DecimalType):
             column = column.cast("double")
         elif isinstance(field.dataType, T.DoubleType):
@@ -125,13 +123,14 @@ def caught_up(spark: SparkSession, stream: DataFrame, name: str, **options) -> s
 @query
 def bronze_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The interaction feed as gzip JSON lines and as JSON array files, read back."""
-    rows = feeds.crm_feed(table(spark, sf_dir, "events"), keep=["event_id"])
+    rows = feeds.crm_feed(table(spark, sf_dir, "events"))
     folder = working_folder(spark, "json-scan")
     feed_columns = S.BRONZE_CRM.names
-    rows.select(*feed_columns).write.option("compression", "gzip").json(f"{folder}/lines")
-    # Arrays of at most 50,000 records, one per file.
+    rows.write.option("compression", "gzip").json(f"{folder}/lines")
+    # Arrays of at most 50,000 neighbouring records, one per file.
     arrays = (
-        rows.groupBy(F.floor(F.col("event_id") / 50_000).alias("chunk"))
+        rows.withColumn("chunk", F.floor(F.monotonically_increasing_id() / 50_000))
+        .groupBy("chunk")
         .agg(F.concat_ws(",", F.collect_list(F.to_json(F.struct(*feed_columns)))).alias("body"))
         .select(F.concat(F.lit("["), "body", F.lit("]")).alias("value"))
     )

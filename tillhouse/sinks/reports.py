@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillhouse.operators.survivors import duplicate_keys
 from tillhouse.schemas import Mart
 
 
@@ -47,23 +46,31 @@ def fit_mart(df: DataFrame, mart: Mart) -> DataFrame:
 
 def mart_violations(df: DataFrame, mart: Mart) -> DataFrame:
     """Keys with a null part or more than one row: empty for a sound mart."""
-    broken = " OR ".join(f"{k} IS NULL" for k in mart.key)
-    nulls = df.where(broken).groupBy(*mart.key).agg(F.count("*").alias("row_count"))
-    repeated = duplicate_keys(df.na.drop(subset=list(mart.key)), mart.key)
-    return nulls.withColumn("problem", F.lit("null_key")).unionByName(
-        repeated.withColumn("problem", F.lit("repeated_key"))
+    incomplete = F.expr(" OR ".join(f"{k} IS NULL" for k in mart.key))
+    return (
+        df.groupBy(*mart.key)
+        .agg(F.count("*").alias("row_count"))
+        .where(incomplete | (F.col("row_count") > 1))
+        .withColumn("problem", F.when(incomplete, "null_key").otherwise("repeated_key"))
     )
 
 
+def check_mart(df: DataFrame, mart: Mart) -> None:
+    """Raise when the key of a mart is broken, with the number of such keys and one of them."""
+    broken = mart_violations(df, mart)
+    found = broken.agg(F.count("*").alias("keys"), F.any_value(F.struct(*broken.columns)).alias("one"))
+    result = found.first()
+    if result["keys"]:
+        raise ValueError(f"{mart.name}: {result['keys']} broken keys, such as {result['one'].asDict()}")
+
+
 def load_mart(spark: SparkSession, folder: str, mart: Mart, path: str) -> None:
     """Check a gold folder against the mart contract and store it typed, by date.
 
     Loading the same date again replaces it.
     """
     rows = read_gold(spark, folder, mart)
-    problem = mart_violations(rows, mart).first()
-    if problem is not None:
-        raise ValueError(f"{mart.name}: {problem.asDict()}")
+    check_mart(rows, mart)
     (
         rows.hint("rebalance", F.col(mart.sort))
         .sortWithinPartitions(mart.sort, *mart.key)

@@ -8,7 +8,7 @@ Readers may see some partitions before and some after the change meanwhile.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -137,3 +137,28 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, table: SilverTabl
     if touched:
         replace_partitions(spark, path, merged, table.partitions, touched)
     folders.remove(spark, staged)
+
+
+def remove_rows(
+    spark: SparkSession, path: str, table: SilverTable, retained: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Keep of a stored table what ``retained`` keeps; rewrite only partitions that lose rows.
+
+    ``retained`` may only drop rows. The number of rows per partition before and after
+    tells which partitions change.
+    """
+    finish_pending(spark, path, table.schema, table.partitions)
+    existing = spark.read.schema(table.schema).parquet(path)
+
+    def sizes(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(_folder(table.partitions).alias("folder")).agg(F.count("*").alias(name))
+
+    before, after = sizes(existing, "before"), sizes(retained(existing), "after")
+    shrunk = before.join(after, "folder", "left").where(
+        F.coalesce("after", F.lit(0)) < F.col("before")
+    )
+    touched = {row.folder for row in shrunk.select("folder").collect()}
+    if touched:
+        affected = existing.where(_folder(table.partitions).isin(sorted(touched)))
+        content = retained(affected).select(*table.schema.names)
+        replace_partitions(spark, path, content, table.partitions, touched)
