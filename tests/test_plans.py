@@ -1,19 +1,23 @@
 """Shape of the plans: what must hold on a cluster, read off the physical plan."""
 
+import datetime as dt
 import re
 
 import pytest
 
 import __spark_entry__ as entry_points
 from tillhouse import queries as Q
+from tillhouse import schemas as S
+from tillhouse import session
 from tillhouse.operators.survivors import keep_newest
+from tillhouse.plans import operations
 
 SF_DIR = "/root/testdata/sf0.001"
 # Queries that write nothing before they return, so that building them is free.
 LAZY = sorted(
     name
     for name in entry_points.queries()
-    if not re.search(r"stream|scan|landing|roundtrip|csv|moved|latest|audit", name)
+    if not re.search(r"stream|scan|landing|roundtrip|csv|moved|merge_crm|latest|audit", name)
 )
 
 
@@ -52,3 +56,27 @@ def test_a_check_is_not_pushed_below_the_deduplication(spark):
     plan = physical(Q.REGISTRY["silver_pos"](spark, SF_DIR))
     assert plan.index("Filter") < plan.index("SortAggregate")
     assert plan.rindex("Filter (") < plan.rindex("SortAggregate")
+
+
+def test_day_filter_reaches_the_scan(spark, folder):
+    spark.createDataFrame([], S.SILVER_INVENTORY).write.parquet(folder, mode="overwrite")
+    stored = spark.read.schema(S.SILVER_INVENTORY).parquet(folder)
+    plan = physical(operations.stockout_alerts(stored, dt.date(2024, 5, 8)))
+    assert "GreaterThanOrEqual(last_updated,2024-05-08" in plan
+
+
+def test_shuffles_grow_with_the_input_and_never_shrink(spark, folder, monkeypatch):
+    before = spark.conf.get(session.INITIAL_REDUCERS, None)
+    spark.range(10).write.parquet(folder, mode="overwrite")
+    frame = spark.read.parquet(folder)
+    try:
+        session.size_shuffles(frame)
+        assert spark.conf.get(session.INITIAL_REDUCERS, None) == before
+        monkeypatch.setattr(session, "BYTES_PER_REDUCER", 1)
+        session.size_shuffles(frame)
+        raised = int(spark.conf.get(session.INITIAL_REDUCERS))
+        assert 100 < raised <= session.MOST_REDUCERS
+        session.size_shuffles(frame.limit(0))
+        assert int(spark.conf.get(session.INITIAL_REDUCERS)) == raised
+    finally:
+        spark.conf.unset(session.INITIAL_REDUCERS)

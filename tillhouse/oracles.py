@@ -43,7 +43,7 @@ bronze_crm AS (
     {CHANNEL} AS channel,
     CASE WHEN event_id % 6 = 5 THEN NULL ELSE CAST((event_id * 7) % 8 AS INTEGER) END AS rating,
     CASE WHEN event_id % 5 = 0 THEN NULL ELSE props END AS message_excerpt,
-    epoch_us(ts) // 1000000 - (epoch_us(ts) // 1000000) % 60 AS timestamp
+    epoch_us(ts) // 1000000 - (epoch_us(ts) // 1000000) % 60 AS timestamp, event_type
   FROM events)"""
 
 BRONZE_WTL = """
@@ -122,18 +122,25 @@ def inventory_silver(source: str = "bronze_inventory", name: str = "inventory")
     )
 
 
-CRM_ONE = one_per_key(
-    "(SELECT * EXCLUDE (event_id) FROM bronze_crm)", "crm_one", "customer_id, timestamp",
-    "interaction_type channel rating message_excerpt",
-)
-CRM = f"""{BRONZE_CRM},{CRM_ONE},
-crm AS (
+CRM_ORDER = "interaction_type channel rating message_excerpt"
+
+
+def crm_silver(source: str = "bronze_crm", name: str = "crm") -> str:
+    feed = f"(SELECT * EXCLUDE (event_id, event_type) FROM {source})"
+    return (
+        one_per_key(feed, f"{name}_one", "customer_id, timestamp", CRM_ORDER)
+        + f""",
+{name} AS (
   SELECT customer_id, upper(interaction_type) AS interaction_type,
     coalesce(upper(channel), 'UNKNOWN') AS channel, rating,
     CASE WHEN message_excerpt IS NULL THEN '' ELSE sha256(message_excerpt) END AS message_excerpt,
     make_timestamp(timestamp * 1000000) AS timestamp,
     CAST(make_timestamp(timestamp * 1000000) AS DATE) AS date
-  FROM crm_one WHERE rating IS NULL OR rating BETWEEN 1 AND 5)"""
+  FROM {name}_one WHERE rating IS NULL OR rating BETWEEN 1 AND 5)"""
+    )
+
+
+CRM = f"{BRONZE_CRM},{crm_silver()}"
 
 WTL_ONE = one_per_key(
     "bronze_wtl", "wtl_one", "session_id, timestamp",
@@ -278,6 +285,18 @@ merged AS (
   SELECT * FROM older WHERE inventory_id NOT IN (SELECT inventory_id FROM newer))
 SELECT {INVENTORY_COLUMNS} FROM merged"""
 
+ORACLES["merge_crm"] = f"""WITH {BRONZE_CRM},
+browsing_raw AS (SELECT * FROM bronze_crm WHERE event_type NOT IN ('purchase', 'signup')),
+buying_raw AS (SELECT * FROM bronze_crm WHERE event_type IN ('purchase', 'signup')),
+{crm_silver('browsing_raw', 'browsing')},
+{crm_silver('buying_raw', 'buying')},
+merged AS (
+  SELECT * FROM buying
+  UNION ALL
+  SELECT * FROM browsing AS b WHERE NOT EXISTS (
+    SELECT 1 FROM buying AS n WHERE n.customer_id = b.customer_id AND n.timestamp = b.timestamp))
+SELECT {CRM_COLUMNS} FROM merged"""
+
 # --- support -----------------------------------------------------------------------
 
 ORACLES["feedback_score"] = f"""WITH {CRM}
@@ -509,7 +528,7 @@ FROM turned FULL JOIN state USING (product_id)"""
 
 # --- streams -----------------------------------------------------------------------
 
-ORACLES["stream_landing_hourly"] = f"""
+ORACLES["stream_landing"] = f"""
 SELECT event_id, event_id % 17 <> 3 AS accepted, CAST(user_id AS VARCHAR) AS partition_key,
   concat('{{"customer_id":', user_id,
     CASE WHEN event_id % 17 = 3 THEN ''

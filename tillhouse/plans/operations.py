@@ -11,7 +11,11 @@ from tillhouse.functions.columns import ratio
 
 
 def _on_day(df: DataFrame, time_column: str, day: dt.date | None) -> DataFrame:
-    return df if day is None else df.where(F.to_date(time_column) == F.lit(day))
+    """Rows of a day, as a range on the time itself, which a scan can use to skip data."""
+    if day is None:
+        return df
+    start, end = (F.lit(d).cast("timestamp") for d in (day, day + dt.timedelta(days=1)))
+    return df.where((F.col(time_column) >= start) & (F.col(time_column) < end))
 
 
 def _at_threshold() -> Column:

@@ -26,14 +26,14 @@ from tillhouse.operators.screening import failing, passing
 from tillhouse.operators.timelines import gap_sessions
 from tillhouse.plans import marketing, operations, sales, silver, support
 from tillhouse.plans.periods import Period
-from tillhouse.session import prepare, working_folder
+from tillhouse.session import prepare, size_shuffles, working_folder
 from tillhouse.sinks import landing
 from tillhouse.sinks.reports import load_mart, mart_violations, write_csv
 from tillhouse.sinks.tables import upsert, write_partitioned
 from tillhouse.sources import envelopes, feeds, json_files, tables
 from tillhouse.streaming import event_time
-from tillhouse.streaming import landing as stream_landing
-from tillhouse.streaming import support as stream_support
+from tillhouse.streaming import landing as live_landing
+from tillhouse.streaming import support as live_support
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -79,7 +79,7 @@ def query(build: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return size_shuffles(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def pos(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,12 +108,12 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream. The braces make the path a glob, which the file
     source needs to accept a single file as well as a folder of files."""
     schema = table(spark, sf_dir, "events").schema
-    return stream_landing.stream_files(spark, f"{sf_dir}/{{events}}.parquet", schema, "parquet")
+    return live_landing.stream_files(spark, f"{sf_dir}/{{events}}.parquet", schema, "parquet")
 
 
 def caught_up(spark: SparkSession, stream: DataFrame, name: str, **options) -> str:
     folder = working_folder(spark, name)
-    stream_landing.run_until_caught_up(stream, f"{folder}/data", f"{folder}/checkpoint", **options)
+    live_landing.run_until_caught_up(stream, f"{folder}/data", f"{folder}/checkpoint", **options)
     return f"{folder}/data"
 
 
@@ -270,6 +270,18 @@ def merge_inventory_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, folder, S.SILVER_INVENTORY)
 
 
+@query
+def merge_crm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored contacts of browsing customers upserted by those of buying ones; the key
+    holds the time, so only the days of the update are looked at."""
+    events = table(spark, sf_dir, "events")
+    buying = F.col("event_type").isin("purchase", "signup")
+    folder = working_folder(spark, "silver-contacts")
+    for contacts in (events.where(~buying), events.where(buying)):
+        upsert(spark, folder, silver.silver_crm(feeds.crm_feed(contacts)), silver.CRM)
+    return tables.read_table(spark, folder, S.SILVER_CRM)
+
+
 # --- gold --------------------------------------------------------------------------
 
 
@@ -432,17 +444,17 @@ def mart_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def stream_landing_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live records screened and landed in folders of their arrival hour, refused ones
     apart, both read back. The hour is that of the run and not part of the result."""
     records = feeds.live_records(event_stream(spark, sf_dir), keep=["event_id"])
-    screened = stream_landing.screen(records, envelopes.REQUIRED_CRM)
-    keyed = stream_landing.with_partition_key(screened, "customer_id")
-    hourly = stream_landing.with_arrival_hour(keyed)
+    screened = live_landing.screen(records, envelopes.REQUIRED_CRM)
+    keyed = live_landing.with_partition_key(screened, "customer_id")
+    hourly = live_landing.with_arrival_hour(keyed)
     good = caught_up(spark, hourly.where("accepted"), "stream-good")
     bad = caught_up(spark, hourly.where("NOT accepted"), "stream-refused")
     landed = [json_files.read_json_lines(spark, path, hourly.schema) for path in (good, bad)]
-    return landed[0].unionByName(landed[1]).drop(*stream_landing.HOURLY)
+    return landed[0].unionByName(landed[1]).drop(*live_landing.HOURLY)
 
 
 @query
@@ -450,12 +462,12 @@ def stream_support_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Support figures of each micro-batch of the envelope stream, stored once each."""
     folder = working_folder(spark, "support-batches")
     envelope_stream = feeds.live_envelopes(event_stream(spark, sf_dir))
-    stream_support.start_live_landing(
+    live_support.start_live_landing(
         envelope_stream, f"{folder}/landed", f"{folder}/checkpoint",
-        trigger=stream_landing.UNTIL_CAUGHT_UP,
+        trigger=live_landing.UNTIL_CAUGHT_UP,
     ).awaitTermination()
     for _ in range(2):
-        stream_support.store_batch_figures(spark, f"{folder}/landed", f"{folder}/figures")
+        live_support.store_batch_figures(spark, f"{folder}/landed", f"{folder}/figures")
     return spark.read.parquet(f"{folder}/figures").drop("batch_time")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Calendar columns are UTC. Session windows collapse inside each map task before the
 # shuffle, so one busy user does not send every event to one reducer.
@@ -25,6 +25,29 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Input bytes per reducer before AQE merges small ones, and a bound that
+# keeps the number of shuffle blocks (map tasks x reducers) manageable.
+BYTES_PER_REDUCER = 64 * 1024 * 1024
+MOST_REDUCERS = 20_000
+INITIAL_REDUCERS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def size_shuffles(df: DataFrame) -> DataFrame:
+    """Let shuffles start with enough partitions for an input; returns the input.
+
+    AQE can merge partitions but not add any, and the default of 200 would give each
+    reducer of a 100 TB table half a terabyte to sort. The number is only ever raised;
+    the size is the optimizer's, known from the file listing without a job.
+    """
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = min(MOST_REDUCERS, size // BYTES_PER_REDUCER)
+    configured = spark.conf.get(INITIAL_REDUCERS, None)
+    if wanted > int(configured or spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(INITIAL_REDUCERS, str(wanted))
+    return df
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """Session for tests and the bench; a cluster brings its own."""
     builder = (

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tillhouse.plans.periods import Period, within
+from tillhouse.session import size_shuffles
 
 
 def read_catalog(spark: SparkSession, database: str, table: str) -> DataFrame:
@@ -19,7 +20,8 @@ def read_table(
     spark: SparkSession, path: str, schema: T.StructType, period: Period | None = None
 ) -> DataFrame:
     """Stored table by its root folder; a period prunes partitions."""
-    return within(spark.read.schema(schema).parquet(path), period).select(*schema.names)
+    rows = within(spark.read.schema(schema).parquet(path), period).select(*schema.names)
+    return size_shuffles(rows)
 
 
 def read_partition_folder(
