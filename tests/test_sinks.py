@@ -18,6 +18,7 @@ from tillhouse.sources.tables import read_partition_folder, read_table, register
 
 DAY = dt.datetime(2024, 5, 8, 12)
 NEXT = dt.datetime(2024, 5, 9, 12)
+LATER = dt.datetime(2024, 5, 10, 12)
 
 
 def stock(spark, *records):
@@ -114,27 +115,22 @@ def test_failed_merge_is_raised_and_leaves_the_table(spark, folder, rows):
 def test_interrupted_publication_is_finished_by_the_next_upsert(spark, folder, rows, monkeypatch, progress):
     path = f"{folder}/inventory"
     sink.upsert(spark, path, stock(spark, (1, 5, DAY), (2, 6, DAY)), INVENTORY)
-    with monkeypatch.context() as crash:
-        if progress == "not begun":
-            calls = iter([sink.finish_pending])  # the call at the start of the upsert works
-
-            def stopped(*arguments):
-                work = next(calls, None)
-                if work is None:
-                    raise KeyboardInterrupt
-                work(*arguments)
+    first = {"not begun": 0, "half published": 1}[progress]
+    move, calls = sink.folders.move, []
 
-            crash.setattr(sink, "finish_pending", stopped)
-        else:
-            def no_remove(*arguments):
-                raise KeyboardInterrupt
+    def dies(*arguments):
+        if len(calls) == first:
+            raise KeyboardInterrupt
+        calls.append(move(*arguments))
 
-            crash.setattr(sink.folders, "remove", no_remove)
+    change = stock(spark, (1, 7, NEXT), (2, 8, LATER))
+    with monkeypatch.context() as crash:
+        crash.setattr(sink.folders, "move", dies)
         with pytest.raises(KeyboardInterrupt):
-            sink.upsert(spark, path, stock(spark, (1, 7, NEXT), (2, 8, NEXT)), INVENTORY)
+            sink.upsert(spark, path, change, INVENTORY)
     assert Path(f"{path}__pending").exists()
     sink.upsert(spark, path, stock(spark, (3, 1, NEXT)), INVENTORY)
-    assert stored(spark, path, rows) == [(1, 7, 9), (2, 8, 9), (3, 1, 9)]
+    assert stored(spark, path, rows) == [(1, 7, 9), (2, 8, 10), (3, 1, 9)]
 
 
 def test_half_written_staging_is_ignored(spark, folder, rows):

@@ -384,7 +384,9 @@ def marketing(duration: str, decimals: bool) -> str:
     score, length = "engagement_score", duration
     actions = "loyalty_actions"
     if decimals:
-        score, length = f"CAST({score} AS DECIMAL(5, 2))", f"CAST({length} AS DECIMAL(10, 2))"
+        # The mart is loaded from CSV, so the decimal is rounded from text.
+        score = f"CAST(CAST({score} AS VARCHAR) AS DECIMAL(5, 2))"
+        length = f"CAST(CAST({length} AS VARCHAR) AS DECIMAL(10, 2))"
         actions = "CAST(loyalty_actions AS INTEGER) AS loyalty_actions"
     return f"""WITH {CRM},{WTL},{ENGAGEMENT},
 lengths AS (

@@ -33,3 +33,13 @@ def partition_folders(spark: SparkSession, path: str, partitions: Sequence[str])
 def remove(spark: SparkSession, path: str) -> None:
     file_system, hadoop_path = _locate(spark, path)
     file_system.delete(hadoop_path, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another one of the same file system."""
+    file_system, hadoop_source = _locate(spark, source)
+    _, hadoop_target = _locate(spark, target)
+    file_system.delete(hadoop_target, True)
+    file_system.mkdirs(hadoop_target.getParent())
+    if not file_system.rename(hadoop_source, hadoop_target):
+        raise OSError(f"could not move {source} to {target}")

@@ -39,7 +39,7 @@ def land(
     """
     partitions = HOURLY if hourly else DAILY
     arriving = with_arrival(rows, arrived_at, hourly)
-    finish_pending(spark, path, arriving.schema, partitions)
+    finish_pending(spark, path)
     if arriving.isEmpty():
         return
     if not folders.exists(spark, path):

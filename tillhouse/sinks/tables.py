@@ -1,9 +1,10 @@
 """Partitioned tables: create, replace some partitions, upsert.
 
-Parquet has no transactions. A change is therefore written to a sibling folder first,
-with the list of partitions it replaces, and published from there. A run that dies
-half way leaves that folder behind, and the next call finishes it before it starts.
-Readers may see some partitions before and some after the change meanwhile.
+Parquet has no transactions. The new content of changed partitions is therefore written
+to a sibling folder first, with a list of the partitions it replaces, and then moved
+into place one partition folder at a time. A run that dies half way leaves the sibling
+behind, and the next call finishes it before it starts. Readers may see some partitions
+before and some after the change meanwhile.
 """
 
 from __future__ import annotations
@@ -71,33 +72,24 @@ def replace_partitions(
     """Make ``content`` all there is in the ``touched`` partition folders."""
     pending = _pending(path)
     write_partitioned(content, f"{pending}/content", partitions, gather=len(touched) > 1)
-    listing = spark.createDataFrame([(folder,) for folder in sorted(touched)], "folder string")
-    listing.write.mode("overwrite").parquet(f"{pending}/touched")
-    finish_pending(spark, path, content.schema, partitions)
+    filled = folders.partition_folders(spark, f"{pending}/content", partitions)
+    plan = [(folder, folder in filled) for folder in sorted(touched | filled)]
+    listing = spark.createDataFrame(plan, "folder string, filled boolean")
+    listing.write.mode("overwrite").parquet(f"{pending}/plan")
+    finish_pending(spark, path)
 
 
-def finish_pending(
-    spark: SparkSession, path: str, schema: T.StructType, partitions: Sequence[str]
-) -> None:
+def finish_pending(spark: SparkSession, path: str) -> None:
     """Publish a change that was fully written aside; do nothing without one."""
     pending = _pending(path)
-    if not folders.is_complete(spark, f"{pending}/touched"):
+    if not folders.is_complete(spark, f"{pending}/plan"):
         return
-    touched = {r.folder for r in spark.read.parquet(f"{pending}/touched").collect()}
-    filled = folders.partition_folders(spark, f"{pending}/content", partitions)
-    if filled:
-        content = spark.read.schema(schema).parquet(f"{pending}/content")
-        if len(filled) > 1:
-            content = content.hint("rebalance", *[F.col(p) for p in partitions])
-        (
-            content.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partitions)
-            .parquet(path)
-        )
-    # A dynamic overwrite leaves a partition without new rows as it was.
-    for emptied in sorted(touched - filled):
-        folders.remove(spark, f"{path}/{emptied}")
+    for row in spark.read.parquet(f"{pending}/plan").collect():
+        written, target = f"{pending}/content/{row.folder}", f"{path}/{row.folder}"
+        if not row.filled:
+            folders.remove(spark, target)
+        elif folders.exists(spark, written):  # else an earlier attempt has moved it
+            folders.move(spark, written, target)
     folders.remove(spark, pending)
     spark.catalog.refreshByPath(path)
 
@@ -115,7 +107,7 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, table: SilverTabl
     """
     if not _same_columns(updates.schema, table.schema):
         raise ValueError(f"updates for {table.name} have columns {updates.schema.simpleString()}")
-    finish_pending(spark, path, table.schema, table.partitions)
+    finish_pending(spark, path)
     keyed = keep_newest(
         with_complete_key(updates, table.keys), table.keys, table.time_column
     )
@@ -147,7 +139,7 @@ def remove_rows(
     ``retained`` may only drop rows. The number of rows per partition before and after
     tells which partitions change.
     """
-    finish_pending(spark, path, table.schema, table.partitions)
+    finish_pending(spark, path)
     existing = spark.read.schema(table.schema).parquet(path)
 
     def sizes(df: DataFrame, name: str) -> DataFrame:
