@@ -184,6 +184,16 @@ def test_null_keys_form_one_group(spark):
     assert silver.silver_wtl(padded).count() == 1
 
 
+def test_rows_whose_key_cannot_be_typed_are_set_aside(spark, rows):
+    bronze = spark.createDataFrame(
+        [("1", "a", str(NOON)), ("x", "b", str(NOON)), (None, "c", str(NOON)), ("1", "d", "soon")],
+        "customer_id string, interaction_type string, timestamp string",
+    ).selectExpr("*", "'p' AS channel", "'3' AS rating", "'m' AS message_excerpt")
+    assert rows(silver.keyless(bronze, CRM), "interaction_type", "reject_reason") == [
+        ("b", "null_key"), ("c", "null_key"), ("d", "null_key"),
+    ]
+
+
 POS_ROW = st.tuples(
     st.sampled_from(["a", "b", "c", None]),
     st.integers(1, 2),
@@ -195,7 +205,7 @@ POS_ROW = st.tuples(
 )
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(POS_ROW, min_size=1, max_size=12), st.randoms(use_true_random=False))
 def test_order_of_arrival_does_not_matter_and_no_row_is_lost(spark, rows, data, random):
     shuffled = random.sample(data, len(data))

@@ -9,7 +9,6 @@ from pyspark.errors import PySparkException
 
 from tillhouse import schemas as S
 from tillhouse.operators.merging import merge_frames
-from tillhouse.operators.screening import with_broken_key
 from tillhouse.plans.periods import Period
 from tillhouse.plans.silver import CRM, INVENTORY, POS
 from tillhouse.sinks import landing, reports
@@ -78,15 +77,12 @@ def test_untouched_partitions_keep_their_files(spark, folder):
     assert before and before == after
 
 
-def test_null_keys_are_left_out_and_can_be_quarantined(spark, folder, rows):
+def test_null_keys_are_left_out(spark, folder, rows):
     path = f"{folder}/inventory"
     update = stock(spark, (None, 5, DAY), (1, 6, DAY))
     for _ in range(2):
         sink.upsert(spark, path, update, INVENTORY)
     assert stored(spark, path, rows) == [(1, 6, 8)]
-    assert rows(with_broken_key(update, INVENTORY.keys), "stock_level", "reject_reason") == [
-        (5, "null_key")
-    ]
 
 
 def test_empty_update_changes_nothing(spark, folder, rows):
@@ -275,3 +271,17 @@ def test_touched_partitions_are_pruned_from_the_table(spark, folder):
     plan = affected._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [(concat_ws" in plan and "Filter (" not in plan
     assert affected.count() == 1
+
+
+def test_gold_csv_is_a_catalog_table(spark, folder, rows):
+    frame = mart_frame(spark, SALE)
+    for date in (DAY.date(), NEXT.date()):
+        reports.write_csv(frame, folder, "sales_mart", date)
+    columns = S.T.StructType([*S.SALES_MART.schema.fields, *S.struct_of(year=S.INT, month=S.INT, day=S.INT).fields])
+    name = register_folder(
+        spark, "default", "gold_sales_mart_t", f"{folder}/sales_mart", columns,
+        ("year", "month", "day"), "csv", {"header": "true"},
+    )
+    assert rows(spark.table(name).where("day = 9"), *S.SALES_MART.schema.names) == [SALE]
+    assert spark.table(name).count() == 2
+    spark.sql(f"DROP TABLE {name}")

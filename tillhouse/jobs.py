@@ -10,10 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillhouse import schemas as S
 from tillhouse.operators.governance import retain
-from tillhouse.operators.screening import failing, passing, with_broken_key
+from tillhouse.operators.screening import failing, passing
 from tillhouse.plans import marketing, operations, sales, support
 from tillhouse.plans.periods import Period
-from tillhouse.plans.silver import CRM, INVENTORY, POS, WTL, SilverTable, project, survivors
+from tillhouse.plans.silver import (
+    CRM,
+    INVENTORY,
+    POS,
+    WTL,
+    SilverTable,
+    keyless,
+    project,
+    survivors,
+)
 from tillhouse.session import working_folder
 from tillhouse.sinks import folders
 from tillhouse.sinks.reports import dated_folder, load_mart, write_csv
@@ -57,11 +66,11 @@ def refresh_silver(
     folder = working_folder(spark, f"survivors-{table.name}")
     survivors(bronze, table).write.parquet(folder)
     rows = spark.read.parquet(folder)
-    upsert(spark, lake.silver(table), project(passing(rows, table.checks()), table), table)
-    refused = failing(rows, table.checks())
-    broken = with_broken_key(passing(rows, table.checks()), table.keys)
+    good = passing(rows, table.checks())
+    upsert(spark, lake.silver(table), project(good, table), table)
     (
-        refused.unionByName(broken)
+        failing(rows, table.checks())
+        .unionByName(keyless(good, table))
         .write.mode("overwrite")
         .json(dated_folder(lake.rejected, table.name, date))
     )

@@ -40,7 +40,7 @@ def with_complete_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.na.drop(subset=list(keys))
 
 
-def with_broken_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows for quarantine: some key column is null."""
-    broken = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+def with_broken_key(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
+    """Rows for quarantine: some part of the key is null."""
+    broken = reduce(lambda a, b: a | b, [key.isNull() for key in keys])
     return df.where(broken).withColumn(REASON, F.lit("null_key"))

@@ -25,7 +25,7 @@ from tillhouse.functions.columns import (
     title_or_unknown,
     upper_or_unknown,
 )
-from tillhouse.operators.screening import failing, passing, require_columns
+from tillhouse.operators.screening import failing, passing, require_columns, with_broken_key
 from tillhouse.operators.survivors import keep_newest
 
 DAILY = ("year", "month", "day")
@@ -167,12 +167,14 @@ def survivors(bronze: DataFrame, table: SilverTable) -> DataFrame:
     return keep_newest(bronze, table.keys, table.time_column)
 
 
+def _typed(table: SilverTable) -> dict[str, Column]:
+    expressions = table.columns()
+    return {f.name: expressions[f.name].try_cast(f.dataType) for f in table.schema}
+
+
 def project(rows: DataFrame, table: SilverTable) -> DataFrame:
     """Final typed columns in table order."""
-    expressions = table.columns()
-    return rows.select(
-        *[expressions[f.name].try_cast(f.dataType).alias(f.name) for f in table.schema]
-    )
+    return rows.select(*[value.alias(name) for name, value in _typed(table).items()])
 
 
 def refine(bronze: DataFrame, table: SilverTable) -> DataFrame:
@@ -188,6 +190,12 @@ def rejects(bronze: DataFrame, table: SilverTable) -> DataFrame:
     return failing(survivors(bronze, table), table.checks())
 
 
+def keyless(rows: DataFrame, table: SilverTable) -> DataFrame:
+    """Raw rows whose key is incomplete, or is so once typed: an upsert cannot place them."""
+    typed = _typed(table)
+    return with_broken_key(rows, [typed[key] for key in table.keys])
+
+
 def silver_pos(bronze: DataFrame) -> DataFrame:
     """Sales: one row per transaction, non-negative quantity and revenue."""
     return refine(bronze, POS)

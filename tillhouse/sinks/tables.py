@@ -101,7 +101,7 @@ def _same_columns(found: T.StructType, expected: T.StructType) -> bool:
 def upsert(spark: SparkSession, path: str, updates: DataFrame, table: SilverTable) -> None:
     """Create the table, or update matched and add unmatched rows.
 
-    Updates without a complete key are left out (``with_broken_key`` selects them for
+    Updates without a complete key are left out (``silver.keyless`` selects them for
     quarantine). Only partitions that receive an update, or that hold the old version
     of an updated row, are rewritten. Errors are raised and the table stays.
     """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -40,15 +40,19 @@ def register_folder(
     schema: T.StructType,
     partitions: Sequence[str] = (),
     file_format: str = "parquet",
+    options: Mapping[str, str] | None = None,
 ) -> str:
     """Make a folder a catalog table (names like ``bronze_pos``, ``gold_sales_mart``)
-    and find its partitions. Running it again picks up new partitions."""
+    and find its partitions. Running it again picks up new partitions. ``options`` are
+    those of the format, such as ``{"header": "true"}`` for gold CSV."""
     name = f"`{database}`.`{table}`"
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     by = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})" if partitions else ""
+    given = ", ".join(f"'{key}' '{value}'" for key, value in (options or {}).items())
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {file_format} {by} LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {file_format}"
+        f"{f' OPTIONS ({given})' if given else ''} {by} LOCATION '{path}'"
     )
     if partitions:
         spark.sql(f"MSCK REPAIR TABLE {name}")
