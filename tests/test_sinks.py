@@ -192,6 +192,13 @@ def test_landing_replaces_files_of_the_same_name(spark, folder, rows):
     ]
 
 
+def test_arrival_is_in_utc(spark, rows):
+    frame = spark.createDataFrame([(1,)], "value int")
+    east = dt.datetime(2024, 5, 9, 1, 30, tzinfo=dt.timezone(dt.timedelta(hours=2)))
+    stamped = landing.with_arrival(frame, east, hourly=True).selectExpr("CAST(ingest_ts AS STRING)", "day", "hour")
+    assert rows(stamped) == [("2024-05-08 23:30:00", 8, 23)]
+
+
 def test_landing_of_nothing_creates_nothing(spark, folder):
     empty = spark.createDataFrame([], "value int, source_file string")
     landing.land(spark, empty, f"{folder}/bronze", DAY, hourly=False)

@@ -15,13 +15,18 @@ DAILY = ("year", "month", "day")
 HOURLY = (*DAILY, "hour")
 
 
+def _in_utc(moment: dt.datetime) -> dt.datetime:
+    """Wall clock in UTC; a time without zone is taken as UTC already."""
+    return moment if moment.tzinfo is None else moment.astimezone(dt.UTC).replace(tzinfo=None)
+
+
 def with_arrival(rows: DataFrame, arrived_at: dt.datetime, hourly: bool) -> DataFrame:
-    """Add file name, arrival time and the partition columns of the arrival (UTC)."""
-    parts = {"year": arrived_at.year, "month": arrived_at.month, "day": arrived_at.day}
-    if hourly:
-        parts["hour"] = arrived_at.hour
-    stamped = rows.withColumn("ingest_ts", F.lit(arrived_at))
-    return stamped.withColumns({name: F.lit(value) for name, value in parts.items()})
+    """Add the arrival time and its partition columns (UTC)."""
+    arrived_at = _in_utc(arrived_at)
+    partitions = HOURLY if hourly else DAILY
+    # As text, since a datetime literal would pass through the zone of this machine.
+    stamped = rows.withColumn("ingest_ts", F.lit(arrived_at.isoformat(sep=" ")).cast("timestamp"))
+    return stamped.withColumns({name: F.lit(getattr(arrived_at, name)) for name in partitions})
 
 
 def file_name() -> Column:
@@ -45,10 +50,11 @@ def land(
     if not folders.exists(spark, path):
         write_partitioned(arriving, path, partitions, gather=False)
         return
-    target = "/".join(f"{p}={getattr(arrived_at, p)}" for p in partitions)
+    hour = {name: getattr(_in_utc(arrived_at), name) for name in partitions}
+    target = "/".join(f"{name}={value}" for name, value in hour.items())
     landed = spark.read.schema(arriving.schema).parquet(path)
-    for name in partitions:
-        landed = landed.where(F.col(name) == getattr(arrived_at, name))
+    for name, value in hour.items():
+        landed = landed.where(F.col(name) == value)
     names = rows.select("source_file").distinct()
     others = landed.join(names, "source_file", "left_anti").select(*arriving.columns)
     replace_partitions(spark, path, others.unionByName(arriving), partitions, {target})
