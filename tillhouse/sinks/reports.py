@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse.schemas import Mart
+from tillhouse.sinks import folders
 
 
 def dated_folder(root: str, name: str, date: dt.date) -> str:
@@ -65,17 +66,23 @@ def check_mart(df: DataFrame, mart: Mart) -> None:
 
 
 def load_mart(spark: SparkSession, folder: str, mart: Mart, path: str) -> None:
-    """Check a gold folder against the mart contract and store it typed, by date.
+    """Store a gold folder typed, by date, if it keeps the mart contract.
 
-    Loading the same date again replaces it.
+    The rows are written beside the mart first. The keys are checked there, on stored
+    columns, and the folders of the dates move into place afterwards, so a refused load
+    leaves the mart as it was and loading a date again replaces it.
     """
-    rows = read_gold(spark, folder, mart)
-    check_mart(rows, mart)
+    pending = f"{path.rstrip('/')}__pending"
     (
-        rows.hint("rebalance", F.col(mart.sort))
+        read_gold(spark, folder, mart)
+        .hint("rebalance")
         .sortWithinPartitions(mart.sort, *mart.key)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(mart.sort)
-        .parquet(path)
+        .parquet(pending)
     )
+    check_mart(spark.read.schema(mart.schema).parquet(pending), mart)
+    for dated in sorted(folders.partition_folders(spark, pending, [mart.sort])):
+        folders.move(spark, f"{pending}/{dated}", f"{path}/{dated}")
+    folders.remove(spark, pending)
+    spark.catalog.refreshByPath(path)
