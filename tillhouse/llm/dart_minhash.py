@@ -8,9 +8,11 @@ signature, and keeps the earliest of each. Two texts share a coordinate with a c
 their weighted Jaccard similarity. Regions double in size along both axes, so a text looks
 at a few regions per shingle and throws few darts that it cannot use.
 
-Texts that share a band of coordinates are compared, every one with one of the bucket; those
-that are not like it are compared with another one, until nobody is left. Every link is
-checked by the exact similarity of the two texts, and linked texts form classes.
+Texts that share a band of coordinates meet in a bucket. The first one leads, all others are
+compared with it by their signatures, and those unlike every leader lead in turn; the order
+differs from bucket to bucket. Of a large bucket, the texts like the leader are found by a
+join, and if many are left they are dealt again by all other bands. Every link is checked by
+the exact similarity of the two texts, and linked texts form classes.
 """
 
 from __future__ import annotations
@@ -28,15 +30,21 @@ from tillhouse.llm.batches import in_pieces, mixed, stored, texts_of, words_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 24, 4
-COORDINATES = BANDS * ROWS
+COORDINATES, BANDS, ROWS = 96, 32, 6
+#: Coordinates of 96 that two texts must share to be compared exactly. At a similarity of
+#: 0.8 fewer are shared once in a million pairs.
+LEAST_SHARED = 58
+#: Rows of a bucket that one task compares; of larger ones see ``dealt_again``.
+BUCKET_ROWS = 1_000
 #: Rank of the first region; the ones that follow double in size.
 FIRST_RANK = 2.0**-10
 PIECE_BYTES = 2 * 1024 * 1024
 #: Shingles whose regions are looked at at once.
 AT_ONCE = 100_000
 
-SIGNATURES_DDL = "doc_id bigint, text_hash bigint, node binary, bands array<bigint>"
+SIGNATURES_DDL = (
+    "doc_id bigint, text_hash bigint, node binary, bands array<bigint>, sketch binary"
+)
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 ODD = np.array(
@@ -57,7 +65,7 @@ def shingles_of(column: pa.Array, width: int = SHINGLE):
     left = np.repeat(firsts[1:], words.counts) - np.arange(len(hashed))
     for k in range(width):
         part = np.zeros(len(hashed), np.uint64)
-        part[: len(hashed) - k] = hashed[k:] * ODD[k % len(ODD)] + np.uint64(k + 1)
+        part[: max(len(hashed) - k, 0)] = hashed[k:] * ODD[k % len(ODD)] + np.uint64(k + 1)
         part[left <= k] = 0
         total = mixed(total + part) if k else part
     used = (left >= width) | (left == np.repeat(words.counts, words.counts))
@@ -140,9 +148,19 @@ def signatures(owner, element, weight, number: int, coordinates: int = COORDINAT
     return names.reshape(number, coordinates)
 
 
-def bands_of(kept: np.ndarray, bands: int = BANDS) -> np.ndarray:
+def _rows_of_bands(coordinates: int, bands: int, rows: int) -> np.ndarray:
+    """Coordinates of each band: shuffles of all coordinates, cut one after the other, so
+    that each is used equally often and none twice in a band."""
+    random = np.random.default_rng(17)
+    per_shuffle = coordinates // rows
+    shuffles = [random.permutation(coordinates) for _ in range(-(-bands // per_shuffle))]
+    cut = [s[: per_shuffle * rows].reshape(per_shuffle, rows) for s in shuffles]
+    return np.concatenate(cut)[:bands]
+
+
+def bands_of(kept: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """One hash per band of coordinates, as signed 64-bit numbers."""
-    parts = kept.reshape(len(kept), bands, -1)
+    parts = kept[:, _rows_of_bands(kept.shape[1], bands, rows)]
     total = np.zeros(parts.shape[:2], np.uint64)
     for k in range(parts.shape[2]):
         total = mixed(total * ODD[0] + parts[:, :, k])
@@ -154,7 +172,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in in_pieces(batches, "text", PIECE_BYTES):
         texts = table.column("text").combine_chunks()
         owner, element, times, words = shingles_of(texts)
-        kept = bands_of(signatures(owner, element, times, len(table)))
+        darts = signatures(owner, element, times, len(table))
+        kept = bands_of(darts)
+        sketch = (darts & np.uint64(0xFFFF)).astype("<u2")  # equal by chance once in 65,536
         data, offsets = texts_of(texts)
         codes, firsts = words.codes, words.firsts
         hashes = np.array(
@@ -172,8 +192,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             nodes.append(xxhash.xxh3_128_digest(own))
         yield pa.RecordBatch.from_arrays(
             [table.column("doc_id").combine_chunks(), table.column("text_hash").combine_chunks(),
-             pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-            names=["doc_id", "text_hash", "node", "bands"],
+             pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
+             pa.array([x.tobytes() for x in sketch], pa.binary())],
+            names=["doc_id", "text_hash", "node", "bands", "sketch"],
         )
 
 
@@ -237,39 +258,117 @@ def verified(pairs: DataFrame, texts: DataFrame, most: float = SIMILARITY) -> Da
     return both.mapInArrow(_similarity(most), "center binary, node binary, similarity double")
 
 
-def links_of(members: DataFrame, texts_of_nodes, most: float = SIMILARITY) -> DataFrame:
-    """Verified links between nodes that share a band.
+def _sketches(column: pa.Array) -> np.ndarray:
+    joined = b"".join(column.to_pylist())
+    return np.frombuffer(joined, "<u2").reshape(len(column), -1)
+
+
+def _led(least: int):
+    """Compare the rows of each bucket with its leaders; rows come ordered by bucket."""
+
+    def compare(nodes: list[bytes], sketches: np.ndarray, centers: list, others: list) -> None:
+        follows = np.zeros(len(nodes), bool)
+        for i in range(len(nodes) - 1):
+            if not follows[i]:
+                alike = (sketches[i + 1 :] == sketches[i]).sum(axis=1) >= least
+                follows[i + 1 :] |= alike
+                for j in np.flatnonzero(alike).tolist():
+                    centers.append(nodes[i])
+                    others.append(nodes[i + 1 + j])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if rest is not None:
+                table = pa.concat_tables([rest, table]).combine_chunks()
+            buckets = table.column("bucket").to_numpy()
+            heads = np.flatnonzero(np.diff(buckets, prepend=buckets[0] - 1 if len(buckets) else 0))
+            rest = table.slice(int(heads[-1])) if len(heads) else None
+            yield from pairs_in(table, heads)
+        if rest is not None and len(rest):
+            yield from pairs_in(rest, np.array([0, len(rest)]))
+
+    def pairs_in(table: pa.Table, heads: np.ndarray) -> Iterator[pa.RecordBatch]:
+        centers: list[bytes] = []
+        others: list[bytes] = []
+        if len(heads) > 1:
+            nodes = table.column("node").to_pylist()
+            sketches = _sketches(table.column("sketch"))
+            for a, b in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
+                compare(nodes[a:b], sketches[a:b], centers, others)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(centers, pa.binary()), pa.array(others, pa.binary())],
+            names=["center", "node"],
+        )
+
+    return run
+
 
-    ``members`` has (bucket, node). In each bucket the node that comes first by a hash is
-    the center, and all others are compared with it. Those found alike are done with this
-    bucket; the others form it anew without the center, until no bucket has two nodes.
+def _beside_center(least: int):
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shared = _sketches(batch.column("sketch")) == _sketches(batch.column("center_sketch"))
+            columns = [batch.column(c) for c in ("bucket", "node", "center")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(shared.sum(axis=1) >= least)],
+                names=["bucket", "node", "center", "alike"],
+            )
+
+    return compare
+
+
+def dealt_again(large: DataFrame, nodes: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs with the leader of each large bucket, and the other members in new buckets:
+    one for each other band, of those that share that band as well. Texts that are alike
+    share many bands, so they meet again; texts that only share the one are parted."""
+    order = F.struct(F.xxhash64("bucket", "node").alias("order"), "node")
+    leaders = large.groupBy("bucket").agg(F.min(order)["node"].alias("center"))
+    sketches = nodes.select("node", "sketch")
+    with_center = large.join(leaders, "bucket").where("node <> center")
+    beside = with_center.join(sketches, "node").join(
+        sketches.select(F.col("node").alias("center"), F.col("sketch").alias("center_sketch")),
+        "center",
+    ).select("bucket", "node", "sketch", "center", "center_sketch")
+    compared = stored(beside.mapInArrow(
+        _beside_center(least), "bucket bigint, node binary, center binary, alike boolean"
+    ), "beside-leaders")
+    rest = compared.where("not alike").join(nodes.select("node", "bands"), "node")
+    other = rest.select("bucket", "node", F.explode("bands").alias("band"))
+    parted = other.select(F.xxhash64("bucket", "band").alias("bucket"), "node")
+    return compared.where("alike").select("center", "node"), parted
+
+
+def candidates(nodes: DataFrame, least: int = LEAST_SHARED, most: int = BUCKET_ROWS) -> DataFrame:
+    """Pairs (center, node) that share a band and by their sketches are alike, each once.
+
+    ``nodes`` has (node, bands, sketch). Buckets of one row meet nobody. Buckets of up to
+    ``most`` rows are compared in one task each; larger ones are split by ``dealt_again``
+    until none is left.
     """
-    left = stored(members.distinct(), "members")
-    parts: list[DataFrame] = []
-    tried: DataFrame | None = None
+    rows = nodes.select("node", F.explode("bands").alias("bucket"))
+    found: list[DataFrame] = []
     while True:
-        order = F.struct(F.xxhash64("node").alias("order"), "node")
-        buckets = left.groupBy("bucket").agg(
-            F.min(order)["node"].alias("center"), F.count(F.lit(1)).alias("nodes")
-        ).where("nodes > 1").drop("nodes")
-        open_rows = stored(left.join(buckets, "bucket").where("node <> center"), "open")
-        pairs = open_rows.select("center", "node").distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["center", "node"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        if open_rows.isEmpty():
+        counts = stored(
+            rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1"), "buckets"
+        )
+        small = rows.join(counts.where(F.col("rows") <= most), "bucket", "left_semi")
+        with_sketch = small.join(nodes.select("node", "sketch"), "node")
+        ordered = with_sketch.select("bucket", "node", "sketch").repartition(
+            "bucket"
+        ).sortWithinPartitions("bucket", F.xxhash64("bucket", "node"))
+        found.append(ordered.mapInArrow(_led(least), "center binary, node binary"))
+        large = counts.where(F.col("rows") > most)
+        if large.isEmpty():
             break
-        parts.append(stored(verified(pairs, texts_of_nodes(pairs), most), "links"))
-        found = parts[0]
-        for part in parts[1:]:
-            found = found.unionByName(part)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        left = open_rows.join(found.select("center", "node"), ["center", "node"], "left_anti")
-        left = stored(left.select("bucket", "node"), "members")
-    if not parts:
-        spark = members.sparkSession
-        return spark.createDataFrame([], "center binary, node binary, similarity double")
-    return found
+        members = stored(rows.join(large, "bucket", "left_semi"), "large-buckets")
+        pairs, rest = dealt_again(members, nodes, least)
+        found.append(pairs)
+        rows = stored(rest.distinct(), "parted")
+    every = found[0]
+    for part in found[1:]:
+        every = every.unionByName(part)
+    return stored(every.distinct(), "pairs")
 
 
 # --- classes -----------------------------------------------------------------------
@@ -307,7 +406,9 @@ def classes_of(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
-def near_duplicates(docs: DataFrame, most: float = SIMILARITY) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, most: float = SIMILARITY, bucket_rows: int = BUCKET_ROWS
+) -> DataFrame:
     """One row per document: doc_id, text_hash, ``class_id`` and ``class_size``.
 
     Documents belong together if a chain of texts, each at least ``most`` similar to the
@@ -320,27 +421,23 @@ def near_duplicates(docs: DataFrame, most: float = SIMILARITY) -> DataFrame:
     # One document for each node, to take the text from.
     nodes = stored(
         members.where("size(bands) > 0").groupBy("node").agg(
-            F.min(F.struct("doc_id", "text_hash")).alias("from"), F.first("bands").alias("bands")
+            F.min(F.struct("doc_id", "text_hash")).alias("from"),
+            F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
         ), "nodes",
     )
     text = F.coalesce(docs["text"], F.lit(""))
 
-    def texts_of_nodes(pairs: DataFrame) -> DataFrame:
-        used = pairs.select("node").unionByName(
-            pairs.select(F.col("center").alias("node"))
-        ).distinct()
-        wanted = nodes.join(used, "node").select(
-            "node", F.col("from.doc_id").alias("from_id"), F.col("from.text_hash").alias("from_hash")
-        )
-        rows = docs.select(docs["doc_id"].alias("id"), text.alias("text"),
-                           F.xxhash64(text).alias("hash"))
-        same = (F.col("hash") == F.col("from_hash")) & F.col("id").eqNullSafe(F.col("from_id"))
-        found = rows.join(wanted, same).select("node", "text")
-        return stored(found.dropDuplicates(["node"]), "node-texts")
-
-    buckets = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").count().where("count > 1").select("bucket")
-    links = links_of(buckets.join(shared, "bucket", "left_semi"), texts_of_nodes, most)
+    pairs = candidates(nodes, most=bucket_rows)
+    used = pairs.select("node").unionByName(pairs.select(F.col("center").alias("node"))).distinct()
+    wanted = nodes.join(used, "node").select(
+        "node", F.col("from.doc_id").alias("from_id"), F.col("from.text_hash").alias("from_hash")
+    )
+    rows = docs.select(
+        docs["doc_id"].alias("id"), text.alias("text"), F.xxhash64(text).alias("hash")
+    )
+    same = (F.col("hash") == F.col("from_hash")) & F.col("id").eqNullSafe(F.col("from_id"))
+    texts = rows.join(wanted, same).select("node", "text").dropDuplicates(["node"])
+    links = verified(pairs, stored(texts, "node-texts"), most)
     labels = classes_of(links)
     named = members.join(labels, "node", "left").select(
         "doc_id", "text_hash", F.coalesce("label", "node").alias("label")
