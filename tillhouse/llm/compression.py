@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tillhouse.llm.batches import opened, shared
 
 #: Labelled documents of one class that are learned from, at most: those with the smallest
-#: hashes. Half of them make the dictionaries, the others fit the curve.
+#: hashes. Three quarters of them make the dictionaries, the others fit the curve.
 SAMPLE_PER_CLASS = 1600
 #: Characters of the pieces that a dictionary is trained on, bytes of these pieces that the
 #: driver holds for one class, and bytes of a dictionary.
@@ -119,9 +119,9 @@ def train(
     spark = docs.sparkSession
     chosen = F.broadcast(sample(labels, most))  # at most 2 * most ids
     rows = docs.where("text is not null").select("doc_id", "text").join(chosen, "doc_id")
-    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(2))
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(4))
     rows = rows.select("doc_id", "text", "quality", part.alias("part"))
-    pieces = rows.where("part = 0").select(
+    pieces = rows.where("part > 0").select(
         "quality",
         F.explode(F.expr(
             f"transform(sequence(0, cast((char_length(text) - 1) / {PIECE} as int)), "
@@ -147,7 +147,7 @@ def train(
                 [pa.array(found, pa.float64()), batch.column("quality")], ["d", "quality"]
             )
 
-    fitted = rows.where("part = 1").select("text", "quality").mapInArrow(
+    fitted = rows.where("part = 0").select("text", "quality").mapInArrow(
         measure, "d double, quality int"
     ).collect()
     fitted.sort()

@@ -105,9 +105,9 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     ratios = secrets.train(secrets.sampled_tokens(spark, docs))
     found = secrets.scan(docs, ratios)
-    base = F.filter("spans", lambda x: x["kind"] < 3)
+    base = F.expr("filter(spans, x -> x.kind < 3)")
     counts = [
-        F.size(F.filter("spans", lambda x, n=n: x["kind"] == n)).cast("bigint").alias(f"n_{name}")
+        F.expr(f"cast(size(filter(spans, x -> x.kind = {n})) as bigint) as n_{name}")
         for n, name in enumerate(secrets.KINDS[:3])
     ]
     return found.withColumn("base", base).select(

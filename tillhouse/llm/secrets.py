@@ -29,7 +29,7 @@ FIRST_CHARACTER, CHARACTERS = 43, 80
 SAMPLE = 20_000
 SAMPLE_DOCUMENTS = 5_000
 #: Mean log-likelihood ratio of a pair, and of the whole token, from which it is a secret.
-LEAST_MEAN, LEAST_RATIO = 0.7, 12.0
+LEAST_MEAN, LEAST_RATIO = 0.3, 8.0
 #: Entries of a list that are summed up at once.
 BLOCK = 64
 

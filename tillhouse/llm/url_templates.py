@@ -1,10 +1,10 @@
 """Filtering of URLs by a tree of path templates per host.
 
 Paths become templates: numbers and hexadecimal names in a segment are wildcards, and so is
-a segment that takes too many values below its parent. Branches whose labelled pages do not
-differ from those of all their siblings are merged into one wildcard branch. A template is
-rejected if the share of blocked among its labelled pages, smoothed towards that of the
-branch above, is high.
+a segment that takes too many values below its parent. Siblings whose labelled pages are
+blocked about as often, on a scale on which chance weighs alike everywhere, are merged into
+one branch. A template is rejected if the share of blocked among its labelled pages, smoothed
+towards that of the branch above, is high.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ from tillhouse.llm.batches import stored
 DEPTH = 6
 #: A segment is variable if so many values occur below one parent, each on so few pages.
 MANY_VALUES, PAGES_PER_VALUE = 20, 3.0
-#: Standard deviations from which a branch differs from all its siblings.
-DIFFERENT = 1.96
+#: Siblings are merged if their shares, as angles from 0 to pi, fall in one band so wide.
+BAND = 0.4
 #: Pages that the share of the branch above counts as, and the share that rejects.
 PRIOR_PAGES, REJECT_FROM = 5.0, 0.8
 #: A template's row in the join is repeated so often; its pages are dealt among them.
@@ -117,33 +117,41 @@ def templates(judged: DataFrame) -> DataFrame:
 
 
 def _generalised(rows: DataFrame, level: int) -> DataFrame:
-    """The segment of one level made a wildcard where it is variable, or where its branch
-    does not differ from its siblings together."""
+    """The segment of one level made a wildcard where it is variable, and a wildcard with
+    the number of its band where siblings are alike."""
     parent, segment = _branch(level - 1), F.get("template", F.lit(level - 1))
     keyed = rows.withColumns({"parent": parent, "segment": segment})
     inner = keyed.where("segment is not null")
     sums = [F.sum(c).alias(c) for c in ("pages", "labelled", "blocked")]
     children = inner.groupBy("host", "parent", "segment").agg(*sums)
     parents = children.groupBy("host", "parent").agg(
-        F.count(F.lit(1)).alias("values"), *[F.sum(c).alias(f"all_{c}")
-                                             for c in ("pages", "labelled", "blocked")]
+        F.count(F.lit(1)).alias("values"), F.sum("pages").alias("all_pages")
+    )
+    angle = 2 * F.asin(F.sqrt((F.col("blocked") + 0.5) / (F.col("labelled") + 1)))
+    children = children.withColumn(
+        "band", F.when(F.col("labelled") > 0, F.floor(angle / BAND))
+    )
+    bands = children.where("band is not null").groupBy("host", "parent", "band").agg(
+        F.count(F.lit(1)).alias("members")
     )
-    rate = F.col("all_blocked") / F.col("all_labelled")
-    off = F.abs(F.col("blocked") / F.col("labelled") - rate)
-    spread = F.sqrt(rate * (1 - rate) / F.col("labelled"))
-    alike = (F.col("values") > 1) & (F.col("labelled") > 0) & (off <= DIFFERENT * spread)
     variable = (F.col("values") >= MANY_VALUES) & (
         F.col("all_pages") <= PAGES_PER_VALUE * F.col("values")
     )
-    wild = children.join(parents, ["host", "parent"]).where(variable | alike).select(
-        "host", "parent", "segment", F.lit(True).alias("wild")
+    name = F.when(variable, "*").when(
+        F.col("members") > 1, F.concat(F.lit("*"), F.col("band").cast("string"))
+    )
+    wild = (
+        children.join(parents, ["host", "parent"])
+        .join(bands, ["host", "parent", "band"], "left")
+        .select("host", "parent", "segment", name.alias("wild"))
+        .where("wild is not null")
     )
     found = keyed.join(wild, ["host", "parent", "segment"], "left")
     changed = F.concat(
-        F.slice("template", 1, level - 1), F.array(F.lit("*")),
+        F.slice("template", 1, level - 1), F.array("wild"),
         F.slice("template", level + 1, DEPTH + 2),
     )
-    template = F.when(F.col("wild"), changed).otherwise(F.col("template"))
+    template = F.when(F.col("wild").isNotNull(), changed).otherwise(F.col("template"))
     return found.withColumn("template", template).drop("parent", "segment", "wild")
 
 
