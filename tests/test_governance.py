@@ -37,6 +37,15 @@ def test_support_sees_filtered_interactions(spark, rows):
     assert rows(governance.team_view(contacts, "support", "customer_interaction"), "customer_id") == [(1,)]
 
 
+def test_marketing_sees_salted_digests_only(spark, rows):
+    visit = ("s", 5, "plain", "/", "Tv", "X", "CLICK", NOW, NOW.date(), False, 2024, 5, 8, 12)
+    visits = spark.createDataFrame([visit], S.SILVER_WTL)
+    with pytest.raises(ValueError, match="salt"):
+        governance.team_view(visits, "marketing", "wtl")
+    view = governance.team_view(visits, "marketing", "wtl", salt="pepper")
+    assert rows(view, "hashed_user_id") == [(hashlib.sha256(b"pepper5").hexdigest(),)]
+
+
 def test_other_teams_have_no_access(sales):
     with pytest.raises(PermissionError):
         governance.team_view(sales, "marketing", "pos")

@@ -49,8 +49,8 @@ def test_marts_hold_one_run(spark, lake):
 
 def test_refused_rows_lie_outside_the_tables(spark, lake):
     def reasons(table):
-        path = f"{lake.rejected}/{table.name}/year=2024/month=05/day=08"
-        return sorted(r.reject_reason for r in spark.read.json(path).collect())
+        found = jobs.read_rejects(spark, lake, table).where("year = 2024 AND day = 8")
+        return sorted(r.reject_reason for r in found.collect())
 
     assert reasons(POS) == ["bad_quantity", "null_key"]
     assert reasons(INVENTORY) == ["bad_stock_level"]
@@ -58,6 +58,40 @@ def test_refused_rows_lie_outside_the_tables(spark, lake):
     assert not lake.rejected.startswith(lake.silver(POS))
 
 
+def test_every_row_without_key_is_kept_and_runs_stay_apart(spark, tmp_path):
+    lake = jobs.Lake(str(tmp_path))
+    first = [(None, 1, i, 1, float(i), None, NOON) for i in range(10)]
+    first += [("a", 1, 1, 1, 1.0, None, NOON)] * 2
+    second = [("b", 1, 1, -1, 1.0, None, NOON)]
+    for run, rows in (("10", first), ("11", second), ("10", first)):
+        bronze = spark.createDataFrame(rows, S.BRONZE_POS)
+        jobs.refresh_silver(spark, lake, bronze, POS, DATE, run)
+    found = jobs.read_rejects(spark, lake, POS).collect()
+    assert sorted(r.product_id for r in found if r.run == "10") == list("0123456789")
+    assert [r.reject_reason for r in found if r.run == "11"] == ["bad_quantity"]
+    assert [r.transaction_id for r in jobs.read_silver(spark, lake, POS).collect()] == ["a"]
+
+
+def test_resolution_of_the_next_day_counts_on_that_day(spark, tmp_path):
+    lake = jobs.Lake(str(tmp_path))
+    contacts = [(1, "Complaint", None, 4, "m", NOON), (1, "Resolution", None, None, "m", NOON + 86_400),
+                (2, "Feedback", None, 5, "m", NOON)]
+    bronze = spark.createDataFrame(contacts, S.BRONZE_CRM)
+    jobs.refresh_silver(spark, lake, bronze, CRM, DATE)
+    jobs.refresh_support(spark, lake, DATE + dt.timedelta(days=1))
+    assert [(r[0], r[2], float(r[5])) for r in mart(spark, lake, S.SUPPORT_MART)] == [(1, 0, 24.0)]
+
+
+def test_ids_beyond_int(spark, tmp_path):
+    lake, big = jobs.Lake(str(tmp_path)), 2**31 + 7
+    rows = [(big, big, 1, 4, 5, NOON)]
+    jobs.refresh_silver(
+        spark, lake, spark.createDataFrame(rows, S.BRONZE_INVENTORY), INVENTORY, DATE
+    )
+    stored = jobs.read_silver(spark, lake, INVENTORY).first()
+    assert (stored.inventory_id, stored.product_id) == (big, big)
+
+
 def test_gold_files_of_every_metric(lake):
     found = {p.parent.parent.parent.parent.name for p in Path(lake.gold).rglob("_SUCCESS")}
     assert found == {
@@ -82,7 +116,7 @@ def test_purge_rewrites_only_partitions_that_lose_rows(spark, tmp_path):
     jobs.refresh_silver(spark, lake, spark.createDataFrame(contacts, S.BRONZE_CRM), CRM, DATE)
     untouched = next(Path(lake.silver(CRM)).rglob("day=10/*.parquet"))
     stamp = untouched.stat().st_mtime_ns
-    forgotten = spark.createDataFrame([(1,)], "customer_id int")
+    forgotten = spark.createDataFrame([(1,)], "customer_id bigint")
     for _ in range(2):
         jobs.purge_users(spark, lake, CRM, DATE, 30, forgotten, "customer_id")
         left = jobs.read_silver(spark, lake, CRM).collect()

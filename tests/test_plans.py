@@ -5,10 +5,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_points
 from tillhouse import queries as Q
 from tillhouse import schemas as S
-from tillhouse import session
 from tillhouse.operators.survivors import keep_newest
 from tillhouse.plans import operations
 
@@ -16,7 +14,7 @@ SF_DIR = "/root/testdata/sf0.001"
 # Queries that write nothing before they return, so that building them is free.
 LAZY = sorted(
     name
-    for name in entry_points.queries()
+    for name in Q.REGISTRY
     if not re.search(r"stream|scan|landing|roundtrip|csv|moved|merge_crm|latest|audit", name)
 )
 
@@ -27,7 +25,7 @@ def physical(df) -> str:
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_cross_join_no_python_no_forced_broadcast(spark, name):
-    result = entry_points.queries()[name](spark, SF_DIR)
+    result = Q.REGISTRY[name](spark, SF_DIR)
     plan = physical(result)
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "ArrowEval"):
         assert operator not in plan
@@ -65,18 +63,17 @@ def test_day_filter_reaches_the_scan(spark, folder):
     assert "GreaterThanOrEqual(last_updated,2024-05-08" in plan
 
 
-def test_shuffles_grow_with_the_input_and_never_shrink(spark, folder, monkeypatch):
-    before = spark.conf.get(session.INITIAL_REDUCERS, None)
-    spark.range(10).write.parquet(folder, mode="overwrite")
-    frame = spark.read.parquet(folder)
-    try:
-        session.size_shuffles(frame)
-        assert spark.conf.get(session.INITIAL_REDUCERS, None) == before
-        monkeypatch.setattr(session, "BYTES_PER_REDUCER", 1)
-        session.size_shuffles(frame)
-        raised = int(spark.conf.get(session.INITIAL_REDUCERS))
-        assert 100 < raised <= session.MOST_REDUCERS
-        session.size_shuffles(frame.limit(0))
-        assert int(spark.conf.get(session.INITIAL_REDUCERS)) == raised
-    finally:
-        spark.conf.unset(session.INITIAL_REDUCERS)
+def test_a_plan_does_not_depend_on_what_ran_before(spark):
+    def shape():
+        plan = physical(Q.REGISTRY["sales_mart"](spark, SF_DIR))
+        return re.sub(r"#\d+L?|plan_id=\d+|Location.*", "", plan), dict(spark.conf.getAll)
+
+    before = shape()
+    for name in ("sales_mart_month", "web_sessions_gap", "dq_profile"):
+        Q.REGISTRY[name](spark, "/root/testdata/sf0.01").count()
+    assert shape() == before
+
+
+def test_store_label_is_found_without_sorting_sales(spark):
+    plan = physical(Q.REGISTRY["sales_by_store"](spark, SF_DIR))
+    assert not re.search(r"SortAggregate\(key=\[store_id", plan)

@@ -73,7 +73,8 @@ def test_newest_copy_survives_and_hides_an_older_good_one(spark, rows):
 
 def test_bad_text_becomes_null_instead_of_an_error(spark, rows):
     bronze = spark.createDataFrame(
-        [("a", "1", "x", "2", "3.5", "bad", "oops"), ("b", "1", "1", "two", "1", None, str(NOON))],
+        [("a", "1", "x", "2", "3.5", None, "oops"), ("b", "1", "1", "two", "1", None, str(NOON)),
+         ("c", "1", "1", "2", "3.5", "oops", str(NOON))],
         "transaction_id string, store_id string, product_id string, quantity string,"
         " revenue string, discount_applied string, timestamp string",
     )
@@ -81,7 +82,9 @@ def test_bad_text_becomes_null_instead_of_an_error(spark, rows):
     assert rows(result, "transaction_id", "store_id", "product_id", "net_revenue", "timestamp") == [
         ("a", 1, None, 3.5, None)
     ]
-    assert rows(silver.rejects(bronze, POS), "transaction_id") == [("b",)]
+    assert rows(silver.rejects(bronze, POS), "transaction_id", "reject_reason") == [
+        ("b", "bad_quantity"), ("c", "bad_discount")
+    ]
 
 
 def test_epoch_fraction_is_dropped_and_absurd_epoch_is_null(spark, rows):

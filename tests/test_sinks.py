@@ -6,12 +6,13 @@ from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from tillhouse import schemas as S
 from tillhouse.operators.merging import merge_frames
 from tillhouse.plans.periods import Period
 from tillhouse.plans.silver import CRM, INVENTORY, POS
-from tillhouse.sinks import landing, reports
+from tillhouse.sinks import folders, landing, reports
 from tillhouse.sinks import tables as sink
 from tillhouse.sources.tables import read_partition_folder, read_table, register_folder
 
@@ -256,6 +257,49 @@ def test_broken_mart_keys_are_refused(spark, folder, rows, second, problem):
     assert not Path(f"{folder}/mart").exists()
 
 
+def sold_on(spark, folder, *rows):
+    frame = spark.createDataFrame(rows, S.SALES_MART.schema)
+    return reports.write_csv(frame, folder, "sales_mart", rows[0][-1])
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_value_that_does_not_fit_is_an_error(spark, folder, ansi):
+    path = sold_on(spark, folder, (1, 1, 1.0, 1, 1, True, 1.0, dt.date(2024, 5, 8)))
+    name = S.SALES_MART.schema.names[4]
+    text = spark.read.option("header", True).csv(path).withColumn(name, F.lit("3000000000"))
+    text.write.mode("overwrite").option("header", True).csv(f"{folder}/large")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match=name):
+            reports.load_mart(spark, f"{folder}/large", S.SALES_MART, f"{folder}/mart")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert not Path(f"{folder}/mart").exists()
+
+
+def test_interrupted_mart_load_is_finished_by_the_next(spark, folder, monkeypatch):
+    days = [dt.date(2024, 5, d) for d in (8, 9, 10)]
+    row = (1, 1, 1.0, 1, 1, True, 1.0)
+    first = sold_on(spark, f"{folder}/a", *[(*row, d) for d in days[:2]])
+    second = sold_on(spark, f"{folder}/b", (*row, days[2]))
+    moves = []
+
+    def stop(spark_, source, target, move=folders.move):
+        if moves:
+            raise OSError("stopped")
+        moves.append(target)
+        move(spark_, source, target)
+
+    monkeypatch.setattr(folders, "move", stop)
+    with pytest.raises(OSError):
+        reports.load_mart(spark, first, S.SALES_MART, f"{folder}/mart")
+    monkeypatch.undo()
+    reports.load_mart(spark, second, S.SALES_MART, f"{folder}/mart")
+    held = spark.read.schema(S.SALES_MART.schema).parquet(f"{folder}/mart")
+    assert sorted(r.date for r in held.collect()) == days
+
+
 def test_mart_contracts_match_the_warehouse_tables():
     assert {m.name: (len(m.schema), m.key) for m in S.MARTS.values()} == {
         "sales_mart": (8, ("product_id", "store_id", "date")),

@@ -7,10 +7,12 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillhouse import schemas as S
 from tillhouse.operators.governance import retain
-from tillhouse.operators.screening import failing, passing
+from tillhouse.operators.screening import REASON, failing, passing, require_columns
 from tillhouse.plans import marketing, operations, sales, support
 from tillhouse.plans.periods import Period
 from tillhouse.plans.silver import (
@@ -19,6 +21,7 @@ from tillhouse.plans.silver import (
     POS,
     WTL,
     SilverTable,
+    keyed,
     keyless,
     project,
     survivors,
@@ -56,27 +59,48 @@ class Lake:
 
 
 def refresh_silver(
-    spark: SparkSession, lake: Lake, bronze: DataFrame, table: SilverTable, date: dt.date
+    spark: SparkSession,
+    lake: Lake,
+    bronze: DataFrame,
+    table: SilverTable,
+    date: dt.date,
+    run: str = "daily",
 ) -> None:
     """Deduplicate and check a feed, upsert the good rows, set the others aside.
 
-    The deduplicated rows are stored once in the working folder, since three consumers
-    read them: the upsert and two kinds of refused rows.
+    Rows whose typed key is incomplete are set aside first, every one of them, since a
+    deduplication would take them for copies of one row. Refused rows lie by date, run and
+    reason; a run that is repeated replaces its own, other runs of the date (name them by
+    hour or batch) stay. Accepted rows, refused rows and copies together are the input.
+
+    The deduplicated rows are stored once in the working folder, since two consumers read
+    them: the upsert and the refused rows.
     """
+    require_columns(bronze, table.keys)
     folder = working_folder(spark, f"survivors-{table.name}")
-    survivors(bronze, table).write.parquet(folder)
+    survivors(keyed(bronze, table), table).write.parquet(folder)
     rows = spark.read.parquet(folder)
-    good = passing(rows, table.checks())
-    upsert(spark, lake.silver(table), project(good, table), table)
+    upsert(spark, lake.silver(table), project(passing(rows, table.checks()), table), table)
     (
         failing(rows, table.checks())
-        .unionByName(keyless(good, table))
+        .unionByName(keyless(bronze, table))
         .write.mode("overwrite")
-        .json(dated_folder(lake.rejected, table.name, date))
+        .partitionBy(REASON)
+        .json(f"{dated_folder(lake.rejected, table.name, date)}/run={run}")
     )
     folders.remove(spark, folder)
 
 
+def read_rejects(spark: SparkSession, lake: Lake, table: SilverTable) -> DataFrame:
+    """Refused rows of a table: all runs of all dates, with ``reject_reason``, ``run`` and
+    the date as ``year``, ``month``, ``day``."""
+    names = [f.name for f in table.bronze]
+    texts = [T.StructField(name, T.StringType()) for name in [*names, REASON, "run"]]
+    dates = [T.StructField(name, T.IntegerType()) for name in ("year", "month", "day")]
+    path = f"{lake.rejected}/{table.name}"
+    return spark.read.schema(T.StructType([*texts, *dates])).json(path)
+
+
 def read_silver(
     spark: SparkSession, lake: Lake, table: SilverTable, period: Period | None = None
 ) -> DataFrame:
@@ -127,12 +151,17 @@ def refresh_operations(spark: SparkSession, lake: Lake, date: dt.date) -> None:
 
 
 def refresh_support(spark: SparkSession, lake: Lake, date: dt.date) -> None:
-    """Support metrics of a day as single CSV files, and the support mart."""
+    """Support metrics of a day as single CSV files, and the support mart.
+
+    A Resolution may answer an interaction of an earlier day, so the mart also reads the
+    history of the customers with a Resolution on the day.
+    """
+    history = read_silver(spark, lake, CRM).where(F.col("date") <= F.lit(date))
     crm = read_silver(spark, lake, CRM, Period.day_of(date))
     root = f"{lake.gold}/customer_support_kpis"
     write_csv(support.feedback_score(crm), root, "feedback_score", date, single_file=True)
     write_csv(support.interaction_volume(crm), root, "interaction_volume", date, single_file=True)
-    publish(spark, lake, support.customer_support_mart(crm, date), S.SUPPORT_MART, date)
+    publish(spark, lake, support.daily_support_mart(history, date), S.SUPPORT_MART, date)
 
 
 def purge_users(

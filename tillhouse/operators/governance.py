@@ -53,9 +53,13 @@ def team_view(
     table: str,
     row_filter: str | None = None,
     allowed: DataFrame | None = None,
+    salt: str | None = None,
 ) -> DataFrame:
     """The part of a table a team may read.
 
+    Where a view shows ``hashed_user_id``, it is the digest with the ``salt``, which is
+    required then: the digest without it is undone by counting upwards.
+
     ``row_filter`` narrows it further (``store_id = 103``). ``allowed`` is a policy
     table: only rows whose values of its columns occur there are kept.
     """
@@ -63,6 +67,10 @@ def team_view(
         view = TEAM_VIEWS[team, table]
     except KeyError:
         raise PermissionError(f"team {team!r} has no access to {table!r}") from None
+    if "hashed_user_id" in view.columns:
+        if not salt:
+            raise ValueError(f"{table} for {team} needs a salt")
+        df = df.withColumn("hashed_user_id", salted_sha256_hex(F.col("user_id"), salt))
     for condition in (view.row_filter, row_filter):
         if condition:
             df = df.where(condition)

@@ -11,6 +11,7 @@ many events the owner has.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -30,6 +31,7 @@ def resolution_totals(
     interactions: DataFrame,
     owner: Sequence[str] = ("customer_id",),
     extra: dict[str, Column] | None = None,
+    day: dt.date | None = None,
 ) -> DataFrame:
     """Seconds between each Resolution and the owner's previous interaction, summed.
 
@@ -40,6 +42,9 @@ def resolution_totals(
 
     ``extra`` names further sums over the owner's rows, each given as a column that is
     added up; they ride along and spare a second pass over the table.
+
+    With ``day`` only that day's Resolutions and rows are counted (owners without rows on
+    it are left out), while the previous interaction may be of any earlier day.
     """
     extra = extra or {}
     owner = list(owner)
@@ -79,6 +84,8 @@ def resolution_totals(
     previous_day_end = F.lag("last_second").over(Window.partitionBy(*owner).orderBy("day"))
     opening = F.col("opens_with_resolution") == 1
     bridged = days.withColumn("night", F.col("first_second") - previous_day_end)
+    if day is not None:
+        bridged = bridged.where(F.col("day") == (day - dt.date(1970, 1, 1)).days)
     return bridged.groupBy(*owner).agg(
         F.sum(
             F.col("resolutions")

@@ -11,7 +11,7 @@ from __future__ import annotations
 BRONZE_POS = """
 bronze_pos AS (
   SELECT concat(l_orderkey, '-', l_linenumber) AS transaction_id,
-    CAST(l_suppkey AS INTEGER) AS store_id, CAST(l_partkey AS INTEGER) AS product_id,
+    CAST(l_suppkey AS BIGINT) AS store_id, CAST(l_partkey AS BIGINT) AS product_id,
     CAST(CAST(l_quantity AS INTEGER) - CASE WHEN l_partkey % 97 = 0 THEN 60 ELSE 0 END
       AS INTEGER) AS quantity,
     l_extendedprice AS revenue,
@@ -21,8 +21,8 @@ bronze_pos AS (
 
 BRONZE_INVENTORY = """
 bronze_inventory AS (
-  SELECT CAST(p_partkey * 5 + w AS INTEGER) AS inventory_id,
-    CAST(p_partkey AS INTEGER) AS product_id, CAST(w AS INTEGER) AS warehouse_id,
+  SELECT CAST(p_partkey * 5 + w AS BIGINT) AS inventory_id,
+    CAST(p_partkey AS BIGINT) AS product_id, CAST(w AS INTEGER) AS warehouse_id,
     CAST((p_partkey * 31 + w * 17 + g * 7) % 60 - 5 AS INTEGER) AS stock_level,
     CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE CAST(p_size % 25 - 1 AS INTEGER) END
       AS restock_threshold,
@@ -38,7 +38,7 @@ CHANNEL = """CASE event_id % 4 WHEN 0 THEN 'email' WHEN 1 THEN 'Phone' WHEN 2 TH
 
 BRONZE_CRM = f"""
 bronze_crm AS (
-  SELECT event_id, CAST(user_id AS INTEGER) AS customer_id,
+  SELECT event_id, CAST(user_id AS BIGINT) AS customer_id,
     {INTERACTION_TYPE} AS interaction_type,
     {CHANNEL} AS channel,
     CASE WHEN event_id % 6 = 5 THEN NULL ELSE CAST((event_id * 7) % 8 AS INTEGER) END AS rating,
@@ -49,7 +49,7 @@ bronze_crm AS (
 BRONZE_WTL = """
 bronze_wtl AS (
   SELECT concat(user_id, '-', CAST(ts AS DATE)) AS session_id,
-    CASE WHEN event_id % 10 = 0 THEN NULL ELSE CAST(user_id AS INTEGER) END AS user_id,
+    CASE WHEN event_id % 10 = 0 THEN NULL ELSE CAST(user_id AS BIGINT) END AS user_id,
     concat('/p/', (event_id + g) % 50) AS page,
     CASE event_id % 4 WHEN 0 THEN 'mobile' WHEN 1 THEN 'DESKTOP' WHEN 2 THEN 'tablet'
       ELSE NULL END AS device_type,
@@ -297,6 +297,53 @@ merged AS (
     SELECT 1 FROM buying AS n WHERE n.customer_id = b.customer_id AND n.timestamp = b.timestamp))
 SELECT {CRM_COLUMNS} FROM merged"""
 
+ORACLES["merge_wtl"] = f"""WITH {WTL},
+again AS (
+  SELECT * REPLACE ('Tv' AS device_type) FROM wtl
+  WHERE epoch_us(timestamp) // 1000000 % 2 = 0)
+SELECT {WTL_COLUMNS} FROM (
+  SELECT * FROM again
+  UNION ALL
+  SELECT * FROM wtl WHERE epoch_us(timestamp) // 1000000 % 2 <> 0) AS merged"""
+
+SOME_SALES = """
+some_raw AS (
+  SELECT * FROM bronze_pos WHERE timestamp BETWEEN 775000000 AND 790000000)"""
+ORACLES["merge_pos_stored"] = f"""WITH {BRONZE_POS},{SOME_SALES},
+moved_raw AS (
+  SELECT * REPLACE (timestamp + 40 * 86400 AS timestamp) FROM some_raw
+  WHERE product_id % 3 = 0),
+{pos_silver('some_raw', 'stored')},
+{pos_silver('moved_raw', 'moved')},
+merged AS (
+  SELECT * FROM moved
+  UNION ALL
+  SELECT * FROM stored WHERE transaction_id NOT IN (SELECT transaction_id FROM moved))
+SELECT {POS_COLUMNS} FROM merged"""
+
+# --- jobs --------------------------------------------------------------------------
+
+
+def refused(status: str) -> str:
+    raw, name = f"raw_{status}", f"sold_{status}"
+    return f"""
+{raw} AS (
+  SELECT * FROM some_raw WHERE l_linestatus = '{status}' AND product_id % 50 <> 0),
+{pos_silver(raw, name)},
+refused_{status} AS (
+  SELECT transaction_id, store_id, product_id, quantity,
+    CASE WHEN quantity >= 0 THEN 'bad_revenue' ELSE 'bad_quantity' END AS reject_reason
+  FROM {name}_one WHERE NOT coalesce(quantity >= 0 AND revenue >= 0, FALSE)
+  UNION ALL
+  SELECT NULL, store_id, product_id, quantity, 'null_key' FROM some_raw
+  WHERE l_linestatus = '{status}' AND product_id % 50 = 0)"""
+
+
+ORACLES["job_rejects_pos"] = f"""WITH {BRONZE_POS},{SOME_SALES},{refused('F')},{refused('O')}
+SELECT transaction_id, store_id, product_id, CAST(quantity AS BIGINT) AS quantity,
+  reject_reason, run
+FROM (SELECT *, 'F' AS run FROM refused_F UNION ALL SELECT *, 'O' FROM refused_O) AS refused"""
+
 # --- support -----------------------------------------------------------------------
 
 ORACLES["feedback_score"] = f"""WITH {CRM}
@@ -336,6 +383,28 @@ SELECT customer_id, {number('avg(rating)', 'avg_rating')},
   '2024-01-31' AS date
 FROM timed GROUP BY customer_id"""
 
+
+
+def stored_support(day: str, date: str) -> str:
+    """The mart as loaded from CSV: decimals are rounded from text."""
+    rating = "CAST(CAST(avg(rating) AS VARCHAR) AS DECIMAL(3, 1))"
+    hours = "avg(wait) FILTER (interaction_type = 'RESOLUTION') / 3600.0"
+    hours = f"CAST(CAST({hours} AS VARCHAR) AS DECIMAL(6, 2))"
+    counts = ", ".join(
+        f"CAST(count(*) FILTER (interaction_type = '{kind}') AS INTEGER) AS {name}_count"
+        for kind, name in (
+            ("COMPLAINT", "complaint"), ("FEEDBACK", "feedback"), ("LOYALTY_ACTION", "loyalty")
+        )
+    )
+    return f"""WITH {CRM},{previous_time('crm')}
+SELECT customer_id, {number(rating, 'avg_rating')}, {counts},
+  {number(hours, 'avg_resolution_hours')}, '{date}' AS date
+FROM timed WHERE {day} GROUP BY customer_id"""
+
+
+ORACLES["mart_roundtrip_support"] = stored_support("TRUE", "2024-01-31")
+ORACLES["job_support_mart"] = stored_support("date = DATE '2024-01-20'", "2024-01-20")
+
 SNAPSHOT = f"""WITH {LIVE},
 cleaned AS (
   SELECT customer_id, interaction_type, TRY_CAST(rating AS DOUBLE) AS rating,
@@ -448,11 +517,11 @@ ORACLES["sales_mart_month"] = sales_mart(
     "year(timestamp) = 1998 AND month(timestamp) = 6",
     "year(last_updated) = 1998 AND month(last_updated) = 6",
 )
-ORACLES["mart_roundtrip_sales"] = sales_mart(units="INTEGER")
+ORACLES["mart_roundtrip_sales"] = sales_mart()
 
 ORACLES["sales_by_store"] = f"""WITH {POS},{INVENTORY},
 ordered AS (
-  SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY timestamp, transaction_id) AS place
+  SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY timestamp, product_id) AS place
   FROM pos),
 sold AS (
   SELECT store_id, sum(CAST(revenue AS DOUBLE)) AS total_sales,
@@ -528,6 +597,13 @@ SELECT product_id, {number('inventory_turnover', 'inventory_turnover')},
   '1998-06-15' AS date
 FROM turned FULL JOIN state USING (product_id)"""
 
+ORACLES["mart_roundtrip_operations"] = (
+    ORACLES["operations_mart"]
+    .replace(number("inventory_turnover", "inventory_turnover"), number(
+        "CAST(CAST(inventory_turnover AS VARCHAR) AS DECIMAL(10, 2))", "inventory_turnover"))
+    .replace("coalesce(low, 0) AS", "CAST(coalesce(low, 0) AS INTEGER) AS")
+)
+
 # --- streams -----------------------------------------------------------------------
 
 ORACLES["stream_landing"] = f"""
@@ -597,7 +673,7 @@ FROM valid"""
 
 
 PROFILE_TYPES = {
-    "customer_id": "INTEGER", "interaction_type": "VARCHAR", "channel": "VARCHAR",
+    "customer_id": "BIGINT", "interaction_type": "VARCHAR", "channel": "VARCHAR",
     "rating": "INTEGER", "message_excerpt": "VARCHAR", "timestamp": "BIGINT",
 }
 ORACLES["dq_profile"] = f"WITH {LIVE}, valid AS (SELECT * FROM live WHERE outcome = 'valid') " + (

@@ -61,16 +61,31 @@ def sales_by_store(
     sales_period: Period | None = None,
     inventory_period: Period | None = None,
 ) -> DataFrame:
-    """Store totals labelled with one product: that of the store's earliest sale."""
-    earliest = F.struct("timestamp", "transaction_id")
+    """Store totals labelled with one product: that of the store's earliest sale, of
+    several at that time the least product.
+
+    Sums and the first time of each (store, product) come from a hash aggregate over all
+    sales; the label is found among those few rows, without a sort.
+    """
+    chosen = within(pos, sales_period)
+    by_product = chosen.groupBy("store_id", "product_id").agg(
+        F.sum("revenue").alias("total_sales"),
+        F.sum("quantity").alias("total_units"),
+        F.min("timestamp").alias("first_sale"),
+    )
+    totals = by_product.groupBy("store_id").agg(
+        F.sum("total_sales").alias("total_sales"),
+        F.sum("total_units").alias("total_units"),
+        F.min("first_sale").alias("first_of_store"),
+    )
+    each, store = by_product.alias("each"), totals.alias("store")
+    at_first = F.col("each.store_id").eqNullSafe(F.col("store.store_id")) & F.col(
+        "each.first_sale"
+    ).eqNullSafe(F.col("store.first_of_store"))
     sales = (
-        within(pos, sales_period)
-        .groupBy("store_id")
-        .agg(
-            F.sum("revenue").alias("total_sales"),
-            F.sum("quantity").alias("total_units"),
-            F.min_by("product_id", earliest).alias("product_id"),
-        )
+        store.join(each, at_first)
+        .groupBy("store.store_id", "store.total_sales", "store.total_units")
+        .agg(F.min("each.product_id").alias("product_id"))
     )
     return _with_stock(sales, within(inventory, inventory_period), processing_date)
 

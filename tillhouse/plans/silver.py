@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,17 +54,24 @@ class SilverTable:
     key_fixes_partition: bool = False
 
 
+def _discount() -> Column:
+    return F.when(F.col("discount_applied").isNull(), 0.0).otherwise(
+        number("discount_applied", "double")
+    )
+
+
 def _pos_checks() -> dict[str, Column]:
     return {
         "bad_quantity": number("quantity", "int") >= 0,
         "bad_revenue": number("revenue", "double") >= 0,
+        "bad_discount": _discount().isNotNull(),
     }
 
 
 def _pos_columns() -> dict[str, Column]:
     sold_at = moment("timestamp")
     revenue = number("revenue", "double")
-    discount = F.coalesce(number("discount_applied", "double"), F.lit(0.0))
+    discount = _discount()
     return {
         "transaction_id": F.col("transaction_id"),
         "store_id": F.col("store_id"),
@@ -162,7 +171,8 @@ TABLES = {t.name: t for t in (POS, INVENTORY, CRM, WTL)}
 
 
 def survivors(bronze: DataFrame, table: SilverTable) -> DataFrame:
-    """Raw rows after deduplication, before the checks."""
+    """Raw rows after deduplication, before the checks. Rows with a null key form one
+    group; a job sets them aside before (``keyless``)."""
     require_columns(bronze, table.keys)
     return keep_newest(bronze, table.keys, table.time_column)
 
@@ -196,6 +206,12 @@ def keyless(rows: DataFrame, table: SilverTable) -> DataFrame:
     return with_broken_key(rows, [typed[key] for key in table.keys])
 
 
+def keyed(rows: DataFrame, table: SilverTable) -> DataFrame:
+    """Raw rows whose key is complete once typed: the complement of ``keyless``."""
+    typed = _typed(table)
+    return rows.where(reduce(and_, [typed[key].isNotNull() for key in table.keys]))
+
+
 def silver_pos(bronze: DataFrame) -> DataFrame:
     """Sales: one row per transaction, non-negative quantity and revenue."""
     return refine(bronze, POS)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.functions.columns import holds, moment, number, ratio, type_counts_json
 from tillhouse.operators.timelines import resolution_totals
-from tillhouse.schemas import COMPLAINT, FEEDBACK, LOYALTY_ACTION
+from tillhouse.schemas import COMPLAINT, FEEDBACK, LOYALTY_ACTION, RESOLUTION
 
 
 def feedback_score(crm: DataFrame) -> DataFrame:
@@ -53,11 +53,25 @@ def time_to_resolution(crm: DataFrame) -> DataFrame:
     )
 
 
-def customer_support_mart(crm: DataFrame, processing_date: dt.date) -> DataFrame:
+def daily_support_mart(history: DataFrame, day: dt.date) -> DataFrame:
+    """Support mart of one day. ``history`` holds that day and the days before; of these
+    only the customers with a Resolution on the day are read."""
+    today = history.where(F.col("date") == F.lit(day))
+    resolved = today.where(F.col("interaction_type") == RESOLUTION).select("customer_id")
+    earlier = history.where(F.col("date") < F.lit(day)).join(
+        resolved.distinct(), "customer_id", "left_semi"
+    )
+    return customer_support_mart(earlier.unionByName(today), day, day)
+
+
+def customer_support_mart(
+    crm: DataFrame, processing_date: dt.date, day: dt.date | None = None
+) -> DataFrame:
     """Ratings, interaction counts and resolution time of each customer.
 
     The time is null for a customer without a Resolution that follows something.
-    Interactions without a customer or a time do not count.
+    Interactions without a customer or a time do not count. With ``day`` the row tells
+    of that day, with the time since interactions of earlier days.
     """
 
     def of_type(name: str) -> Column:
@@ -72,6 +86,7 @@ def customer_support_mart(crm: DataFrame, processing_date: dt.date) -> DataFrame
             "feedback_count": of_type(FEEDBACK),
             "loyalty_count": of_type(LOYALTY_ACTION),
         },
+        day=day,
     )
     return totals.select(
         "customer_id",

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillhouse import jobs
 from tillhouse import schemas as S
 from tillhouse.functions.columns import moment
 from tillhouse.operators import governance
@@ -26,7 +27,7 @@ from tillhouse.operators.screening import failing, passing
 from tillhouse.operators.timelines import gap_sessions
 from tillhouse.plans import marketing, operations, sales, silver, support
 from tillhouse.plans.periods import Period
-from tillhouse.session import prepare, size_shuffles, working_folder
+from tillhouse.session import prepare, working_folder
 from tillhouse.sinks import landing
 from tillhouse.sinks.reports import load_mart, mart_violations, write_csv
 from tillhouse.sinks.tables import upsert, write_partitioned
@@ -41,7 +42,9 @@ REGISTRY: dict[str, Query] = {}
 # The dates the reports are made for.
 SALES_DATE = dt.date(1998, 6, 15)
 SALES_MONTH = Period(1998, 6)
+SALES_SPAN = (775_000_000, 790_000_000)
 EVENTS_DATE = dt.date(2024, 1, 31)
+SUPPORT_DATE = dt.date(2024, 1, 20)
 EVENTS_MONTH = Period(2024, 1)
 BATCH_STAMP = "2024-01-31 00:00:00"
 SALT = "till-house-salt"
@@ -79,7 +82,7 @@ def query(build: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return size_shuffles(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def pos(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,6 +285,64 @@ def merge_crm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, folder, S.SILVER_CRM)
 
 
+@query
+def merge_wtl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored web traffic upserted by a second delivery of half of it on other devices."""
+    hits = feeds.wtl_feed(table(spark, sf_dir, "events"))
+    again = hits.where(F.col("timestamp") % 2 == 0).withColumn("device_type", F.lit("tv"))
+    folder = working_folder(spark, "silver-traffic")
+    for delivery in (hits, again):
+        upsert(spark, folder, silver.silver_wtl(delivery), silver.WTL)
+    return tables.read_table(spark, folder, S.SILVER_WTL)
+
+
+@query
+def merge_pos_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored settled sales of some months upserted by open ones and by corrections that
+    move a third of the sales to another day."""
+    sold = feeds.pos_feed(table(spark, sf_dir, "lineitem")).where(
+        F.col("timestamp").between(*SALES_SPAN)
+    )
+    moved = sold.where(F.col("product_id") % 3 == 0).withColumn(
+        "timestamp", F.col("timestamp") + 40 * 86_400
+    )
+    folder = working_folder(spark, "silver-sales")
+    for delivery in (sold, moved):
+        upsert(spark, folder, silver.silver_pos(delivery), silver.POS)
+    return tables.read_table(spark, folder, S.SILVER_POS)
+
+
+# --- jobs --------------------------------------------------------------------------
+
+
+@query
+def job_rejects_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything that two runs of the sales job on one date refuse, the first run twice;
+    some sales come without a transaction id."""
+    lines = table(spark, sf_dir, "lineitem")
+    lake = jobs.Lake(working_folder(spark, "lake"))
+    for status in ("F", "O", "F"):
+        sold = feeds.pos_feed(lines.where(F.col("l_linestatus") == status))
+        sold = sold.where(F.col("timestamp").between(*SALES_SPAN)).withColumn(
+            "transaction_id", F.when(F.col("product_id") % 50 != 0, F.col("transaction_id"))
+        )
+        jobs.refresh_silver(spark, lake, sold, silver.POS, SALES_DATE, run=status)
+    found = jobs.read_rejects(spark, lake, silver.POS)
+    numbers = [F.col(c).cast("bigint").alias(c) for c in ("store_id", "product_id", "quantity")]
+    return found.select("transaction_id", *numbers, "reject_reason", "run")
+
+
+@query
+def job_support_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The support mart that the job of a day publishes, with times to resolution since
+    interactions of earlier days."""
+    lake = jobs.Lake(working_folder(spark, "lake"))
+    contacts = feeds.crm_feed(table(spark, sf_dir, "events"))
+    jobs.refresh_silver(spark, lake, contacts, silver.CRM, SUPPORT_DATE)
+    jobs.refresh_support(spark, lake, SUPPORT_DATE)
+    return spark.read.schema(S.SUPPORT_MART.schema).parquet(lake.mart(S.SUPPORT_MART))
+
+
 # --- gold --------------------------------------------------------------------------
 
 
@@ -431,6 +492,20 @@ def mart_roundtrip_marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _roundtrip(spark, gold, S.MARKETING_MART, EVENTS_DATE)
 
 
+@query
+def mart_roundtrip_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operations mart through its CSV into the typed table."""
+    gold = operations.operations_mart(pos(spark, sf_dir), inventory(spark, sf_dir), SALES_DATE)
+    return _roundtrip(spark, gold, S.OPERATIONS_MART, SALES_DATE)
+
+
+@query
+def mart_roundtrip_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Support mart through its CSV into the typed table."""
+    gold = support.customer_support_mart(crm(spark, sf_dir), EVENTS_DATE)
+    return _roundtrip(spark, gold, S.SUPPORT_MART, EVENTS_DATE)
+
+
 @query
 def mart_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys the raw sales feed would break if it were loaded without deduplication,
@@ -536,7 +611,7 @@ def team_view_sales_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     stores = (
         table(spark, sf_dir, "supplier")
         .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(F.col("s_suppkey").cast("int").alias("store_id"))
+        .select(F.col("s_suppkey").cast("bigint").alias("store_id"))
     )
     return governance.team_view(pos(spark, sf_dir), "sales", "pos", allowed=stores)
 
@@ -548,6 +623,6 @@ def retention_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
     closed = (
         table(spark, sf_dir, "customer")
         .where(F.col("c_acctbal") < 0)
-        .select(F.col("c_custkey").cast("int").alias("customer_id"))
+        .select(F.col("c_custkey").cast("bigint").alias("customer_id"))
     )
     return governance.retain(crm(spark, sf_dir), EVENTS_DATE, 21, closed)

@@ -30,21 +30,24 @@ BOUNCE = "BOUNCE"
 CLICK = "CLICK"
 UNKNOWN = "UNKNOWN"
 
+# The column names and types of all layers are a contract with other
+# systems. Ids and sums of units are bigint, wider than there: they outgrow int.
+
 # --- bronze: the shape in which the four feeds arrive, times as epoch seconds ------
 BRONZE_POS = struct_of(
-    transaction_id=TEXT, store_id=INT, product_id=INT, quantity=INT,
+    transaction_id=TEXT, store_id=LONG, product_id=LONG, quantity=INT,
     revenue=DOUBLE, discount_applied=DOUBLE, timestamp=LONG,
 )
 BRONZE_INVENTORY = struct_of(
-    inventory_id=INT, product_id=INT, warehouse_id=INT, stock_level=INT,
+    inventory_id=LONG, product_id=LONG, warehouse_id=INT, stock_level=INT,
     restock_threshold=INT, last_updated=LONG,
 )
 BRONZE_CRM = struct_of(
-    customer_id=INT, interaction_type=TEXT, channel=TEXT, rating=INT,
+    customer_id=LONG, interaction_type=TEXT, channel=TEXT, rating=INT,
     message_excerpt=TEXT, timestamp=LONG,
 )
 BRONZE_WTL = struct_of(
-    session_id=TEXT, user_id=INT, page=TEXT, device_type=TEXT, browser=TEXT,
+    session_id=TEXT, user_id=LONG, page=TEXT, device_type=TEXT, browser=TEXT,
     event_type=TEXT, timestamp=LONG,
 )
 
@@ -61,22 +64,22 @@ LIVE_WTL = struct_of(
 
 # --- silver ------------------------------------------------------------------------
 SILVER_POS = struct_of(
-    transaction_id=TEXT, store_id=INT, product_id=INT, quantity=INT, revenue=FLOAT,
+    transaction_id=TEXT, store_id=LONG, product_id=LONG, quantity=INT, revenue=FLOAT,
     discount_applied=FLOAT, net_revenue=FLOAT, timestamp=TIMESTAMP, date=DATE,
     year=INT, month=INT, day=INT,
 )
 SILVER_INVENTORY = struct_of(
-    inventory_id=INT, product_id=INT, warehouse_id=INT, stock_level=INT,
+    inventory_id=LONG, product_id=LONG, warehouse_id=INT, stock_level=INT,
     restock_threshold=INT, needs_restock=BOOL, last_updated=TIMESTAMP,
     year=INT, month=INT, day=INT, hour=INT,
 )
 SILVER_CRM = struct_of(
-    customer_id=INT, interaction_type=TEXT, channel=TEXT, rating=INT,
+    customer_id=LONG, interaction_type=TEXT, channel=TEXT, rating=INT,
     message_excerpt=TEXT, timestamp=TIMESTAMP, date=DATE,
     year=INT, month=INT, day=INT, hour=INT,
 )
 SILVER_WTL = struct_of(
-    session_id=TEXT, user_id=INT, hashed_user_id=TEXT, page=TEXT, device_type=TEXT,
+    session_id=TEXT, user_id=LONG, hashed_user_id=TEXT, page=TEXT, device_type=TEXT,
     browser=TEXT, event_type=TEXT, timestamp=TIMESTAMP, date=DATE, is_anonymous=BOOL,
     year=INT, month=INT, day=INT, hour=INT,
 )
@@ -100,7 +103,7 @@ class Mart:
 SALES_MART = Mart(
     "sales_mart",
     struct_of(
-        product_id=INT, store_id=INT, total_sales=DOUBLE, total_units=INT,
+        product_id=LONG, store_id=LONG, total_sales=DOUBLE, total_units=LONG,
         stock_availability=INT, below_restock_threshold=BOOL,
         product_turnover_rate=DOUBLE, date=DATE,
     ),
@@ -109,7 +112,7 @@ SALES_MART = Mart(
 MARKETING_MART = Mart(
     "marketing_mart",
     struct_of(
-        customer_id=INT, engagement_score=T.DecimalType(5, 2),
+        customer_id=LONG, engagement_score=T.DecimalType(5, 2),
         avg_session_duration=T.DecimalType(10, 2), bounce_rate=DOUBLE,
         loyalty_activity_rate=DOUBLE, loyalty_actions=INT, date=DATE,
     ),
@@ -118,7 +121,7 @@ MARKETING_MART = Mart(
 OPERATIONS_MART = Mart(
     "operations_mart",
     struct_of(
-        product_id=INT, inventory_turnover=T.DecimalType(10, 2), restock_count=INT,
+        product_id=LONG, inventory_turnover=T.DecimalType(10, 2), restock_count=INT,
         stockout_risk=TEXT, date=DATE,
     ),
     ("product_id", "date"),
@@ -126,7 +129,7 @@ OPERATIONS_MART = Mart(
 SUPPORT_MART = Mart(
     "customer_support_mart",
     struct_of(
-        customer_id=INT, avg_rating=T.DecimalType(3, 1), complaint_count=INT,
+        customer_id=LONG, avg_rating=T.DecimalType(3, 1), complaint_count=INT,
         feedback_count=INT, loyalty_count=INT,
         avg_resolution_hours=T.DecimalType(6, 2), date=DATE,
     ),
@@ -135,8 +138,4 @@ SUPPORT_MART = Mart(
 MARTS = {m.name: m for m in (SALES_MART, MARKETING_MART, OPERATIONS_MART, SUPPORT_MART)}
 
 # --- gold metric frames ------------------------------------------------------------
-FEEDBACK_SCORE = struct_of(metric_name=TEXT, value=DOUBLE)
 INTERACTION_VOLUME = struct_of(interaction_type=TEXT, volume=LONG)
-INVENTORY_TURNOVER = struct_of(product_id=INT, inventory_turnover=DOUBLE)
-RESTOCK_FREQUENCY = struct_of(product_id=INT, warehouse_id=INT, restock_frequency=LONG)
-STOCKOUT_ALERTS = struct_of(product_id=INT, warehouse_id=INT, stockout_count=LONG)

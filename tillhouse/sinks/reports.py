@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse.schemas import Mart
-from tillhouse.sinks import folders
+from tillhouse.sinks.tables import finish_pending, publish_staged, staged_content
 
 
 def dated_folder(root: str, name: str, date: dt.date) -> str:
@@ -33,11 +33,19 @@ def write_csv(
 def read_gold(spark: SparkSession, folder: str, mart: Mart) -> DataFrame:
     """Rows of a gold CSV folder under the mart's columns, matched by position.
 
-    A value that does not fit its column is an error, as in a warehouse load.
+    A value that does not fit its column is an error, as in a warehouse load, with ANSI
+    mode on or off.
     """
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in mart.schema])
     rows = spark.read.schema(text).option("header", True).csv(folder)
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in mart.schema])
+    fitted = []
+    for field in mart.schema:
+        text, value = F.col(field.name), F.col(field.name).try_cast(field.dataType)
+        message = F.concat(F.lit(f"{mart.name}.{field.name} cannot hold "), text)
+        refuse = F.raise_error(message).cast(field.dataType)
+        lost = text.isNotNull() & value.isNull()
+        fitted.append(F.when(lost, refuse).otherwise(value).alias(field.name))
+    return rows.select(*fitted)
 
 
 def fit_mart(df: DataFrame, mart: Mart) -> DataFrame:
@@ -70,19 +78,18 @@ def load_mart(spark: SparkSession, folder: str, mart: Mart, path: str) -> None:
 
     The rows are written beside the mart first. The keys are checked there, on stored
     columns, and the folders of the dates move into place afterwards, so a refused load
-    leaves the mart as it was and loading a date again replaces it.
+    leaves the mart as it was and loading a date again replaces it. A load that was
+    interrupted while it moved folders is finished by the next one.
     """
-    pending = f"{path.rstrip('/')}__pending"
+    finish_pending(spark, path)
+    staged = staged_content(path)
     (
         read_gold(spark, folder, mart)
         .hint("rebalance")
         .sortWithinPartitions(mart.sort, *mart.key)
         .write.mode("overwrite")
         .partitionBy(mart.sort)
-        .parquet(pending)
+        .parquet(staged)
     )
-    check_mart(spark.read.schema(mart.schema).parquet(pending), mart)
-    for dated in sorted(folders.partition_folders(spark, pending, [mart.sort])):
-        folders.move(spark, f"{pending}/{dated}", f"{path}/{dated}")
-    folders.remove(spark, pending)
-    spark.catalog.refreshByPath(path)
+    check_mart(spark.read.schema(mart.schema).parquet(staged), mart)
+    publish_staged(spark, path, [mart.sort], set())

@@ -70,8 +70,22 @@ def replace_partitions(
     touched: set[str],
 ) -> None:
     """Make ``content`` all there is in the ``touched`` partition folders."""
+    staged = staged_content(path)
+    write_partitioned(content, staged, partitions, gather=len(touched) > 1)
+    publish_staged(spark, path, partitions, touched)
+
+
+def staged_content(path: str) -> str:
+    """Where the new content of a table's partitions is written before it is published."""
+    return f"{_pending(path)}/content"
+
+
+def publish_staged(
+    spark: SparkSession, path: str, partitions: Sequence[str], touched: set[str]
+) -> None:
+    """Replace the ``touched`` partition folders, and those that staged content fills. Once
+    the plan is written, the next call finishes what an interruption leaves."""
     pending = _pending(path)
-    write_partitioned(content, f"{pending}/content", partitions, gather=len(touched) > 1)
     filled = folders.partition_folders(spark, f"{pending}/content", partitions)
     plan = [(folder, folder in filled) for folder in sorted(touched | filled)]
     listing = spark.createDataFrame(plan, "folder string, filled boolean")

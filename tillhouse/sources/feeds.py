@@ -40,8 +40,8 @@ def pos_feed(lineitem: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     discount = F.when(F.col("l_discount") != 0, F.col("l_extendedprice") * F.col("l_discount"))
     return lineitem.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id"),
-        F.col("l_suppkey").cast("int").alias("store_id"),
-        F.col("l_partkey").cast("int").alias("product_id"),
+        F.col("l_suppkey").cast("bigint").alias("store_id"),
+        F.col("l_partkey").cast("bigint").alias("product_id"),
         (F.col("l_quantity").cast("int") - returned).alias("quantity"),
         F.col("l_extendedprice").alias("revenue"),
         discount.alias("discount_applied"),
@@ -60,8 +60,8 @@ def inventory_feed(part: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     counts = counts.withColumn("generation", F.explode(generations))
     key, w, g = F.col("p_partkey"), F.col("w"), F.col("generation")
     return counts.select(
-        (key * WAREHOUSES + w).cast("int").alias("inventory_id"),
-        key.cast("int").alias("product_id"),
+        (key.cast("bigint") * WAREHOUSES + w).alias("inventory_id"),
+        key.cast("bigint").alias("product_id"),
         w.alias("warehouse_id"),
         ((key * 31 + w * 17 + g * 7) % 60 - 5).cast("int").alias("stock_level"),
         F.when(~_every("p_partkey", 11), F.col("p_size") % 25 - 1).alias("restock_threshold"),
@@ -87,7 +87,7 @@ def crm_feed(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Customer interactions with times cut to the minute, so that keys repeat."""
     epoch = _epoch("ts")
     return events.select(
-        F.col("user_id").cast("int").alias("customer_id"),
+        F.col("user_id").cast("bigint").alias("customer_id"),
         _interaction_type().alias("interaction_type"),
         _cycle("event_id", CHANNELS).alias("channel"),
         F.when(~_every("event_id", 6, 5), (F.col("event_id") * 7 % 8).cast("int")).alias("rating"),
@@ -111,7 +111,7 @@ def wtl_feed(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
     return logged.select(
         F.concat_ws("-", "user_id", F.to_date("ts")).alias("session_id"),
-        F.when(~_every("event_id", 10), F.col("user_id").cast("int")).alias("user_id"),
+        F.when(~_every("event_id", 10), F.col("user_id").cast("bigint")).alias("user_id"),
         F.concat(F.lit("/p/"), (F.col("event_id") + F.col("copy")) % 50).alias("page"),
         _cycle("event_id", ("mobile", "DESKTOP", "tablet", None)).alias("device_type"),
         _cycle("event_id", ("chrome", "Firefox", "SAFARI", "edge", None)).alias("browser"),
