@@ -25,6 +25,8 @@ SAMPLE_PER_LANGUAGE = 300
 PAIRS, TRIPLES = 2048, 6144
 FEATURES = PAIRS + TRIPLES
 PIECE_BYTES = 2 * 1024 * 1024
+#: Training texts that a step of the descent multiplies at once.
+ROWS_AT_ONCE = 128
 #: All dichotomies are used as bits up to so many languages; beyond, a random code.
 EXHAUSTIVE_UP_TO = 6
 #: A text is ambiguous if the best two languages are nearer than this in probability.
@@ -67,8 +69,8 @@ def counts_of(column: pa.Array) -> np.ndarray:
 
 def scaled(counts: np.ndarray) -> np.ndarray:
     """Square roots of the shares, so that long and short texts compare."""
-    total = counts.sum(axis=1, keepdims=True)
-    return np.sqrt(counts / np.maximum(total, 1))
+    shares = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
+    return np.sqrt(shares, out=shares)
 
 
 @dataclass
@@ -123,7 +125,7 @@ def fitted(counts: np.ndarray, names: list[str], rounds: int = 150) -> Code:
     words = codewords(len(languages))
     shares = scaled(counts)
     center = shares.mean(axis=0, keepdims=True) if len(shares) else np.zeros((1, FEATURES))
-    shares = shares - center
+    shares -= center
     number = np.array([languages.index(name) for name in names], np.int64)
     wanted = words[number] if len(names) else np.zeros((0, words.shape[1]))
     weight = 1.0 / np.maximum(np.bincount(number, minlength=len(languages)), 1)[number]
@@ -131,10 +133,14 @@ def fitted(counts: np.ndarray, names: list[str], rounds: int = 150) -> Code:
     weights = np.zeros((FEATURES, words.shape[1]))
     biases = np.zeros(words.shape[1])
     momentum = np.zeros_like(weights)
+    # Texts are multiplied in parts, as each product copies them in double precision.
+    parts = [slice(a, a + ROWS_AT_ONCE) for a in range(0, len(shares), ROWS_AT_ONCE)]
     for _ in range(rounds if len(languages) > 1 else 0):
-        margin = wanted * (shares @ weights + biases)
+        margin = wanted * (np.concatenate([shares[p] @ weights for p in parts]) + biases)
         slope = -weight * wanted / (1 + np.exp(np.clip(margin, -30, 30)))
-        momentum = 0.9 * momentum + shares.T @ slope + 1e-4 * weights
+        momentum = 0.9 * momentum + 1e-4 * weights
+        for part in parts:
+            momentum += shares[part].T @ slope[part]
         weights -= 8.0 * momentum
         biases -= 2.0 * slope.sum(axis=0)
     if len(languages) == 1:
@@ -168,23 +174,29 @@ def training_rows(labelled: DataFrame, most: int = SAMPLE_PER_LANGUAGE) -> DataF
 
 def train(labelled: DataFrame, most: int = SAMPLE_PER_LANGUAGE) -> Code:
     """Learn from documents (doc_id, text, lang) whose language is not null. The driver
-    holds one row of counts for each sampled document, whatever its length."""
+    holds one row of counts for each sampled document, whatever its length; rows travel
+    without their zeros."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in in_pieces(batches, "text", PIECE_BYTES):
             for part in table.to_batches(max_chunksize=200):
                 found = counts_of(part.column("text"))
+                cells = [np.flatnonzero(row).astype("<u4") for row in found]
+                times = [row[at].tobytes() for row, at in zip(found, cells, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("lang"), pa.array([x.tobytes() for x in found], pa.binary())],
-                    names=["lang", "counts"],
+                    [part.column("lang"), pa.array([x.tobytes() for x in cells], pa.binary()),
+                     pa.array(times, pa.binary())],
+                    names=["lang", "cells", "times"],
                 )
 
     known = labelled.where("lang is not null and text is not null")
     sample = training_rows(known, most)
-    rows = sample.mapInArrow(count, "lang string, counts binary").collect()
-    rows.sort(key=lambda r: (r["lang"], bytes(r["counts"])))
-    counts = np.array([np.frombuffer(r["counts"], np.float32) for r in rows])
-    return fitted(counts.reshape(len(rows), FEATURES), [r["lang"] for r in rows])
+    rows = sample.mapInArrow(count, "lang string, cells binary, times binary").collect()
+    rows.sort(key=lambda r: (r["lang"], bytes(r["cells"]), bytes(r["times"])))
+    counts = np.zeros((len(rows), FEATURES), np.float32)
+    for number, row in enumerate(rows):
+        counts[number, np.frombuffer(row["cells"], "<u4")] = np.frombuffer(row["times"], np.float32)
+    return fitted(counts, [r["lang"] for r in rows])
 
 
 def identify(docs: DataFrame, code: Code, margin: float = MARGIN) -> DataFrame:
