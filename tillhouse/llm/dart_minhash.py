@@ -459,7 +459,16 @@ def deduplicated(docs: DataFrame, most: float = SIMILARITY) -> DataFrame:
     chosen = chosen.select(
         F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash")
     )
-    hashed = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    same = docs["doc_id"].eqNullSafe(F.col("kept_id")) & (hashed == F.col("kept_hash"))
-    kept = docs.join(chosen, same).withColumn("kept_hash", hashed)
-    return kept.dropDuplicates(["kept_id", "kept_hash"]).select(docs.columns)
+    # Rows collapse by the keys of the join that follows, so that texts move only once.
+    keys = ["kept_null", "kept_id", "kept_hash"]
+    held = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"),
+        F.col("doc_id").isNull().alias("kept_null"),
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("kept_id"),
+        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("kept_hash"),
+    ).dropDuplicates(keys)
+    wanted = chosen.select(
+        F.col("kept_id").isNull().alias("kept_null"),
+        F.coalesce("kept_id", F.lit(0)).alias("kept_id"), "kept_hash",
+    )
+    return held.join(wanted, keys, "left_semi").select("record.*")
