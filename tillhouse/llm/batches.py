@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import tillhouse
 from tillhouse.session import prepare, working_folder
+from tillhouse.sinks.folders import remove
 
 # The most rows and bytes of a batch that a Python worker gets at once.
 BATCH_ROWS = 2_000
@@ -22,10 +25,12 @@ cloudpickle.register_pickle_by_value(tillhouse)
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """A session whose Arrow batches are bounded in bytes, whatever the length of texts."""
+    """A session whose Arrow batches are bounded in bytes, whatever the length of texts, and
+    that removes the shuffle files of a result or stored table once it is written."""
     prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 
@@ -38,11 +43,31 @@ def opened(sent: Broadcast):
     return cloudpickle.loads(sent.value)
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+#: Folders of the tables to remove at the end of the block of ``passing`` that is open.
+PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def passing(spark: SparkSession):
+    """Tables stored in this block are removed at its end, but for lasting ones. Only
+    lasting tables may be read after it."""
+    folders: list[str] = []
+    outer = PASSING.set(folders)
+    try:
+        yield
+    finally:
+        PASSING.reset(outer)
+        for folder in folders:
+            remove(spark, folder)
+
+
+def stored(df: DataFrame, purpose: str, lasting: bool = False) -> DataFrame:
     """The frame written to the shared folder and read again, so that what follows does
     not depend on executors that may be lost."""
     spark = df.sparkSession
     folder = working_folder(spark, purpose)
+    if PASSING.get() is not None and not lasting:
+        PASSING.get().append(folder)
     df.write.option("compression", "zstd").parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 

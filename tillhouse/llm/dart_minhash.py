@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.llm.batches import in_pieces, mixed, stored, texts_of, words_of
+from tillhouse.llm.batches import in_pieces, mixed, passing, stored, texts_of, words_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -417,32 +417,32 @@ def near_duplicates(
     null texts count as empty. Repeated rows are members each. Null ids are members, and a
     class of null ids only has a null name. An empty table gives no rows.
     """
-    members = signed(docs)
-    # One document for each node, to take the text from.
-    nodes = stored(
-        members.where("size(bands) > 0").groupBy("node").agg(
-            F.min(F.struct("doc_id", "text_hash")).alias("from"),
-            F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
-        ), "nodes",
-    )
-    text = F.coalesce(docs["text"], F.lit(""))
-
-    pairs = candidates(nodes, most=bucket_rows)
-    used = pairs.select("node").unionByName(pairs.select(F.col("center").alias("node"))).distinct()
-    wanted = nodes.join(used, "node").select(
-        "node", F.col("from.doc_id").alias("from_id"), F.col("from.text_hash").alias("from_hash")
-    )
-    rows = docs.select(
-        docs["doc_id"].alias("id"), text.alias("text"), F.xxhash64(text).alias("hash")
-    )
-    same = (F.col("hash") == F.col("from_hash")) & F.col("id").eqNullSafe(F.col("from_id"))
-    texts = rows.join(wanted, same).select("node", "text").dropDuplicates(["node"])
-    links = verified(pairs, stored(texts, "node-texts"), most)
-    labels = classes_of(links)
-    named = members.join(labels, "node", "left").select(
-        "doc_id", "text_hash", F.coalesce("label", "node").alias("label")
-    )
-    named = stored(named, "labelled")
+    with passing(docs.sparkSession):
+        members = signed(docs)
+        # One document for each node, to take the text from.
+        nodes = stored(
+            members.where("size(bands) > 0").groupBy("node").agg(
+                F.min(F.struct("doc_id", "text_hash")).alias("from"),
+                F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
+            ), "nodes",
+        )
+        text = F.coalesce(docs["text"], F.lit(""))
+        pairs = candidates(nodes, most=bucket_rows)
+        used = pairs.select("node").unionByName(pairs.select(F.col("center").alias("node"))).distinct()
+        wanted = nodes.join(used, "node").select(
+            "node", F.col("from.doc_id").alias("from_id"), F.col("from.text_hash").alias("from_hash")
+        )
+        rows = docs.select(
+            docs["doc_id"].alias("id"), text.alias("text"), F.xxhash64(text).alias("hash")
+        )
+        same = (F.col("hash") == F.col("from_hash")) & F.col("id").eqNullSafe(F.col("from_id"))
+        texts = rows.join(wanted, same).select("node", "text").dropDuplicates(["node"])
+        links = verified(pairs, stored(texts, "node-texts"), most)
+        labels = classes_of(links)
+        named = members.join(labels, "node", "left").select(
+            "doc_id", "text_hash", F.coalesce("label", "node").alias("label")
+        )
+        named = stored(named, "labelled", lasting=True)
     sizes = named.groupBy("label").agg(
         F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")
     )
