@@ -22,7 +22,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.llm.batches import in_pieces, opened, shared, stored, words_of
+from tillhouse.llm.batches import in_pieces, opened, passing, shared, stored, words_of
 
 SEGMENT_BYTES = 16 * 1024 * 1024
 BLOCK_BYTES = 4 * 1024 * 1024
@@ -336,8 +336,10 @@ def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     Decided by row: documents of one doc_id with different texts are told apart by a hash
     of the text, null ids and texts included. Null and empty texts share nothing and stay.
     """
-    hit = find_items(build_index(docs), items).where(F.size("runs") > 0)
-    hit = hit.select(F.col("doc_id").alias("hit_id"), "text_hash").distinct()
+    with passing(docs.sparkSession):
+        hit = find_items(build_index(docs), items).where(F.size("runs") > 0)
+        hit = hit.select(F.col("doc_id").alias("hit_id"), "text_hash").distinct()
+        hit = stored(hit, "hits", lasting=True)
     same = docs["doc_id"].eqNullSafe(hit["hit_id"])
     same &= F.xxhash64(docs["text"]) == hit["text_hash"]
     return docs.join(hit, same, "left_anti")
