@@ -92,6 +92,33 @@ def test_classes_against_all_pairs(spark, bucket_rows):
     assert [found[i] for i in range(len(texts))] == expected
 
 
+def copies_of_one(number, seed=11):
+    """A text of 150 words and copies with three words replaced, each about 0.8 like the
+    text and 0.66 like each other, and the same of a text that is not there itself."""
+    dice = random.Random(seed)
+    texts = []
+    for name in "ab":
+        base = [f"{name}{i}" for i in range(150)]
+        for k in range(number):
+            copy = list(base)
+            for place in dice.sample(range(150), 3):
+                copy[place] = f"new{name}{k}n{place}"
+            texts.append(" ".join(copy))
+        if name == "a":
+            texts.append(" ".join(base))
+    dice.shuffle(texts)
+    return texts
+
+
+def test_copies_like_their_original_only_stay_together(spark):
+    texts = copies_of_one(200)
+    rows = dart_minhash.near_duplicates(documents(spark, list(enumerate(texts)))).collect()
+    found = {r.doc_id: r.class_id for r in rows}
+    expected = classes(texts)
+    assert max(Counter(expected).values()) > 150
+    assert [found[i] for i in range(len(texts))] == expected
+
+
 def test_chains_become_one_class(spark):
     links = spark.createDataFrame(
         [(bytes([i]), bytes([i + 1])) for i in range(40)] + [(bytes([90]), bytes([80]))],

@@ -8,11 +8,12 @@ signature, and keeps the earliest of each. Two texts share a coordinate with a c
 their weighted Jaccard similarity. Regions double in size along both axes, so a text looks
 at a few regions per shingle and throws few darts that it cannot use.
 
-Texts that share a band of coordinates meet in a bucket. The first one leads, all others are
-compared with it by their signatures, and those unlike every leader lead in turn; the order
-differs from bucket to bucket. Of a large bucket, the texts like the leader are found by a
-join, and if many are left they are dealt again by all other bands. Every link is checked by
-the exact similarity of the two texts, and linked texts form classes.
+Texts that share a band of coordinates meet in a bucket and are compared by their signatures;
+texts connected by such pairs form groups. Within a group, pairs alike by signature are
+compared by the exact similarity of the two texts, but for those that verified links already
+connect, and texts connected by verified links form classes. Of a bucket or group too large
+for one task, all are compared with one leader by a join, and those not linked with it meet
+all others in blocks.
 """
 
 from __future__ import annotations
@@ -34,8 +35,14 @@ COORDINATES, BANDS, ROWS = 96, 32, 6
 #: Coordinates of 96 that two texts must share to be compared exactly. At a similarity of
 #: 0.8 fewer are shared once in a million pairs.
 LEAST_SHARED = 58
-#: Rows of a bucket that one task compares; of larger ones see ``dealt_again``.
+#: Rows of a bucket that one task compares; of larger ones see ``in_blocks``.
 BUCKET_ROWS = 1_000
+#: Bytes of text of a group that one task compares.
+GROUP_BYTES = 16 * 1024 * 1024
+#: Pairs whose links are looked up at once.
+PAIRS_AT_ONCE = 4_096
+#: Sides of a bucket: rows that meet all others, or rows of the rest that meet rows of all.
+EITHER, REST, ALL = 0, 1, 2
 #: Rank of the first region; the ones that follow double in size.
 FIRST_RANK = 2.0**-10
 PIECE_BYTES = 2 * 1024 * 1024
@@ -46,6 +53,8 @@ SIGNATURES_DDL = (
     "doc_id bigint, text_hash bigint, node binary, bands array<bigint>, sketch binary"
 )
 
+LINKS_DDL = "center binary, node binary"
+
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 ODD = np.array(
     [0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3,
@@ -212,6 +221,17 @@ def signed(docs: DataFrame) -> DataFrame:
 # --- links -------------------------------------------------------------------------
 
 
+def _jaccard(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> float:
+    """Weighted Jaccard similarity of two texts, given their distinct shingles and times."""
+    e, t = one
+    known, weight = other
+    at = np.minimum(np.searchsorted(known, e), max(len(known) - 1, 0))
+    same = known[at] == e if len(known) else np.zeros(len(e), bool)
+    both = np.minimum(t[same], weight[at[same]]).sum()
+    either = t.sum() + weight.sum() - both
+    return both / either if either else 0.0
+
+
 def _similarity(most: float):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
@@ -229,13 +249,8 @@ def _similarity(most: float):
             cuts = np.searchsorted(owner, np.arange(len(batch) + 1))
             found = np.zeros(len(batch))
             for row, center in enumerate(centers):
-                e, t = element[cuts[row] : cuts[row + 1]], times[cuts[row] : cuts[row + 1]]
-                other, weight = known[center]
-                at = np.minimum(np.searchsorted(other, e), max(len(other) - 1, 0))
-                same = other[at] == e if len(other) else np.zeros(len(e), bool)
-                both = np.minimum(t[same], weight[at[same]]).sum()
-                either = t.sum() + weight.sum() - both
-                found[row] = both / either if either else 0.0
+                own = element[cuts[row] : cuts[row + 1]], times[cuts[row] : cuts[row + 1]]
+                found[row] = _jaccard(own, known[center])
             keep = pa.array(found >= most - 1e-12)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("center").filter(keep), batch.column("node").filter(keep),
@@ -263,41 +278,105 @@ def _sketches(column: pa.Array) -> np.ndarray:
     return np.frombuffer(joined, "<u2").reshape(len(column), -1)
 
 
-def _led(least: int):
-    """Compare the rows of each bucket with its leaders; rows come ordered by bucket."""
-
-    def compare(nodes: list[bytes], sketches: np.ndarray, centers: list, others: list) -> None:
-        follows = np.zeros(len(nodes), bool)
-        for i in range(len(nodes) - 1):
-            if not follows[i]:
-                alike = (sketches[i + 1 :] == sketches[i]).sum(axis=1) >= least
-                follows[i + 1 :] |= alike
-                for j in np.flatnonzero(alike).tolist():
-                    centers.append(nodes[i])
-                    others.append(nodes[i + 1 + j])
+def _components(rows: int, heads: list[bytes]) -> np.ndarray:
+    """A number for each row; rows of the same head are linked already."""
+    numbers: dict[bytes, int] = {}
+    return np.fromiter((numbers.setdefault(h, len(numbers)) for h in heads), np.int64, rows)
+
+
+def _meeting(sides: np.ndarray, component: np.ndarray):
+    """Each row and the later or opposite ones that are not linked with it. ``component`` is
+    read anew for each row, so links found meanwhile spare comparisons."""
+    right = np.flatnonzero(sides != REST)
+    for i in np.flatnonzero(sides != ALL).tolist():
+        others = right[right > i] if sides[i] == EITHER else right
+        others = others[component[others] != component[i]]
+        if len(others):
+            yield i, others
+
+
+def _alike_sketches(least: int):
+    """Links of rows that share ``least`` places, as few as connect what is alike."""
+
+    def links(heads, sides, sketches, texts) -> Iterator[tuple[int, int]]:
+        component = _components(len(sides), heads)
+        for i, others in _meeting(sides, component):
+            alike = others[(sketches[others] == sketches[i]).sum(axis=1) >= least]
+            for j in alike.tolist():
+                if component[j] != component[i]:
+                    component[component == component[j]] = component[i]
+                    yield i, j
+
+    return links
+
+
+def _alike_texts(least: int, most: float):
+    """Links of rows whose exact similarity is ``most``, as few as connect them. Pairs that
+    share ``least`` places are tried, those that share more before others; a pair is left
+    out only if verified links connect it already."""
+
+    def links(heads, sides, sketches, texts) -> Iterator[tuple[int, int]]:
+        component = _components(len(sides), heads)
+        firsts, seconds, counts = [], [], []
+        for i, others in _meeting(sides, component):
+            shared = (sketches[others] == sketches[i]).sum(axis=1)
+            others, shared = others[shared >= least], shared[shared >= least]
+            firsts.append(np.full(len(others), i))
+            seconds.append(others)
+            counts.append(shared)
+        if not firsts:
+            return
+        order = np.argsort(-np.concatenate(counts), kind="stable")
+        left, right = np.concatenate(firsts)[order], np.concatenate(seconds)[order]
+        owner, element, times, _ = shingles_of(texts)
+        cuts = np.searchsorted(owner, np.arange(len(sides) + 1)).tolist()
+        sets = [(element[a:b], times[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        totals = np.bincount(owner, weights=times, minlength=len(sides))
+        for first in range(0, len(left), PAIRS_AT_ONCE):
+            i, j = left[first : first + PAIRS_AT_ONCE], right[first : first + PAIRS_AT_ONCE]
+            able = component[i] != component[j]
+            # Unlike by their lengths alone.
+            least_total = (most - 1e-9) * np.maximum(totals[i], totals[j])
+            able &= np.minimum(totals[i], totals[j]) >= least_total
+            for x, y in zip(i[able].tolist(), j[able].tolist(), strict=True):
+                if component[x] != component[y] and _jaccard(sets[x], sets[y]) >= most - 1e-12:
+                    component[component == component[y]] = component[x]
+                    yield x, y
+
+    return links
+
+
+def _in_buckets(links):
+    """The links of each bucket; rows come ordered by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
+            if not len(batch):
+                continue
             table = pa.Table.from_batches([batch])
             if rest is not None:
                 table = pa.concat_tables([rest, table]).combine_chunks()
             buckets = table.column("bucket").to_numpy()
-            heads = np.flatnonzero(np.diff(buckets, prepend=buckets[0] - 1 if len(buckets) else 0))
-            rest = table.slice(int(heads[-1])) if len(heads) else None
-            yield from pairs_in(table, heads)
-        if rest is not None and len(rest):
-            yield from pairs_in(rest, np.array([0, len(rest)]))
+            heads = np.flatnonzero(np.diff(buckets, prepend=buckets[0] - 1))
+            rest = table.slice(int(heads[-1]))
+            yield pairs_in(table, heads)
+        if rest is not None:
+            yield pairs_in(rest, np.array([0, len(rest)]))
 
-    def pairs_in(table: pa.Table, heads: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def pairs_in(table: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
         centers: list[bytes] = []
         others: list[bytes] = []
-        if len(heads) > 1:
-            nodes = table.column("node").to_pylist()
-            sketches = _sketches(table.column("sketch"))
-            for a, b in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
-                compare(nodes[a:b], sketches[a:b], centers, others)
-        yield pa.RecordBatch.from_arrays(
+        if len(cuts) > 1:
+            nodes, heads = table.column("node").to_pylist(), table.column("head").to_pylist()
+            sides, sketches = table.column("side").to_numpy(), _sketches(table.column("sketch"))
+            texts = table.column("text") if "text" in table.column_names else None
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                own = texts.slice(a, b - a).combine_chunks() if texts is not None else None
+                for i, j in links(heads[a:b], sides[a:b], sketches[a:b], own):
+                    centers.append(nodes[a + i])
+                    others.append(nodes[a + j])
+        return pa.RecordBatch.from_arrays(
             [pa.array(centers, pa.binary()), pa.array(others, pa.binary())],
             names=["center", "node"],
         )
@@ -318,6 +397,47 @@ def _beside_center(least: int):
     return compare
 
 
+def in_blocks(large: DataFrame, beside: DataFrame) -> DataFrame:
+    """New buckets (bucket, node, head, side) for the members of large ones that the leader
+    has been compared with.
+
+    ``large`` has (bucket, node, center, parts), ``beside`` the (bucket, node) that are linked
+    with the leader ``center`` and need no comparison with each other. All others, the rest,
+    meet every member: blocks of the rest and blocks of all members are paired, so that no
+    pair is left out and each bucket has about half of a task's rows from both.
+    """
+    linked = beside.select("bucket", "node", F.lit(True).alias("linked"))
+    marked = stored(large.join(linked, ["bucket", "node"], "left").select(
+        "bucket", "node", "parts",
+        (F.coalesce("linked", F.lit(False)) | (F.col("node") == F.col("center"))).alias("linked"),
+        "center",
+    ), "beside-leaders")
+    share = F.count(F.when(~F.col("linked"), 1)) / F.count(F.lit(1))
+    of_rest = marked.groupBy("bucket").agg(
+        F.ceil(share * F.first("parts")).cast("int").alias("rest_parts")
+    ).where("rest_parts > 0")
+    dealt = marked.join(of_rest, "bucket")
+    number = F.xxhash64("node")
+    head = F.when(F.col("linked"), F.col("center")).otherwise(F.col("node")).alias("head")
+    every = dealt.select(
+        "bucket", "node", head, F.lit(ALL).alias("side"),
+        F.explode(F.expr("sequence(0, rest_parts - 1)")).alias("i"),
+        F.pmod(number, F.col("parts")).cast("int").alias("j"),
+    )
+    rest = dealt.where("not linked").select(
+        "bucket", "node", head, F.lit(REST).alias("side"),
+        F.pmod(number, F.col("rest_parts")).cast("int").alias("i"),
+        F.explode(F.expr("sequence(0, parts - 1)")).alias("j"),
+    )
+    return every.unionByName(rest).select(
+        F.xxhash64("bucket", "i", "j").alias("bucket"), "node", "head", "side"
+    )
+
+
+def _ordered(rows: DataFrame) -> DataFrame:
+    return rows.repartition("bucket").sortWithinPartitions("bucket", F.xxhash64("bucket", "node"))
+
+
 def dealt_again(large: DataFrame, nodes: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """Pairs with the leader of each large bucket, and the other members in new buckets:
     one for each other band, of those that share that band as well. Texts that are alike
@@ -340,24 +460,25 @@ def dealt_again(large: DataFrame, nodes: DataFrame, least: int) -> tuple[DataFra
 
 
 def candidates(nodes: DataFrame, least: int = LEAST_SHARED, most: int = BUCKET_ROWS) -> DataFrame:
-    """Pairs (center, node) that share a band and by their sketches are alike, each once.
+    """Pairs (center, node) that connect all nodes that share a band and by their sketches
+    are alike, directly or through others; each pair once.
 
     ``nodes`` has (node, bands, sketch). Buckets of one row meet nobody. Buckets of up to
     ``most`` rows are compared in one task each; larger ones are split by ``dealt_again``
     until none is left.
     """
     rows = nodes.select("node", F.explode("bands").alias("bucket"))
+    compare = _in_buckets(_alike_sketches(least))
     found: list[DataFrame] = []
     while True:
         counts = stored(
             rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1"), "buckets"
         )
-        small = rows.join(counts.where(F.col("rows") <= most), "bucket", "left_semi")
+        small = rows.join(counts.where(F.col("rows") <= most), "bucket", "left_semi").select(
+            "bucket", "node", F.col("node").alias("head"), F.lit(EITHER).alias("side")
+        )
         with_sketch = small.join(nodes.select("node", "sketch"), "node")
-        ordered = with_sketch.select("bucket", "node", "sketch").repartition(
-            "bucket"
-        ).sortWithinPartitions("bucket", F.xxhash64("bucket", "node"))
-        found.append(ordered.mapInArrow(_led(least), "center binary, node binary"))
+        found.append(_ordered(with_sketch).mapInArrow(compare, LINKS_DDL))
         large = counts.where(F.col("rows") > most)
         if large.isEmpty():
             break
@@ -371,6 +492,45 @@ def candidates(nodes: DataFrame, least: int = LEAST_SHARED, most: int = BUCKET_R
     return stored(every.distinct(), "pairs")
 
 
+def links_of(
+    groups: DataFrame, nodes: DataFrame, texts: DataFrame, most: float = SIMILARITY,
+    least: int = LEAST_SHARED, rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """Verified links (center, node) within groups (node, label) of nodes alike by sketch.
+
+    All pairs of a group that share ``least`` places are compared exactly, unless verified
+    links connect them. A group of up to ``rows`` rows and ``GROUP_BYTES`` of text is compared
+    in one task; of a larger one all are compared with one leader and what is not linked
+    with it by ``in_blocks``.
+    """
+    bucket = F.xxhash64("label").alias("bucket")
+    full = stored(
+        groups.join(texts, "node").join(nodes.select("node", "sketch"), "node"), "grouped"
+    )
+    parts = F.greatest(
+        F.ceil(2 * F.count(F.lit(1)) / rows),
+        F.ceil(2 * F.sum(F.octet_length("text")) / GROUP_BYTES),
+    ).cast("int").alias("parts")
+    large = stored(full.groupBy("label").agg(parts).where("parts > 2"), "large-groups")
+    compare = _in_buckets(_alike_texts(least, most))
+    small = full.join(large, "label", "left_anti").select(
+        bucket, "node", F.col("node").alias("head"), F.lit(EITHER).alias("side"), "sketch", "text"
+    )
+    found = _ordered(small).mapInArrow(compare, LINKS_DDL)
+    if not large.isEmpty():
+        members = stored(groups.join(large, "label").select(
+            bucket, "node", F.col("label").alias("center"), "parts"
+        ), "large-members")
+        pairs = members.where("node <> center").select("center", "node")
+        led = stored(verified(pairs, full.select("node", "text"), most).select("center", "node"), "led")
+        beside = led.select(F.xxhash64("center").alias("bucket"), "node")
+        blocks = in_blocks(members, beside).join(full.select("node", "sketch", "text"), "node")
+        found = found.unionByName(led).unionByName(
+            _ordered(blocks).mapInArrow(compare, LINKS_DDL)
+        )
+    return stored(found, "links")
+
+
 # --- classes -----------------------------------------------------------------------
 
 
@@ -437,7 +597,9 @@ def near_duplicates(
         )
         same = (F.col("hash") == F.col("from_hash")) & F.col("id").eqNullSafe(F.col("from_id"))
         texts = rows.join(wanted, same).select("node", "text").dropDuplicates(["node"])
-        links = verified(pairs, stored(texts, "node-texts"), most)
+        alike = classes_of(pairs)
+        groups = alike.unionByName(alike.select(F.col("label").alias("node"), "label").distinct())
+        links = links_of(groups, nodes, texts, most, rows=bucket_rows)
         labels = classes_of(links)
         named = members.join(labels, "node", "left").select(
             "doc_id", "text_hash", F.coalesce("label", "node").alias("label")
