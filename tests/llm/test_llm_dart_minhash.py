@@ -129,6 +129,14 @@ def test_chains_become_one_class(spark):
     assert found[bytes([90])] == bytes([80])
 
 
+def test_large_buckets_lose_no_copies(spark):
+    texts = copies_of_one(60)
+    docs = documents(spark, list(enumerate(texts)))
+    rows = dart_minhash.near_duplicates(docs, bucket_rows=20).collect()
+    found = {r.doc_id: r.class_id for r in rows}
+    assert [found[i] for i in range(len(texts))] == classes(texts)
+
+
 def test_query_finds_copies_and_leaves_others(spark):
     folder = "/root/testdata/sf0.001"
     rows = queries.op4_near_duplicates(spark, folder).collect()

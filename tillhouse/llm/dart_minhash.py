@@ -438,58 +438,42 @@ def _ordered(rows: DataFrame) -> DataFrame:
     return rows.repartition("bucket").sortWithinPartitions("bucket", F.xxhash64("bucket", "node"))
 
 
-def dealt_again(large: DataFrame, nodes: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs with the leader of each large bucket, and the other members in new buckets:
-    one for each other band, of those that share that band as well. Texts that are alike
-    share many bands, so they meet again; texts that only share the one are parted."""
-    order = F.struct(F.xxhash64("bucket", "node").alias("order"), "node")
-    leaders = large.groupBy("bucket").agg(F.min(order)["node"].alias("center"))
-    sketches = nodes.select("node", "sketch")
-    with_center = large.join(leaders, "bucket").where("node <> center")
-    beside = with_center.join(sketches, "node").join(
-        sketches.select(F.col("node").alias("center"), F.col("sketch").alias("center_sketch")),
-        "center",
-    ).select("bucket", "node", "sketch", "center", "center_sketch")
-    compared = stored(beside.mapInArrow(
-        _beside_center(least), "bucket bigint, node binary, center binary, alike boolean"
-    ), "beside-leaders")
-    rest = compared.where("not alike").join(nodes.select("node", "bands"), "node")
-    other = rest.select("bucket", "node", F.explode("bands").alias("band"))
-    parted = other.select(F.xxhash64("bucket", "band").alias("bucket"), "node")
-    return compared.where("alike").select("center", "node"), parted
-
-
 def candidates(nodes: DataFrame, least: int = LEAST_SHARED, most: int = BUCKET_ROWS) -> DataFrame:
     """Pairs (center, node) that connect all nodes that share a band and by their sketches
     are alike, directly or through others; each pair once.
 
     ``nodes`` has (node, bands, sketch). Buckets of one row meet nobody. Buckets of up to
-    ``most`` rows are compared in one task each; larger ones are split by ``dealt_again``
-    until none is left.
+    ``most`` rows are compared in one task each, larger ones by ``in_blocks``.
     """
     rows = nodes.select("node", F.explode("bands").alias("bucket"))
+    counts = stored(
+        rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1"), "buckets"
+    )
+    sketches = nodes.select("node", "sketch")
     compare = _in_buckets(_alike_sketches(least))
-    found: list[DataFrame] = []
-    while True:
-        counts = stored(
-            rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1"), "buckets"
-        )
-        small = rows.join(counts.where(F.col("rows") <= most), "bucket", "left_semi").select(
-            "bucket", "node", F.col("node").alias("head"), F.lit(EITHER).alias("side")
+    small = rows.join(counts.where(F.col("rows") <= most), "bucket", "left_semi").select(
+        "bucket", "node", F.col("node").alias("head"), F.lit(EITHER).alias("side")
+    )
+    found = _ordered(small.join(sketches, "node")).mapInArrow(compare, LINKS_DDL)
+    large = counts.where(F.col("rows") > most)
+    if not large.isEmpty():
+        parts = F.ceil(2 * F.col("rows") / most).cast("int").alias("parts")
+        members = rows.join(large.select("bucket", parts), "bucket")
+        order = F.struct(F.xxhash64("bucket", "node").alias("order"), "node")
+        leaders = members.groupBy("bucket").agg(F.min(order)["node"].alias("center"))
+        members = stored(members.join(leaders, "bucket"), "large-buckets")
+        beside = members.where("node <> center").join(sketches, "node").join(
+            sketches.select(F.col("node").alias("center"), F.col("sketch").alias("center_sketch")),
+            "center",
+        ).select("bucket", "node", "sketch", "center", "center_sketch")
+        alike = stored(beside.mapInArrow(
+            _beside_center(least), "bucket bigint, node binary, center binary, alike boolean"
+        ).where("alike"), "alike")
+        blocks = in_blocks(members, alike).join(sketches, "node")
+        found = found.unionByName(alike.select("center", "node")).unionByName(
+            _ordered(blocks).mapInArrow(compare, LINKS_DDL)
         )
-        with_sketch = small.join(nodes.select("node", "sketch"), "node")
-        found.append(_ordered(with_sketch).mapInArrow(compare, LINKS_DDL))
-        large = counts.where(F.col("rows") > most)
-        if large.isEmpty():
-            break
-        members = stored(rows.join(large, "bucket", "left_semi"), "large-buckets")
-        pairs, rest = dealt_again(members, nodes, least)
-        found.append(pairs)
-        rows = stored(rest.distinct(), "parted")
-    every = found[0]
-    for part in found[1:]:
-        every = every.unionByName(part)
-    return stored(every.distinct(), "pairs")
+    return stored(found.distinct(), "pairs")
 
 
 def links_of(
