@@ -137,6 +137,16 @@ def test_large_buckets_lose_no_copies(spark):
     assert [found[i] for i in range(len(texts))] == classes(texts)
 
 
+def test_one_document_of_each_class_whatever_the_ids(spark):
+    words = [f"w{i}" for i in range(300)]
+    near = [" ".join(words), " ".join(["new", *words[1:]])]
+    rows = [(7, "one text of its own"), (7, "another text not like it"), (None, near[0]),
+            (None, near[1])]
+    kept = dart_minhash.deduplicated(documents(spark, rows)).collect()
+    assert sorted(r.text for r in kept if r.doc_id == 7) == [rows[1][1], rows[0][1]]
+    assert len([r for r in kept if r.doc_id is None]) == 1
+
+
 def test_query_finds_copies_and_leaves_others(spark):
     folder = "/root/testdata/sf0.001"
     rows = queries.op4_near_duplicates(spark, folder).collect()

@@ -550,17 +550,11 @@ def classes_of(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
-def near_duplicates(
+def labelled(
     docs: DataFrame, most: float = SIMILARITY, bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
-    """One row per document: doc_id, text_hash, ``class_id`` and ``class_size``.
-
-    Documents belong together if a chain of texts, each at least ``most`` similar to the
-    next, leads from one to the other. The class is named by its least doc_id. Texts with
-    equal words are equal; texts without words belong together only if they are equal, and
-    null texts count as empty. Repeated rows are members each. Null ids are members, and a
-    class of null ids only has a null name. An empty table gives no rows.
-    """
+    """One row per document: doc_id, text_hash and the ``label`` of its class, which no other
+    class has, whatever the ids are; a stored table."""
     with passing(docs.sparkSession):
         members = signed(docs)
         # One document for each node, to take the text from.
@@ -588,7 +582,21 @@ def near_duplicates(
         named = members.join(labels, "node", "left").select(
             "doc_id", "text_hash", F.coalesce("label", "node").alias("label")
         )
-        named = stored(named, "labelled", lasting=True)
+        return stored(named, "labelled", lasting=True)
+
+
+def near_duplicates(
+    docs: DataFrame, most: float = SIMILARITY, bucket_rows: int = BUCKET_ROWS
+) -> DataFrame:
+    """One row per document: doc_id, text_hash, ``class_id`` and ``class_size``.
+
+    Documents belong together if a chain of texts, each at least ``most`` similar to the
+    next, leads from one to the other. The class is named by its least doc_id. Texts with
+    equal words are equal; texts without words belong together only if they are equal, and
+    null texts count as empty. Repeated rows are members each. Null ids are members, and a
+    class of null ids only has a null name. An empty table gives no rows.
+    """
+    named = labelled(docs, most, bucket_rows)
     sizes = named.groupBy("label").agg(
         F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")
     )
@@ -598,10 +606,9 @@ def near_duplicates(
 def deduplicated(docs: DataFrame, most: float = SIMILARITY) -> DataFrame:
     """The documents, in their own columns, one of each class: that with the least doc_id,
     of these the one with the least text hash, of equal rows one. Nulls come last."""
-    found = near_duplicates(docs, most)
+    found = labelled(docs, most)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
-    chosen = found.groupBy(F.coalesce("class_id", F.lit(-1)), F.when(
-        F.col("class_id").isNull(), F.col("text_hash"))).agg(F.min(order).alias("first"))
+    chosen = found.groupBy("label").agg(F.min(order).alias("first"))
     chosen = chosen.select(
         F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash")
     )
