@@ -83,8 +83,7 @@ class Code:
     biases: np.ndarray
 
     def losses(self, counts: np.ndarray) -> np.ndarray:
-        """Cost of each language: the bits' logistic losses, weighted by how well the bit
-        did in training and divided by the bits' number."""
+        """Cost of each language: the mean of the bits' logistic losses, unweighted."""
         margins = scaled(counts) @ self.weights + self.biases
         cost = np.logaddexp(0.0, -margins[:, None, :] * self.words[None, :, :])
         return cost.mean(axis=2)
