@@ -17,6 +17,7 @@ from tillhouse.llm import (
     phrase_index,
     secrets,
     sharding,
+    spelling,
     tool_calls,
     url_templates,
 )
@@ -172,6 +173,10 @@ def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.filtered(table(ready(spark), sf_dir, "pages"), RULES)
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.grouped(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -189,5 +194,6 @@ REGISTRY: dict[str, Query] = {
     "op8_tool_calls": op8_tool_calls,
     "op9_shards": op9_shards,
     "op10_url_templates": op10_url_templates,
+    "op13_spelling": op13_spelling,
     "pipeline": pipeline,
 }
