@@ -13,8 +13,10 @@ from tillhouse.llm import (
     dart_minhash,
     host_rules,
     language,
+    main_text,
     packing,
     phrase_index,
+    prefix_trie,
     secrets,
     sharding,
     spelling,
@@ -173,6 +175,15 @@ def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.filtered(table(ready(spark), sf_dir, "pages"), RULES)
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(ready(spark), sf_dir, "pages").select("page_id", "url", "html")
+    return main_text.extracted(pages, main_text.train(pages))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(ready(spark), sf_dir, "conversations"))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.grouped(documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -194,6 +205,8 @@ REGISTRY: dict[str, Query] = {
     "op8_tool_calls": op8_tool_calls,
     "op9_shards": op9_shards,
     "op10_url_templates": op10_url_templates,
+    "op11_main_text": op11_main_text,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_spelling": op13_spelling,
     "pipeline": pipeline,
 }
