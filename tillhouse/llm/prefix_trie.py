@@ -13,7 +13,9 @@ however deep a conversation is. The number of nodes below a node, by which centr
 chosen, is counted once from the conversations: each of them owns the nodes of which it is
 the smallest member, which are the last ones on its way.
 
-The largest components, and only those, are dealt over many tasks by a salt.
+Components of more than ``SMALL`` nodes are split by joins of all of them at once, the
+largest dealt over many tasks by a salt; smaller ones are taken to one task each, which
+goes on splitting them in the same way.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,11 +31,12 @@ from pyspark.sql import functions as F
 from tillhouse.llm.batches import passing, stored
 
 # How conversations are rebuilt, turns of a slice, nodes of a component that
-# one task takes, and ids whose text is put together at once.
+# one task takes in a join and to the end, and ids whose text is put together at once.
 FAMILY = 20
 HEADS = 4
 SLICE = 1024
 PER_TASK = 50_000
+SMALL = 2_000
 IDS = 4096
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -43,7 +47,8 @@ def in_order(turns: DataFrame) -> DataFrame:
 
     By ``turn`` (null first), then role and text. Turns are counted within slices of
     ``turn`` and slices by their sizes."""
-    piece = F.floor(F.col("turn") / SLICE)
+    # Turns without a number are a slice before all others.
+    piece = F.coalesce(F.floor(F.col("turn") / SLICE), F.lit(-(2**62)))
     rows = turns.where("conv_id IS NOT NULL").select(
         F.col("conv_id").cast("bigint").alias("conv"), piece.alias("piece"), "turn",
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
@@ -52,17 +57,13 @@ def in_order(turns: DataFrame) -> DataFrame:
     within = Window.partitionBy("conv", "piece").orderBy(
         F.asc_nulls_first("turn"), "role", "text"
     )
-    before = Window.partitionBy("conv").orderBy(F.asc_nulls_first("piece")).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    before = Window.partitionBy("conv").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     sizes = rows.groupBy("conv", "piece").agg(F.count("*").alias("n"))
     starts = sizes.select(
-        F.col("conv").alias("c"), F.col("piece").alias("p"),
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"),
+        "conv", "piece", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
     )
     counted = rows.withColumn("nth", F.row_number().over(within) - 1)
-    same = (F.col("conv") == F.col("c")) & F.col("piece").eqNullSafe(F.col("p"))
-    return counted.join(starts, same).select(
+    return counted.join(starts, ["conv", "piece"]).select(
         "conv", (F.col("start") + F.col("nth")).alias("at"), "role", "text"
     )
 
@@ -165,7 +166,7 @@ def nodes_of(convs: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("parent_b").alias("b"),
     ).agg(F.count("*").alias("n_children"))
     nodes = placed.join(below, NODE).join(children, NODE, "left").select(
-        "conv", *NODE, "parent_conv", "n_convs", "words", "size",
+        "conv", *NODE, "parent_a", "parent_b", "parent_conv", "n_convs", "words", "size",
         F.coalesce("n_children", F.lit(0)).alias("n_children"),
     )
     after = members.select(
@@ -181,22 +182,26 @@ def salt(size: str = "whole") -> Column:
     return (F.floor(F.col(size) / PER_TASK) + 1).cast("int")
 
 
-def split(live: DataFrame, chains: DataFrame, weights: list[str]) -> DataFrame:
+COMPONENT = ["top_depth", "top_a", "top_b"]
+PARENT = ["parent_a", "parent_b"]
+
+
+def split(live: DataFrame, chains: DataFrame) -> DataFrame:
     """One round: every node with the centroid of its component (``z_depth``, ``z_a``,
     ``z_b``, ``z_conv``), whether it lies ``below`` it, and the top of the part below that
     it falls into."""
     middle = (
         live.where("2 * size >= whole")
-        .groupBy("top_depth", "top_a", "top_b", "whole")
+        .groupBy(*COMPONENT, "whole")
         .agg(F.min(F.struct("size", "depth", "a", "b", "conv")).alias("z"))
     )
     dealt = middle.withColumn("deal", F.explode(F.sequence(F.lit(0), salt() - 1))).select(
-        "top_depth", "top_a", "top_b", "deal", F.col("z.size").alias("z_size"),
+        *COMPONENT, "deal", F.col("z.size").alias("z_size"),
         F.col("z.depth").alias("z_depth"), F.col("z.a").alias("z_a"), F.col("z.b").alias("z_b"),
         F.col("z.conv").alias("z_conv"),
     )
     keyed = live.withColumn("deal", F.pmod(F.xxhash64(*NODE), salt()).cast("int"))
-    met = keyed.join(dealt, ["top_depth", "top_a", "top_b", "deal"]).drop("deal")
+    met = keyed.join(dealt, [*COMPONENT, "deal"]).drop("deal")
     # What the way of the node's smallest member has at the depth of the centroid.
     there = chains.select(
         "conv", F.col("depth").alias("z_depth"), F.col("a").alias("at_a"),
@@ -210,73 +215,144 @@ def split(live: DataFrame, chains: DataFrame, weights: list[str]) -> DataFrame:
 
 
 def subtree_totals(nodes: DataFrame, chains: DataFrame, weights: list[str]) -> DataFrame:
-    """Sums of the weights over the subtree of every node, as ``total_<weight>``.
-
-    ``nodes`` has ``conv`` (smallest member), ``depth``, ``a``, ``b``, ``size`` (nodes in the
-    subtree) and the weights; ``chains`` the steps of the conversations. Both are stored."""
+    """Sums of the weights (long) over the subtree of every node, as ``total_<weight>``.
+
+    ``nodes`` has ``conv`` (smallest member), ``depth``, ``a``, ``b``, ``parent_a``,
+    ``parent_b``, ``size`` (nodes in the subtree) and the weights, ``chains`` the steps of the
+    conversations with the step after. Both are stored."""
+    totals = [f"total_{w}" for w in weights]
+    sums = [f"sum_{w}" for w in weights]
+    carried = ["conv", *NODE, *PARENT, "size", *weights]
     zero = F.lit(0).cast("bigint")
-    top = nodes.where("depth = 0").select(F.col("size").alias("whole"))
+    whole = nodes.where("depth = 0").select("size").first()
     live = nodes.select(
-        "conv", *NODE, "size", *weights, zero.alias("top_depth"), zero.alias("top_a"),
-        zero.alias("top_b"), F.lit(0).cast("bigint").alias("whole"),
-        *[zero.alias(f"total_{w}") for w in weights],
+        *carried, *[zero.alias(name) for name in (*COMPONENT, *totals)],
+        F.lit(whole[0] if whole else 0).cast("bigint").alias("whole"),
     )
-    whole = top.first()
-    if whole is None:
-        return nodes.select(*NODE, *[zero.alias(f"total_{w}") for w in weights]).limit(0)
-    live = live.withColumn("whole", F.lit(whole[0]).cast("bigint"))
-    done = []
+    done = [finished(live.where(F.col("whole") <= SMALL), weights)]
+    large = live.where(F.col("whole") > SMALL)
     centroid = "depth = z_depth AND a = z_a AND b = z_b"
-    component = ["top_depth", "top_a", "top_b"]
-    while True:
-        judged = stored(split(live, chains, weights), "trie-split")
-        sums = (
+    while not large.isEmpty():
+        judged = stored(split(large, chains), "trie-split")
+        below = stored(
             judged.where("below")
-            .groupBy(*component, "z_depth", "z_a", "z_b", "z_conv", "z_size", "whole")
-            .agg(*[F.sum(w).alias(f"sum_{w}") for w in weights])
+            .groupBy(*COMPONENT, "z_depth", "z_a", "z_b", "z_conv", "z_size")
+            .agg(*[F.sum(w).alias(s) for w, s in zip(weights, sums, strict=True)]),
+            "trie-sums",
         )
-        sums = stored(sums, "trie-sums")
-        # The way from the centroid to the top of its component, without the centroid.
+        # The way from the centroid to the top of its component, and the centroid itself.
         way = (
             chains.select(F.col("conv").alias("z_conv"), *NODE)
-            .join(
-                sums.where("z_depth > top_depth").select(
-                    "z_conv", "z_depth", "top_depth", F.col("z_size").alias("gone"),
-                    *[f"sum_{w}" for w in weights],
-                ),
-                "z_conv",
-            )
-            .where("depth >= top_depth AND depth < z_depth")
-            .select(*NODE, "gone", *[f"sum_{w}" for w in weights])
-        )
-        own = sums.select(
-            F.col("z_depth").alias("depth"), F.col("z_a").alias("a"), F.col("z_b").alias("b"),
-            *[F.col(f"sum_{w}") for w in weights],
+            .join(below.select("z_conv", "z_depth", "top_depth", "z_size", *sums), "z_conv")
+            .where("depth BETWEEN top_depth AND z_depth")
+            .select(*NODE, F.col("z_size").alias("gone"), *sums)
         )
-        done.append(
-            judged.where(centroid).join(own, NODE).select(
-                *NODE, *[(F.col(f"total_{w}") + F.col(f"sum_{w}")).alias(f"total_{w}") for w in weights]
-            )
+        upper = judged.where(f"NOT below OR ({centroid})").join(way, NODE, "left").select(
+            *carried, *COMPONENT, "z_size", "whole", "below", F.coalesce("gone", zero).alias("gone"),
+            *[(F.col(t) + F.coalesce(s, zero)).alias(t) for t, s in zip(totals, sums, strict=True)],
         )
+        upper = stored(upper, "trie-upper")
+        done.append(upper.where("below").select(*NODE, *totals))
+        rest = upper.where("NOT below").withColumns(
+            {"size": F.col("size") - F.col("gone"), "whole": F.col("whole") - F.col("z_size")}
+        ).drop("z_size", "below", "gone")
         lower = judged.where(f"below AND NOT ({centroid})").select(
-            "conv", *NODE, "size", *weights, (F.col("z_depth") + 1).alias("top_depth"),
-            F.col("next_a").alias("top_a"), F.col("next_b").alias("top_b"),
-            *[f"total_{w}" for w in weights],
+            *carried, (F.col("z_depth") + 1).alias("top_depth"), F.col("next_a").alias("top_a"),
+            F.col("next_b").alias("top_b"), *totals,
         )
-        tops = lower.where(f"depth = top_depth").select(*component, F.col("size").alias("whole"))
-        upper = judged.where("NOT below").join(way, NODE, "left").select(
-            "conv", *NODE, (F.col("size") - F.coalesce("gone", F.lit(0))).alias("size"), *weights,
-            *component, (F.col("whole") - F.col("z_size")).alias("whole"),
-            *[(F.col(f"total_{w}") + F.coalesce(f"sum_{w}", F.lit(0))).alias(f"total_{w}")
-              for w in weights],
-        )
-        live = stored(upper.unionByName(lower.join(tops, component)), "trie-live")
-        if live.isEmpty():
-            break
-    totals = done[0]
+        tops = lower.where("depth = top_depth").select(*COMPONENT, F.col("size").alias("whole"))
+        live = stored(rest.unionByName(lower.join(tops, COMPONENT)), "trie-live")
+        done.append(finished(live.where(F.col("whole") <= SMALL), weights))
+        large = live.where(F.col("whole") > SMALL)
+    found = done[0]
     for more in done[1:]:
-        totals = totals.unionByName(more)
-    return totals
+        found = found.unionByName(more)
+    return found
+
+
+def finished(small: DataFrame, weights: list[str]) -> DataFrame:
+    """Totals of the nodes of small components, each split to the end in one task."""
+    totals = [f"total_{w}" for w in weights]
+    columns = [*COMPONENT, *NODE, *PARENT, *weights, *totals]
+    schema = ", ".join(f"{name} bigint" for name in (*NODE, *totals))
+
+    def split_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_components(batches):
+            found = component_totals(rows, len(weights))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in (*rows[3:6], *found)], [*NODE, *totals]
+            )
+
+    return (
+        small.select(*columns)
+        .repartition(*COMPONENT)
+        .sortWithinPartitions(*COMPONENT, "depth")
+        .mapInArrow(split_all, schema)
+    )
+
+
+def whole_components(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of the rows, cut where a component begins; the last one of a batch is
+    held until the next batch."""
+    held: list[np.ndarray] | None = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        columns = [
+            c.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns
+        ]
+        if held is not None:
+            columns = [np.concatenate(both) for both in zip(held, columns, strict=True)]
+        same = np.all([c == c[-1] for c in columns[:3]], axis=0)
+        last = len(same) - int(np.argmin(same[::-1])) if not same.all() else 0
+        if last:
+            yield [c[:last] for c in columns]
+        held = [c[last:] for c in columns]
+    if held is not None:
+        yield held
+
+
+def component_totals(rows: list[np.ndarray], n_weights: int) -> list[np.ndarray]:
+    """Subtree sums of the nodes of components that follow each other, by centroids, on top
+    of what the nodes have got already. Nodes come by depth within a component."""
+    tops = list(zip(*[c.tolist() for c in rows[:3]], strict=True))
+    names = list(zip(*[c.tolist() for c in rows[3:6]], strict=True))
+    above = [(d - 1, a, b) for d, a, b in zip(*[c.tolist() for c in (rows[3], *rows[6:8])], strict=True)]
+    weights = list(zip(*[c.tolist() for c in rows[8 : 8 + n_weights]], strict=True))
+    found = [list(t) for t in zip(*[c.tolist() for c in rows[8 + n_weights :]], strict=True)]
+    spot = {(top, name): i for i, (top, name) in enumerate(zip(tops, names, strict=True))}
+    parents = [spot.get((top, name), -1) for top, name in zip(tops, above, strict=True)]
+    components: dict[tuple, list[int]] = {}
+    for i, top in enumerate(tops):
+        components.setdefault(top, []).append(i)
+    waiting = list(components.values())
+    size, part = [0] * len(tops), [-1] * len(tops)
+    while waiting:
+        nodes = waiting.pop()
+        top = nodes[0]
+        for i in nodes:
+            size[i] = 1
+        for i in reversed(nodes[1:]):
+            size[parents[i]] += size[i]
+        centroid = min((i for i in nodes if 2 * size[i] >= len(nodes)), key=size.__getitem__)
+        # The part that a node falls into: the centroid's child above it, or what is above.
+        parts: dict[int, list[int]] = {}
+        total = [0] * n_weights
+        for i in nodes:
+            up = -1 if i == top else part[parents[i]]
+            part[i] = -2 if i == centroid else i if up == -2 else up
+            if part[i] != -1:
+                total = [t + w for t, w in zip(total, weights[i], strict=True)]
+            if i != centroid:
+                parts.setdefault(part[i], []).append(i)
+        node = centroid
+        while True:
+            found[node] = [t + more for t, more in zip(found[node], total, strict=True)]
+            if node == top:
+                break
+            node = parents[node]
+        waiting.extend(parts.values())
+    return [np.array(c, np.int64) for c in zip(*found, strict=True)]
 
 
 def digests_of_ends(steps: DataFrame, convs: DataFrame) -> DataFrame:
