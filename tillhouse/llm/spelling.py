@@ -36,7 +36,7 @@ CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 def damaged(doc_id: Column, run: Column) -> Column:
     """The run without one letter where its digest says so."""
-    digest = F.crc32(F.encode(F.concat(doc_id, F.lit(":"), run), "utf-8"))
+    digest = F.crc32(F.concat(doc_id, F.lit(":"), run).cast("binary"))
     at = (digest % F.char_length(run)).cast("int")
     less = F.concat(F.left(run, at), F.substr(run, at + 2))
     return F.when(digest % ONE_IN == 0, less).otherwise(run)
@@ -51,7 +51,11 @@ def occurrences(docs: DataFrame) -> DataFrame:
     runs = F.regexp_extract_all("text", F.lit(f"({LETTERS}{{{LEAST_LENGTH},}})"))
     doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     taken = docs.select(doc_id.alias("doc_id"), F.explode(runs).alias("run"))
-    low = taken.select("doc_id", F.translate("run", CAPITALS, CAPITALS.lower()).alias("run"))
+    # Most runs are in lower case already, which is cheaper to see than to translate.
+    small = F.when(F.lower("run") == F.col("run"), F.col("run")).otherwise(
+        F.translate("run", CAPITALS, CAPITALS.lower())
+    )
+    low = taken.select("doc_id", small.alias("run"))
     return low.groupBy(damaged(F.col("doc_id"), F.col("run")).alias("word")).agg(
         F.count("*").alias("n")
     )
@@ -116,11 +120,31 @@ def edge_table(texts: DataFrame, on_the_way: DataFrame) -> tuple[DataFrame, Data
         ),
     )
     label = F.substr("text", F.col("place") + 1, F.col("last") - F.col("place"))
-    edges = (
+    flat = stored(
         steps.select("node", "ends", "letter", label.alias("label"), "child", "word")
-        .dropDuplicates(["node", "letter"])
-        .groupBy("node", "ends")
-        .agg(F.collect_list(F.struct("letter", "label", "child", "word")).alias("edges"))
+        .dropDuplicates(["node", "letter"]),
+        "spelling-edges",
+    )
+    # Which letters go on from a child: a state that none of them fits is not made at all.
+    follow = flat.groupBy(F.col("node").alias("child")).agg(
+        F.concat_ws("", F.collect_list(F.left("label", F.lit(1)))).alias("follow")
+    )
+    edge = F.struct(
+        "letter", "label", F.substr("label", F.lit(2)).alias("tail"),
+        F.char_length("label").alias("size"), "child", "word",
+        F.coalesce("follow", F.lit("")).alias("follow"),
+    )
+    # A last letter too many ends where the state stands, over an edge without a label.
+    stay = F.array(F.struct(
+        F.lit(0).alias("letter"), F.lit("").alias("label"), F.lit("").alias("tail"),
+        F.lit(0).alias("size"), F.col("node").alias("child"), F.col("ends").alias("word"),
+        F.lit("").alias("follow"),
+    ))
+    onward = F.collect_list(edge)
+    edges = flat.join(follow, "child", "left").groupBy("node", "ends").agg(onward.alias("onward"))
+    edges = edges.select(
+        "node",
+        F.when(F.col("ends").isNull(), F.col("onward")).otherwise(F.concat("onward", stay)).alias("edges"),
     )
     starts = known.select(
         "id", "text", F.expr("filter(stops, s -> s.place >= from)[0]").alias("stop")
@@ -129,43 +153,41 @@ def edge_table(texts: DataFrame, on_the_way: DataFrame) -> tuple[DataFrame, Data
         "id", "text", F.col("stop.place").alias("place"), F.col("stop.node").alias("node"),
         F.lit(0).alias("edits"),
     )
-    return stored(edges, "spelling-edges"), start
-
-
-# What an edge makes of a state: the next place with no edit, or with one edit by another
-# letter, by a letter more in the trie or by a letter less.
-STEPS = """
-  CASE WHEN edits = 1 THEN
-    IF(substr(text, place + 1, length(e.label)) = e.label,
-       array(named_struct('place', place + length(e.label), 'edits', 1)), array())
-  WHEN e.letter = ascii(substr(text, place + 1, 1)) THEN
-    array(named_struct('place', place + length(e.label), 'edits', 0))
-  ELSE filter(array(
-    IF(place < length(text)
-       AND substr(text, place + 2, length(e.label) - 1) = substr(e.label, 2),
-       named_struct('place', place + length(e.label), 'edits', 1), NULL),
-    IF(substr(text, place + 1, length(e.label) - 1) = substr(e.label, 2),
-       named_struct('place', place + length(e.label) - 1, 'edits', 1), NULL),
-    IF(place < length(text) AND substr(text, place + 2, length(e.label)) = e.label,
-       named_struct('place', place + length(e.label) + 1, 'edits', 1), NULL)
-  ), x -> x IS NOT NULL) END
-"""
+    return stored(edges, "spelling-nodes"), start
+
+
+# What an edge makes of a state: its next places with no edit, or with one edit by another
+# letter, by a letter more in the trie or by a letter less. ``rest`` is the part of the word
+# that is not yet read, ``later`` the same without its first letter.
+MOVES = """array_compact(array(
+  IF(size > 0 AND IF(edits = 1, startswith(rest, label), letter = code),
+     named_struct('place', place + size, 'edits', edits), NULL),
+  IF(edits = 0 AND letter <> code AND size > 0 AND rest <> '' AND startswith(later, tail),
+     named_struct('place', place + size, 'edits', 1), NULL),
+  IF(edits = 0 AND letter <> code AND size > 0 AND startswith(rest, tail),
+     named_struct('place', place + size - 1, 'edits', 1), NULL),
+  IF(edits = 0 AND letter <> code AND startswith(later, label) AND (size > 0 OR later = ''),
+     named_struct('place', place + size + 1, 'edits', 1), NULL)))"""
+
+# A state that goes on: with no edit anywhere, with one where a letter fits or a word ends.
+GOES_ON = """edits = 0 OR IF(place < length(text),
+  contains(follow, substr(text, place + 1, 1)), found IS NOT NULL)"""
 
 
 def advanced(states: DataFrame, edges: DataFrame) -> DataFrame:
     """All states one node further. Those at the end of their word have the word that ends
-    at their node in ``found``; a last letter too many ends where the state stands."""
-    met = states.join(edges, "node")
-    moves = F.expr(
-        f"flatten(transform(edges, e -> transform({STEPS}, m -> named_struct('place', m.place, "
-        "'node', e.child, 'edits', m.edits, 'found', e.word))))"
-    )
-    dropped = F.expr(
-        "IF(edits = 0 AND place = length(text) - 1 AND ends IS NOT NULL, array(named_struct("
-        "'place', place + 1, 'node', node, 'edits', 1, 'found', ends)), array())"
+    at their node in ``found``."""
+    met = states.join(edges, "node").withColumns(
+        {"rest": F.expr("substr(text, place + 1)"), "later": F.expr("substr(text, place + 2)")}
     )
-    return met.select("id", "text", F.inline(F.concat(moves, dropped))).where(
-        "edits = 0 OR place < length(text) OR found IS NOT NULL"
+    met = met.withColumn("code", F.ascii("rest"))
+    return (
+        met.select("id", "text", "place", "edits", "rest", "later", "code", F.inline("edges"))
+        .withColumn("moves", F.expr(MOVES))
+        .select("id", "text", F.col("child").alias("node"), F.col("word").alias("found"), "follow",
+                F.inline("moves"))
+        .where(GOES_ON)
+        .select("id", "text", "place", "node", "edits", "found")
     )
 
 
