@@ -9,6 +9,7 @@ from conftest import epoch
 from tillhouse import jobs
 from tillhouse import schemas as S
 from tillhouse.plans.silver import CRM, INVENTORY, POS, WTL
+from tillhouse.sinks.reports import read_mart
 
 DATE = dt.date(2024, 5, 8)
 NOON = epoch(2024, 5, 8, 12)
@@ -34,7 +35,7 @@ def lake(spark, tmp_path_factory):
 
 
 def mart(spark, lake, contract):
-    frame = spark.read.schema(contract.schema).parquet(lake.mart(contract))
+    frame = read_mart(spark, lake.mart(contract), contract)
     return [tuple(r) for r in frame.select(*contract.schema.names).collect()]
 
 

@@ -12,7 +12,7 @@ from tillhouse import schemas as S
 from tillhouse.operators.merging import merge_frames
 from tillhouse.plans.periods import Period
 from tillhouse.plans.silver import CRM, INVENTORY, POS
-from tillhouse.sinks import folders, landing, reports
+from tillhouse.sinks import key_index, landing, reports, versions
 from tillhouse.sinks import tables as sink
 from tillhouse.sources.tables import read_partition_folder, read_table, register_folder
 
@@ -49,7 +49,6 @@ def test_upsert_creates_updates_moves_and_is_idempotent(spark, folder, rows):
     for _ in range(2):
         sink.upsert(spark, path, update, INVENTORY)
         assert stored(spark, path, rows) == [(1, 5, 8), (2, 9, 9), (3, 8, 9), (4, 1, 9)]
-    assert not Path(f"{path}__pending").exists()
 
 
 def test_partition_that_lost_its_rows_is_removed(spark, folder, rows):
@@ -57,7 +56,7 @@ def test_partition_that_lost_its_rows_is_removed(spark, folder, rows):
     sink.upsert(spark, path, stock(spark, (1, 5, DAY), (2, 6, DAY)), INVENTORY)
     sink.upsert(spark, path, stock(spark, (1, 7, NEXT), (2, 8, NEXT)), INVENTORY)
     assert stored(spark, path, rows) == [(1, 7, 9), (2, 8, 9)]
-    assert [p.name for p in Path(path).glob("year=*/month=*/*")] == ["day=9"]
+    assert list(versions.current(spark, path)) == ["year=2024/month=5/day=9"]
 
 
 def test_rows_without_a_time_live_in_the_null_partition(spark, folder, rows):
@@ -108,32 +107,86 @@ def test_failed_merge_is_raised_and_leaves_the_table(spark, folder, rows):
     assert stored(spark, path, rows) == [(1, 5, 8)]
 
 
-@pytest.mark.parametrize("progress", ["not begun", "half published"])
-def test_interrupted_publication_is_finished_by_the_next_upsert(spark, folder, rows, monkeypatch, progress):
+@pytest.mark.parametrize("dies_in", ["write_partitioned", "commit"])
+def test_interrupted_change_is_invisible(spark, folder, rows, monkeypatch, dies_in):
     path = f"{folder}/inventory"
     sink.upsert(spark, path, stock(spark, (1, 5, DAY), (2, 6, DAY)), INVENTORY)
-    first = {"not begun": 0, "half published": 1}[progress]
-    move, calls = sink.folders.move, []
 
-    def dies(*arguments):
-        if len(calls) == first:
-            raise KeyboardInterrupt
-        calls.append(move(*arguments))
+    def dies(*arguments, **options):
+        raise KeyboardInterrupt
 
-    change = stock(spark, (1, 7, NEXT), (2, 8, LATER))
     with monkeypatch.context() as crash:
-        crash.setattr(sink.folders, "move", dies)
+        crash.setattr(sink if dies_in == "write_partitioned" else versions, dies_in, dies)
         with pytest.raises(KeyboardInterrupt):
-            sink.upsert(spark, path, change, INVENTORY)
-    assert Path(f"{path}__pending").exists()
-    sink.upsert(spark, path, stock(spark, (3, 1, NEXT)), INVENTORY)
-    assert stored(spark, path, rows) == [(1, 7, 9), (2, 8, 10), (3, 1, 9)]
+            sink.upsert(spark, path, stock(spark, (1, 7, NEXT), (2, 8, LATER)), INVENTORY)
+    assert stored(spark, path, rows) == [(1, 5, 8), (2, 6, 8)]
+    sink.upsert(spark, path, stock(spark, (1, 9, NEXT), (3, 1, NEXT)), INVENTORY)
+    assert stored(spark, path, rows) == [(1, 9, 9), (2, 6, 8), (3, 1, 9)]
+
+
+def test_index_that_missed_a_change_catches_up(spark, folder, rows, monkeypatch):
+    path = f"{folder}/inventory"
+    sink.upsert(spark, path, stock(spark, (1, 5, DAY), (2, 6, DAY)), INVENTORY)
+
+    def dies(*arguments, **options):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as crash:
+        crash.setattr(key_index, "append", dies)
+        with pytest.raises(KeyboardInterrupt):
+            sink.upsert(spark, path, stock(spark, (1, 7, NEXT)), INVENTORY)
+    assert stored(spark, path, rows) == [(1, 7, 9), (2, 6, 8)]  # committed already
+    sink.upsert(spark, path, stock(spark, (1, 8, LATER)), INVENTORY)
+    assert stored(spark, path, rows) == [(1, 8, 10), (2, 6, 8)]
+
+
+def test_index_survives_a_catalog_that_forgot_it_and_a_rebuild(spark, folder, rows):
+    path = f"{folder}/inventory"
+    sink.upsert(spark, path, stock(spark, (1, 5, DAY), (2, 6, NEXT)), INVENTORY)
+    name = key_index.table_of(spark, path, S.SILVER_INVENTORY, INVENTORY.keys)
+    spark.sql(f"DROP TABLE {name}")
+    sink.upsert(spark, path, stock(spark, (1, 7, LATER)), INVENTORY)
+    assert stored(spark, path, rows) == [(1, 7, 10), (2, 6, 9)]
+    key_index.rebuild(spark, path, S.SILVER_INVENTORY, INVENTORY.keys)
+    assert rows(spark.table(name), "inventory_id", "folder") == [
+        (1, "year=2024/month=5/day=10"), (2, "year=2024/month=5/day=9"),
+    ]
+    sink.upsert(spark, path, stock(spark, (2, 8, LATER)), INVENTORY)
+    assert stored(spark, path, rows) == [(1, 7, 10), (2, 8, 10)]
+
+
+def test_lookup_does_not_move_the_index(spark, folder):
+    path = f"{folder}/inventory"
+    sink.upsert(spark, path, stock(spark, *[(i, 5, DAY) for i in range(50)]), INVENTORY)
+    wanted = stock(spark, (1, 7, NEXT)).repartition(3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = key_index.whereabouts(spark, path, wanted, S.SILVER_INVENTORY, INVENTORY.keys)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # The one exchange by key is that of the update.
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("FileScan") < plan.index("Exchange hashpartitioning")
+
+
+def test_old_versions_are_removed_later(spark, folder, rows):
+    path = f"{folder}/inventory"
+    for level in range(5):
+        sink.upsert(spark, path, stock(spark, (1, level, DAY), (10 + level, 1, NEXT)), INVENTORY)
+    reader = read_table(spark, path, S.SILVER_INVENTORY)
+    versions.remove_old(spark, path, INVENTORY.partitions)
+    assert sorted(p.name for p in Path(f"{path}/data").iterdir()) == ["version=4", "version=5"]
+    assert sorted(p.name for p in Path(f"{path}/current").iterdir()) == ["version=4", "version=5"]
+    assert rows(reader, "inventory_id", "stock_level")[0] == (1, 4)
 
 
-def test_half_written_staging_is_ignored(spark, folder, rows):
+def test_half_written_version_is_ignored(spark, folder, rows):
     path = f"{folder}/inventory"
     sink.upsert(spark, path, stock(spark, (1, 5, DAY)), INVENTORY)
-    stock(spark, (1, 99, DAY)).write.parquet(f"{path}__pending/content")
+    stock(spark, (1, 99, DAY)).write.parquet(f"{path}/data/version=2/year=2024/month=5/day=8")
+    assert stored(spark, path, rows) == [(1, 5, 8)]
     sink.upsert(spark, path, stock(spark, (2, 6, DAY)), INVENTORY)
     assert stored(spark, path, rows) == [(1, 5, 8), (2, 6, 8)]
 
@@ -227,7 +280,7 @@ def test_mart_load_is_typed_positional_and_repeatable(spark, folder, rows):
     path = reports.write_csv(renamed, folder, "sales_mart", DAY.date())
     for _ in range(2):
         reports.load_mart(spark, path, S.SALES_MART, f"{folder}/mart")
-    loaded = spark.read.schema(S.SALES_MART.schema).parquet(f"{folder}/mart")
+    loaded = reports.read_mart(spark, f"{folder}/mart", S.SALES_MART)
     assert rows(loaded, *S.SALES_MART.schema.names) == [SALE]
 
 
@@ -278,26 +331,26 @@ def test_value_that_does_not_fit_is_an_error(spark, folder, ansi):
     assert not Path(f"{folder}/mart").exists()
 
 
-def test_interrupted_mart_load_is_finished_by_the_next(spark, folder, monkeypatch):
+def test_interrupted_mart_load_is_invisible(spark, folder, monkeypatch):
     days = [dt.date(2024, 5, d) for d in (8, 9, 10)]
     row = (1, 1, 1.0, 1, 1, True, 1.0)
     first = sold_on(spark, f"{folder}/a", *[(*row, d) for d in days[:2]])
     second = sold_on(spark, f"{folder}/b", (*row, days[2]))
-    moves = []
-
-    def stop(spark_, source, target, move=folders.move):
-        if moves:
-            raise OSError("stopped")
-        moves.append(target)
-        move(spark_, source, target)
-
-    monkeypatch.setattr(folders, "move", stop)
-    with pytest.raises(OSError):
-        reports.load_mart(spark, first, S.SALES_MART, f"{folder}/mart")
-    monkeypatch.undo()
+
+    def stop(*arguments):
+        raise OSError("stopped")
+
+    def held():
+        return sorted(r.date for r in reports.read_mart(spark, f"{folder}/mart", S.SALES_MART).collect())
+
     reports.load_mart(spark, second, S.SALES_MART, f"{folder}/mart")
-    held = spark.read.schema(S.SALES_MART.schema).parquet(f"{folder}/mart")
-    assert sorted(r.date for r in held.collect()) == days
+    with monkeypatch.context() as crash:
+        crash.setattr(versions, "commit", stop)
+        with pytest.raises(OSError):
+            reports.load_mart(spark, first, S.SALES_MART, f"{folder}/mart")
+    assert held() == days[2:]
+    reports.load_mart(spark, first, S.SALES_MART, f"{folder}/mart")
+    assert held() == days
 
 
 def test_mart_contracts_match_the_warehouse_tables():
@@ -313,15 +366,34 @@ def test_pos_is_searched_for_moved_rows():
     assert not POS.key_fixes_partition
 
 
-def test_touched_partitions_are_pruned_from_the_table(spark, folder):
+def test_only_touched_partitions_are_read(spark, folder):
     path = f"{folder}/inventory"
     sink.upsert(spark, path, stock(spark, (1, 5, DAY), (2, 6, NEXT)), INVENTORY)
-    existing = spark.read.schema(S.SILVER_INVENTORY).parquet(path)
-    touched = sorted(sink._listed(existing.where("day = 9"), INVENTORY.partitions))
-    affected = existing.where(sink._folder(INVENTORY.partitions).isin(touched))
-    plan = affected._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [(concat_ws" in plan and "Filter (" not in plan
+    existing = read_table(spark, path, S.SILVER_INVENTORY)
+    touched = sink._listed(existing.where("day = 9"), INVENTORY.partitions)
+    affected = versions.read(spark, path, S.SILVER_INVENTORY, only=touched)
     assert affected.count() == 1
+    assert all("day=9" in file for file in affected.inputFiles())
+    one_day = read_table(spark, path, S.SILVER_INVENTORY, Period(2024, 5, 8))
+    assert one_day.count() == 1 and all("day=8" in file for file in one_day.inputFiles())
+
+
+def test_landing_touches_no_other_file(spark, folder, rows):
+    path = f"{folder}/bronze"
+
+    def file(name, *values):
+        return spark.createDataFrame([(v, name) for v in values], "value int, source_file string")
+
+    ten = dt.datetime(2024, 5, 8, 10, 15)
+    landing.land(spark, file("a b=1.json", 1, 2), path, ten, hourly=True)
+    before = {p: p.stat().st_mtime_ns for p in Path(path).rglob("*.parquet")}
+    landing.land(spark, file("7", 3), path, ten, hourly=True)
+    landing.land(spark, file("7", 4), path, ten, hourly=True)
+    after = {p: p.stat().st_mtime_ns for p in Path(path).rglob("*.parquet")}
+    assert before and before.items() <= after.items()
+    assert rows(spark.read.parquet(path), "value", "source_file") == [
+        (1, "a b=1.json"), (2, "a b=1.json"), (4, "7"),
+    ]
 
 
 def test_gold_csv_is_a_catalog_table(spark, folder, rows):

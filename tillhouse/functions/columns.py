@@ -65,9 +65,13 @@ def share_of_rows(condition: Column) -> Column:
     return F.avg(holds(condition).cast("int"))
 
 
-def ratio(numerator: Column, denominator: Column, otherwise: float | None = 0.0) -> Column:
-    """Quotient for a positive denominator, ``otherwise`` in all other cases."""
-    return F.when(denominator > 0, numerator / denominator).otherwise(
+def ratio(
+    numerator: Column, denominator: Column, otherwise: float | None = 0.0, unit: int = 1
+) -> Column:
+    """Quotient for a positive denominator, ``otherwise`` in all other cases. In ``unit`` s
+    of the numerator, which is one division, since two would round twice."""
+    divisor = denominator if unit == 1 else denominator * unit
+    return F.when(denominator > 0, numerator / divisor).otherwise(
         F.lit(otherwise).cast("double")
     )
 

@@ -27,7 +27,7 @@ from tillhouse.plans.silver import (
     survivors,
 )
 from tillhouse.session import working_folder
-from tillhouse.sinks import folders
+from tillhouse.sinks import folders, versions
 from tillhouse.sinks.reports import dated_folder, load_mart, write_csv
 from tillhouse.sinks.tables import remove_rows, upsert
 from tillhouse.sources.tables import read_table
@@ -89,6 +89,7 @@ def refresh_silver(
         .json(f"{dated_folder(lake.rejected, table.name, date)}/run={run}")
     )
     folders.remove(spark, folder)
+    versions.remove_old(spark, lake.silver(table), table.partitions)
 
 
 def read_rejects(spark: SparkSession, lake: Lake, table: SilverTable) -> DataFrame:

@@ -306,14 +306,11 @@ SELECT {WTL_COLUMNS} FROM (
   UNION ALL
   SELECT * FROM wtl WHERE epoch_us(timestamp) // 1000000 % 2 <> 0) AS merged"""
 
-SOME_SALES = """
-some_raw AS (
-  SELECT * FROM bronze_pos WHERE timestamp BETWEEN 775000000 AND 790000000)"""
-ORACLES["merge_pos_stored"] = f"""WITH {BRONZE_POS},{SOME_SALES},
+ORACLES["merge_pos_stored"] = f"""WITH {BRONZE_POS},
 moved_raw AS (
-  SELECT * REPLACE (timestamp + 40 * 86400 AS timestamp) FROM some_raw
+  SELECT * REPLACE (timestamp + 40 * 86400 AS timestamp) FROM bronze_pos
   WHERE product_id % 3 = 0),
-{pos_silver('some_raw', 'stored')},
+{pos_silver('bronze_pos', 'stored')},
 {pos_silver('moved_raw', 'moved')},
 merged AS (
   SELECT * FROM moved
@@ -328,18 +325,18 @@ def refused(status: str) -> str:
     raw, name = f"raw_{status}", f"sold_{status}"
     return f"""
 {raw} AS (
-  SELECT * FROM some_raw WHERE l_linestatus = '{status}' AND product_id % 50 <> 0),
+  SELECT * FROM bronze_pos WHERE l_linestatus = '{status}' AND product_id % 50 <> 0),
 {pos_silver(raw, name)},
 refused_{status} AS (
   SELECT transaction_id, store_id, product_id, quantity,
     CASE WHEN quantity >= 0 THEN 'bad_revenue' ELSE 'bad_quantity' END AS reject_reason
   FROM {name}_one WHERE NOT coalesce(quantity >= 0 AND revenue >= 0, FALSE)
   UNION ALL
-  SELECT NULL, store_id, product_id, quantity, 'null_key' FROM some_raw
+  SELECT NULL, store_id, product_id, quantity, 'null_key' FROM bronze_pos
   WHERE l_linestatus = '{status}' AND product_id % 50 = 0)"""
 
 
-ORACLES["job_rejects_pos"] = f"""WITH {BRONZE_POS},{SOME_SALES},{refused('F')},{refused('O')}
+ORACLES["job_rejects_pos"] = f"""WITH {BRONZE_POS},{refused('F')},{refused('O')}
 SELECT transaction_id, store_id, product_id, CAST(quantity AS BIGINT) AS quantity,
   reject_reason, run
 FROM (SELECT *, 'F' AS run FROM refused_F UNION ALL SELECT *, 'O' FROM refused_O) AS refused"""
@@ -553,8 +550,12 @@ ORACLES["daily_net_sales"] = revenue("date", iso_date())
 ORACLES["store_revenue"] = revenue("store_id", "store_id")
 
 ORACLES["mart_key_violations"] = f"""WITH {BRONZE_POS}
-SELECT transaction_id, count(*) AS row_count, 'repeated_key' AS problem
-FROM bronze_pos GROUP BY transaction_id HAVING count(*) > 1"""
+,
+named AS (
+  SELECT CASE WHEN product_id % 50 <> 0 THEN transaction_id END AS transaction_id FROM bronze_pos)
+SELECT transaction_id, count(*) AS row_count,
+  CASE WHEN transaction_id IS NULL THEN 'null_key' ELSE 'repeated_key' END AS problem
+FROM named GROUP BY transaction_id HAVING count(*) > 1 OR transaction_id IS NULL"""
 
 # --- operations --------------------------------------------------------------------
 

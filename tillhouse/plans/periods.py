@@ -26,6 +26,16 @@ class Period:
     def month_of(cls, date: dt.date) -> Period:
         return cls(date.year, date.month)
 
+    def holds(self, folder: str) -> bool:
+        """A partition folder such as ``year=2024/month=05/day=08`` lies in the period, or
+        may do so because it does not tell."""
+        told = dict(level.split("=", 1) for level in folder.split("/"))
+        wanted = {"year": self.year, "month": self.month, "day": self.day}
+        return all(
+            value is None or name not in told or told[name] in (str(value), f"{value:02d}")
+            for name, value in wanted.items()
+        )
+
     def rows(self, df: DataFrame) -> DataFrame:
         condition = F.col("year") == self.year
         if self.month is not None:

@@ -46,7 +46,7 @@ def time_to_resolution(crm: DataFrame) -> DataFrame:
         F.sum("resolution_seconds").alias("resolution_seconds"),
     )
     return totals.select(
-        ratio(F.col("resolution_seconds") / 60.0, F.col("resolved")).alias(
+        ratio(F.col("resolution_seconds"), F.col("resolved"), unit=60).alias(
             "avg_time_to_resolution_minutes"
         ),
         F.coalesce("resolved", F.lit(0)).alias("resolutions"),
@@ -94,7 +94,7 @@ def customer_support_mart(
         "complaint_count",
         "feedback_count",
         "loyalty_count",
-        ratio(F.col("resolution_seconds") / 3600.0, F.col("resolved"), otherwise=None).alias(
+        ratio(F.col("resolution_seconds"), F.col("resolved"), otherwise=None, unit=3600).alias(
             "avg_resolution_hours"
         ),
         F.lit(processing_date).alias("date"),
@@ -154,7 +154,7 @@ def support_snapshot(live: DataFrame, stamp: str = "kpi_date") -> DataFrame:
     return figures.select(
         ratio(F.col("rating_sum"), F.col("rated")).alias("feedback_score"),
         type_counts_json(F.col("volumes")).alias("interaction_volume_by_type"),
-        ratio(F.col("resolution_seconds") / 60.0, F.col("resolved")).alias(
+        ratio(F.col("resolution_seconds"), F.col("resolved"), unit=60).alias(
             "avg_time_to_resolution_minutes"
         ),
         stamp,

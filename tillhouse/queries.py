@@ -29,7 +29,7 @@ from tillhouse.plans import marketing, operations, sales, silver, support
 from tillhouse.plans.periods import Period
 from tillhouse.session import prepare, working_folder
 from tillhouse.sinks import landing
-from tillhouse.sinks.reports import load_mart, mart_violations, write_csv
+from tillhouse.sinks.reports import load_mart, mart_violations, read_mart, write_csv
 from tillhouse.sinks.tables import upsert, write_partitioned
 from tillhouse.sources import envelopes, feeds, json_files, tables
 from tillhouse.streaming import event_time
@@ -42,7 +42,6 @@ REGISTRY: dict[str, Query] = {}
 # The dates the reports are made for.
 SALES_DATE = dt.date(1998, 6, 15)
 SALES_MONTH = Period(1998, 6)
-SALES_SPAN = (775_000_000, 790_000_000)
 EVENTS_DATE = dt.date(2024, 1, 31)
 SUPPORT_DATE = dt.date(2024, 1, 20)
 EVENTS_MONTH = Period(2024, 1)
@@ -85,6 +84,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def without_some_ids(sold: DataFrame) -> DataFrame:
+    """Sales as they come in when some tills name no transaction."""
+    return sold.withColumn(
+        "transaction_id", F.when(F.col("product_id") % 50 != 0, F.col("transaction_id"))
+    )
+
+
 def pos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver_pos(feeds.pos_feed(table(spark, sf_dir, "lineitem")))
 
@@ -298,11 +304,8 @@ def merge_wtl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def merge_pos_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored settled sales of some months upserted by open ones and by corrections that
-    move a third of the sales to another day."""
-    sold = feeds.pos_feed(table(spark, sf_dir, "lineitem")).where(
-        F.col("timestamp").between(*SALES_SPAN)
-    )
+    """All stored sales upserted by corrections that move a third of them to another day."""
+    sold = feeds.pos_feed(table(spark, sf_dir, "lineitem"))
     moved = sold.where(F.col("product_id") % 3 == 0).withColumn(
         "timestamp", F.col("timestamp") + 40 * 86_400
     )
@@ -323,10 +326,7 @@ def job_rejects_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = jobs.Lake(working_folder(spark, "lake"))
     for status in ("F", "O", "F"):
         sold = feeds.pos_feed(lines.where(F.col("l_linestatus") == status))
-        sold = sold.where(F.col("timestamp").between(*SALES_SPAN)).withColumn(
-            "transaction_id", F.when(F.col("product_id") % 50 != 0, F.col("transaction_id"))
-        )
-        jobs.refresh_silver(spark, lake, sold, silver.POS, SALES_DATE, run=status)
+        jobs.refresh_silver(spark, lake, without_some_ids(sold), silver.POS, SALES_DATE, run=status)
     found = jobs.read_rejects(spark, lake, silver.POS)
     numbers = [F.col(c).cast("bigint").alias(c) for c in ("store_id", "product_id", "quantity")]
     return found.select("transaction_id", *numbers, "reject_reason", "run")
@@ -340,7 +340,7 @@ def job_support_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     contacts = feeds.crm_feed(table(spark, sf_dir, "events"))
     jobs.refresh_silver(spark, lake, contacts, silver.CRM, SUPPORT_DATE)
     jobs.refresh_support(spark, lake, SUPPORT_DATE)
-    return spark.read.schema(S.SUPPORT_MART.schema).parquet(lake.mart(S.SUPPORT_MART))
+    return read_mart(spark, lake.mart(S.SUPPORT_MART), S.SUPPORT_MART)
 
 
 # --- gold --------------------------------------------------------------------------
@@ -475,7 +475,7 @@ def _roundtrip(spark: SparkSession, gold: DataFrame, mart: S.Mart, date: dt.date
     folder = working_folder(spark, mart.name)
     csv = write_csv(gold, f"{folder}/gold", mart.name, date)
     load_mart(spark, csv, mart, f"{folder}/mart")
-    return spark.read.schema(mart.schema).parquet(f"{folder}/mart").select(*mart.schema.names)
+    return read_mart(spark, f"{folder}/mart", mart)
 
 
 @query
@@ -509,8 +509,8 @@ def mart_roundtrip_support(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def mart_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys the raw sales feed would break if it were loaded without deduplication,
-    checked with the rules of a mart keyed by transaction."""
-    raw = feeds.pos_feed(table(spark, sf_dir, "lineitem"))
+    checked with the rules of a mart keyed by transaction; some sales come without one."""
+    raw = without_some_ids(feeds.pos_feed(table(spark, sf_dir, "lineitem")))
     by_transaction = S.Mart("raw_sales", S.BRONZE_POS, ("transaction_id",), "timestamp")
     return mart_violations(raw, by_transaction)
 

@@ -35,11 +35,8 @@ def remove(spark: SparkSession, path: str) -> None:
     file_system.delete(hadoop_path, True)
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Put a folder in the place of another one of the same file system."""
-    file_system, hadoop_source = _locate(spark, source)
-    _, hadoop_target = _locate(spark, target)
-    file_system.delete(hadoop_target, True)
-    file_system.mkdirs(hadoop_target.getParent())
-    if not file_system.rename(hadoop_source, hadoop_target):
-        raise OSError(f"could not move {source} to {target}")
+def finished_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the folders ``version=N`` below a path that a Spark job finished."""
+    file_system, root = _locate(spark, path)
+    found = file_system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "version=*/_SUCCESS"))
+    return [int(f.getPath().getParent().getName().split("=")[1]) for f in found or []]

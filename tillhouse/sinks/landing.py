@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse.operators.survivors import keep_newest
-from tillhouse.sinks import folders
-from tillhouse.sinks.tables import finish_pending, replace_partitions, write_partitioned
 
 DAILY = ("year", "month", "day")
 HOURLY = (*DAILY, "hour")
@@ -39,25 +37,21 @@ def land(
 ) -> None:
     """Add the rows of source files to the folder of the arrival time.
 
-    ``rows`` carry their file name in ``source_file``. A file that landed there before
-    under the same name is replaced, other files stay. No rows, no change.
+    ``rows`` carry their file name in ``source_file``, which is the last partition level: a
+    file that landed in that hour or day before under the same name is replaced, and no
+    other file is touched or read. No rows, no change.
     """
-    partitions = HOURLY if hourly else DAILY
     arriving = with_arrival(rows, arrived_at, hourly)
-    finish_pending(spark, path)
     if arriving.isEmpty():
         return
-    if not folders.exists(spark, path):
-        write_partitioned(arriving, path, partitions, gather=False)
-        return
-    hour = {name: getattr(_in_utc(arrived_at), name) for name in partitions}
-    target = "/".join(f"{name}={value}" for name, value in hour.items())
-    landed = spark.read.schema(arriving.schema).parquet(path)
-    for name, value in hour.items():
-        landed = landed.where(F.col(name) == value)
-    names = rows.select("source_file").distinct()
-    others = landed.join(names, "source_file", "left_anti").select(*arriving.columns)
-    replace_partitions(spark, path, others.unionByName(arriving), partitions, {target})
+    partitions = [*(HOURLY if hourly else DAILY), "source_file"]
+    (
+        arriving.hint("rebalance", F.col("source_file"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partitions)
+        .parquet(path)
+    )
 
 
 def latest_objects(records: DataFrame, keys: list[str], arrival: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse.schemas import Mart
-from tillhouse.sinks.tables import finish_pending, publish_staged, staged_content
+from tillhouse.sinks import folders, versions
 
 
 def dated_folder(root: str, name: str, date: dt.date) -> str:
@@ -76,13 +76,11 @@ def check_mart(df: DataFrame, mart: Mart) -> None:
 def load_mart(spark: SparkSession, folder: str, mart: Mart, path: str) -> None:
     """Store a gold folder typed, by date, if it keeps the mart contract.
 
-    The rows are written beside the mart first. The keys are checked there, on stored
-    columns, and the folders of the dates move into place afterwards, so a refused load
-    leaves the mart as it was and loading a date again replaces it. A load that was
-    interrupted while it moved folders is finished by the next one.
+    The rows are written as the next version of the mart. The keys are checked there, on
+    stored columns, and the version counts afterwards, so a refused or interrupted load
+    leaves the mart as it was and loading a date again replaces it.
     """
-    finish_pending(spark, path)
-    staged = staged_content(path)
+    number, staged = versions.stage(spark, path)
     (
         read_gold(spark, folder, mart)
         .hint("rebalance")
@@ -91,5 +89,14 @@ def load_mart(spark: SparkSession, folder: str, mart: Mart, path: str) -> None:
         .partitionBy(mart.sort)
         .parquet(staged)
     )
-    check_mart(spark.read.schema(mart.schema).parquet(staged), mart)
-    publish_staged(spark, path, [mart.sort], set())
+    try:
+        check_mart(spark.read.schema(mart.schema).parquet(staged), mart)
+    except ValueError:
+        folders.remove(spark, staged if number > 1 else path)
+        raise
+    versions.commit(spark, path, number, [mart.sort], ())
+
+
+def read_mart(spark: SparkSession, path: str, mart: Mart) -> DataFrame:
+    """The rows of a typed mart."""
+    return versions.read(spark, path, mart.schema)

@@ -1,10 +1,7 @@
-"""Partitioned tables: create, replace some partitions, upsert.
+"""Partitioned tables: create, replace some partitions, upsert, delete.
 
-Parquet has no transactions. The new content of changed partitions is therefore written
-to a sibling folder first, with a list of the partitions it replaces, and then moved
-into place one partition folder at a time. A run that dies half way leaves the sibling
-behind, and the next call finishes it before it starts. Readers may see some partitions
-before and some after the change meanwhile.
+Changes are published as versions (``versions``); rows are found by key in an index
+(``key_index``) where a changed row may lie in another partition than before.
 """
 
 from __future__ import annotations
@@ -20,7 +17,7 @@ from tillhouse.operators.screening import with_complete_key
 from tillhouse.operators.survivors import keep_newest
 from tillhouse.plans.silver import SilverTable
 from tillhouse.session import working_folder
-from tillhouse.sinks import folders
+from tillhouse.sinks import folders, key_index, versions
 
 
 def write_partitioned(
@@ -58,54 +55,19 @@ def _listed(df: DataFrame, partitions: Sequence[str]) -> set[str]:
     return {row.folder for row in rows}
 
 
-def _pending(path: str) -> str:
-    return f"{path.rstrip('/')}__pending"
-
-
 def replace_partitions(
     spark: SparkSession,
     path: str,
     content: DataFrame,
     partitions: Sequence[str],
     touched: set[str],
-) -> None:
-    """Make ``content`` all there is in the ``touched`` partition folders."""
-    staged = staged_content(path)
-    write_partitioned(content, staged, partitions, gather=len(touched) > 1)
-    publish_staged(spark, path, partitions, touched)
-
-
-def staged_content(path: str) -> str:
-    """Where the new content of a table's partitions is written before it is published."""
-    return f"{_pending(path)}/content"
-
-
-def publish_staged(
-    spark: SparkSession, path: str, partitions: Sequence[str], touched: set[str]
-) -> None:
-    """Replace the ``touched`` partition folders, and those that staged content fills. Once
-    the plan is written, the next call finishes what an interruption leaves."""
-    pending = _pending(path)
-    filled = folders.partition_folders(spark, f"{pending}/content", partitions)
-    plan = [(folder, folder in filled) for folder in sorted(touched | filled)]
-    listing = spark.createDataFrame(plan, "folder string, filled boolean")
-    listing.write.mode("overwrite").parquet(f"{pending}/plan")
-    finish_pending(spark, path)
-
-
-def finish_pending(spark: SparkSession, path: str) -> None:
-    """Publish a change that was fully written aside; do nothing without one."""
-    pending = _pending(path)
-    if not folders.is_complete(spark, f"{pending}/plan"):
-        return
-    for row in spark.read.parquet(f"{pending}/plan").collect():
-        written, target = f"{pending}/content/{row.folder}", f"{path}/{row.folder}"
-        if not row.filled:
-            folders.remove(spark, target)
-        elif folders.exists(spark, written):  # else an earlier attempt has moved it
-            folders.move(spark, written, target)
-    folders.remove(spark, pending)
-    spark.catalog.refreshByPath(path)
+) -> int:
+    """Make ``content`` all there is in the ``touched`` partition folders, as a new version,
+    whose number is returned."""
+    number, staged = versions.stage(spark, path)
+    write_partitioned(content, staged, partitions, gather=len(touched) != 1)
+    versions.commit(spark, path, number, partitions, touched)
+    return number
 
 
 def _same_columns(found: T.StructType, expected: T.StructType) -> bool:
@@ -117,31 +79,31 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, table: SilverTabl
 
     Updates without a complete key are left out (``silver.keyless`` selects them for
     quarantine). Only partitions that receive an update, or that hold the old version
-    of an updated row, are rewritten. Errors are raised and the table stays.
+    of an updated row, are read and rewritten: the index tells which hold one. Errors are
+    raised and the table stays.
     """
     if not _same_columns(updates.schema, table.schema):
         raise ValueError(f"updates for {table.name} have columns {updates.schema.simpleString()}")
-    finish_pending(spark, path)
+    indexed = not table.key_fixes_partition
+    if indexed:
+        key_index.catch_up(spark, path, table.schema, table.keys)
+    staged = working_folder(spark, f"updates-{table.name}")
     keyed = keep_newest(
         with_complete_key(updates, table.keys), table.keys, table.time_column
     )
-    if not folders.exists(spark, path):
-        write_partitioned(keyed, path, table.partitions)
-        return
-
-    staged = working_folder(spark, f"updates-{table.name}")
     keyed.write.parquet(staged)
     changes = spark.read.schema(table.schema).parquet(staged)
-    existing = spark.read.schema(table.schema).parquet(path)
     touched = _listed(changes, table.partitions)
-    if not table.key_fixes_partition:
-        # Of the table, only the key and the folder names are read for this.
-        old_versions = existing.join(changes.select(*table.keys), list(table.keys), "left_semi")
-        touched |= _listed(old_versions, table.partitions)
-    affected = existing.where(_folder(table.partitions).isin(sorted(touched)))
-    merged = merge_frames(affected, changes, table.keys).select(*table.schema.names)
     if touched:
-        replace_partitions(spark, path, merged, table.partitions, touched)
+        if indexed:
+            found = key_index.whereabouts(spark, path, changes, table.schema, table.keys)
+            touched |= {row.folder for row in found.select("folder").distinct().collect()}
+        affected = versions.read(spark, path, table.schema, only=touched)
+        merged = merge_frames(affected, changes, table.keys).select(*table.schema.names)
+        number = replace_partitions(spark, path, merged, table.partitions, touched)
+        if indexed:
+            placed = changes.withColumn("folder", _folder(table.partitions))
+            key_index.append(spark, path, placed, table.schema, table.keys, number)
     folders.remove(spark, staged)
 
 
@@ -153,8 +115,7 @@ def remove_rows(
     ``retained`` may only drop rows. The number of rows per partition before and after
     tells which partitions change.
     """
-    finish_pending(spark, path)
-    existing = spark.read.schema(table.schema).parquet(path)
+    existing = versions.read(spark, path, table.schema)
 
     def sizes(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy(_folder(table.partitions).alias("folder")).agg(F.count("*").alias(name))
@@ -165,6 +126,6 @@ def remove_rows(
     )
     touched = {row.folder for row in shrunk.select("folder").collect()}
     if touched:
-        affected = existing.where(_folder(table.partitions).isin(sorted(touched)))
+        affected = versions.read(spark, path, table.schema, only=touched)
         content = retained(affected).select(*table.schema.names)
         replace_partitions(spark, path, content, table.partitions, touched)
