@@ -56,12 +56,16 @@ def test_language_of_awkward_rows(spark):
     code = language.train(spark.createDataFrame(rows, DOCS))
     assert code.languages == ["de", "en"]
     unclear = documents(spark, [(90, "xqxq zzz"), (91, "the dog and the cat")])
-    found = {r.doc_id: r for r in language.identify(unclear, code).collect()}
+    found = {r.record.doc_id: r for r in language.identify(unclear, code).collect()}
     assert found[91].lang_pred == "en" and not found[91].ambiguous
     judged = language.identify(awkward(spark), code)
-    assert "ambiguous" in judged.columns and judged.columns.count("score") == 1
-    by_id = {r.doc_id: r for r in judged.collect()}
+    assert {r.record.score for r in judged.collect()} == {"clash"}
+    by_id = {r.record.doc_id: r for r in judged.collect()}
     assert all(by_id[i].lang_pred == "und" and by_id[i].score == 0 for i in (2, 3, 5, 6))
+    named = unclear.selectExpr("*", "0.77D as score", "'x' as has_letter", "1 as `a.b`", "2 as ambiguous")
+    kept = language.recognised(named, code)
+    assert kept.columns == named.columns
+    assert [tuple(r)[5:] for r in kept.where("doc_id = 91").collect()] == [(0.77, "x", 1, 2)]
     none = language.train(spark.createDataFrame([], DOCS))
     assert {r.lang_pred for r in language.identify(awkward(spark), none).collect()} == {"und"}
     one = language.train(documents(spark, [(1, "the only one")]))

@@ -65,7 +65,7 @@ def test_against_brute_force(spark, span, segment_bytes, block_bytes):
     items = spark.createDataFrame(ITEMS, "item_id string, text string")
     index = phrase_index.build_index(docs, segment_bytes=segment_bytes)
     found = phrase_index.find_items(index, items, window=3, span=span, block_bytes=block_bytes)
-    assert flat(found) == dict(enumerate(brute(TEXTS, ITEMS, 3, span)))
+    assert flat(found) == dict((str(i), x) for i, x in enumerate(brute(TEXTS, ITEMS, 3, span)))
 
 
 def test_query_equals_sql(spark):
@@ -84,7 +84,7 @@ def test_awkward_rows_and_empty_tables(spark):
     found = phrase_index.find_items(phrase_index.build_index(docs), items)
     assert found.count() == docs.count()
     named = rows_of(found.where("size(items) > 0"), "doc_id", "items")
-    assert named == sorted([(1, ["1"]), (1, ["1"]), (None, ["1"]), (7, ["4"])], key=repr)
+    assert named == sorted([("1", ["1"]), ("1", ["1"]), (None, ["1"]), ("7", ["4"])], key=repr)
     kept = phrase_index.decontaminated(docs, items)
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.collect()]
@@ -93,3 +93,14 @@ def test_awkward_rows_and_empty_tables(spark):
     assert phrase_index.find_items(empty, items).count() == 0
     none = phrase_index.find_items(phrase_index.build_index(docs), items.limit(0))
     assert none.where("size(items) > 0").count() == 0 and none.count() == docs.count()
+
+
+def test_large_ids_beside_null_ones_stay_exact(spark):
+    big = 2**53 + 1
+    docs = documents(spark, [(big, PROSE), (None, "some other words"), (7, "and these")]).coalesce(1)
+    items = spark.createDataFrame([("a", PROSE)], "item_id string, text string")
+    found = phrase_index.find_items(phrase_index.build_index(docs), items)
+    assert rows_of(found.where("size(items) > 0"), "doc_id") == [(str(big),)]
+    assert sorted(str(r.doc_id) for r in phrase_index.decontaminated(docs, items).collect()) == ["7", "None"]
+    named = docs.selectExpr("concat('doc-', doc_id) as doc_id", "text")
+    assert rows_of(phrase_index.decontaminated(named, items), "doc_id") == [("doc-7",), (None,)]

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillhouse.llm.batches import in_pieces, opened, shared, texts_of
 
@@ -199,23 +200,27 @@ def train(labelled: DataFrame, most: int = SAMPLE_PER_LANGUAGE) -> Code:
 
 
 def identify(docs: DataFrame, code: Code, margin: float = MARGIN) -> DataFrame:
-    """``lang_pred``, ``score`` and ``ambiguous`` beside the columns doc_id and text.
+    """The row of each document as ``record``, with ``lang_pred``, ``score`` and ``ambiguous``.
 
     ``und`` with score 0 if the text is null, has no letter, or no language was learned.
     The score is the probability of the chosen language; of languages that cost the same
-    the first by name is chosen. Repeated rows are judged one by one.
+    the first by name is chosen. Repeated rows are judged one by one. Columns of any name
+    stay as they are within the record.
     """
     sent = shared(docs.sparkSession, code)
+    # Numbered, since a name may clash with those of this function or hold a dot.
+    places = {f"c{i}": F.col(f"`{name}`") for i, name in enumerate(docs.columns)}
+    text = f"c{docs.columns.index('text')}"
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learned = opened(sent)
-        for table in in_pieces(batches, "text", PIECE_BYTES):
+        for table in in_pieces(batches, text, PIECE_BYTES):
             for part in table.to_batches(max_chunksize=200):
                 names = np.full(len(part), UNKNOWN, object)
                 score, near = np.zeros(len(part)), np.zeros(len(part), bool)
                 able = part.column("has_letter").to_numpy(zero_copy_only=False)
                 if learned.languages and able.any():
-                    chance = learned.probabilities(counts_of(part.column("text")))
+                    chance = learned.probabilities(counts_of(part.column(text)))
                     best = chance.argmax(axis=1)
                     ordered = np.sort(chance, axis=1)
                     names = np.where(able, np.array(learned.languages, object)[best], names)
@@ -223,18 +228,22 @@ def identify(docs: DataFrame, code: Code, margin: float = MARGIN) -> DataFrame:
                     if len(learned.languages) > 1:
                         near = able & (ordered[:, -1] - ordered[:, -2] < margin)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.select(kept).columns, pa.array(names, pa.string()), pa.array(score),
-                     pa.array(near)],
-                    names=[*kept, "lang_pred", "score", "ambiguous"],
+                    [*part.select(list(places)).columns, pa.array(names, pa.string()),
+                     pa.array(score), pa.array(near)],
+                    names=[*places, "lang_pred", "score", "ambiguous"],
                 )
 
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "ambiguous")]
-    marked = docs.select(
-        *kept, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has_letter")
-    )
-    columns = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema
-    )
-    return marked.mapInArrow(
-        judge, f"{columns}, lang_pred string, score double, ambiguous boolean"
-    )
+    kept = docs.select(*[column.alias(name) for name, column in places.items()])
+    marked = kept.withColumn("has_letter", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
+    found = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+             T.StructField("ambiguous", T.BooleanType())]
+    judged = marked.mapInArrow(judge, T.StructType([*kept.schema.fields, *found]))
+    record = F.struct(*[F.col(c).alias(name) for c, name in zip(places, docs.columns, strict=True)])
+    return judged.select(record.alias("record"), "lang_pred", "score", "ambiguous")
+
+
+def recognised(docs: DataFrame, code: Code) -> DataFrame:
+    """Documents, in their own columns, of one of the learned languages: texts without a
+    letter, null texts and texts between two languages go."""
+    found = identify(docs, code).where((F.col("lang_pred") != UNKNOWN) & ~F.col("ambiguous"))
+    return found.select("record.*")

@@ -35,17 +35,17 @@ INDEX = pa.schema(
         ("segment", pa.int64()),
         ("term", pa.binary()),
         ("steps", pa.binary()),
-        ("doc_ids", pa.list_(pa.int64())),
+        ("doc_ids", pa.list_(pa.string())),
         ("doc_hashes", pa.list_(pa.int64())),
         ("doc_words", pa.list_(pa.int64())),
     ]
 )
 INDEX_DDL = (
-    "segment bigint, term binary, steps binary, doc_ids array<bigint>, "
+    "segment bigint, term binary, steps binary, doc_ids array<string>, "
     "doc_hashes array<bigint>, doc_words array<bigint>"
 )
 FOUND_DDL = (
-    "segment bigint, ordinal bigint, doc_id bigint, text_hash bigint, n_words bigint, "
+    "segment bigint, ordinal bigint, doc_id string, text_hash bigint, n_words bigint, "
     "runs array<struct<first:bigint,last:bigint>>, items array<string>"
 )
 
@@ -68,9 +68,9 @@ def _segments(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                 pa.binary(), len(held),
                 [None, pa.py_buffer((heads * 4).astype(np.int32)), pa.py_buffer(steps)],
             )
-            nothing = pa.nulls(len(held), pa.list_(pa.int64()))
+            empty = [pa.nulls(len(held), field.type) for field in list(INDEX)[3:]]
             terms = [pa.array(np.full(len(held), number)), words.terms.cast(pa.binary())]
-            rows = pa.Table.from_arrays([*terms, postings, *[nothing] * 3], schema=INDEX)
+            rows = pa.Table.from_arrays([*terms, postings, *empty], schema=INDEX)
             yield from rows.to_batches(max_chunksize=50_000)
             documents = {
                 "segment": [number], "term": [None], "steps": [None],
@@ -93,10 +93,11 @@ def build_index(
     A row with a term holds its positions in the segment, as int32 steps from the one
     before. A row without a term holds the segment's documents and their numbers of words.
     Null and empty texts are documents without words; repeated rows are documents of their
-    own; a null id stays null; other columns are not read.
+    own; ids are kept as text, so that any kind of id is exact and a null id stays null; other
+    columns are not read.
     """
     chosen = docs.select(
-        F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"),
+        F.col(id_column).cast("string").alias("doc_id"), F.col(text_column).alias("text"),
         F.xxhash64(F.col(text_column)).alias("text_hash"),
     )
     return stored(chosen.mapInArrow(_segments(segment_bytes), INDEX_DDL), "phrase-index")
@@ -247,7 +248,7 @@ def _search(sent: Broadcast, span: int | None):
             {
                 "segment": np.full(len(sizes), rows["segment"].iloc[0]),
                 "ordinal": np.arange(len(sizes)),
-                "doc_id": pd.array([None if pd.isna(x) else int(x) for x in ids], "Int64"),
+                "doc_id": pd.Series(list(ids), dtype=object),
                 "text_hash": np.asarray(table["doc_hashes"], np.int64),
                 "n_words": sizes,
                 "runs": [spans.get(i, []) for i in range(len(sizes))],
@@ -292,7 +293,7 @@ def find_items(
     with it, where ``span`` consecutive words of a document hold all its words in any order.
 
     Returns for each indexed document its runs of words that lie in an occurrence (word
-    numbers, both ends included) and the items found, sorted as text. Items without an id
+    numbers, both ends included) and the items found, sorted as text; ``doc_id`` is text. Items without an id
     or text are not searched, repeated items count once, an empty table finds nothing.
     """
     spark = index.sparkSession
@@ -340,6 +341,6 @@ def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
         hit = find_items(build_index(docs), items).where(F.size("runs") > 0)
         hit = hit.select(F.col("doc_id").alias("hit_id"), "text_hash").distinct()
         hit = stored(hit, "hits", lasting=True)
-    same = docs["doc_id"].eqNullSafe(hit["hit_id"])
+    same = docs["doc_id"].cast("string").eqNullSafe(hit["hit_id"])
     same &= F.xxhash64(docs["text"]) == hit["text_hash"]
     return docs.join(hit, same, "left_anti")

@@ -70,7 +70,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrase_index.find_items(index, table(spark, sf_dir, "benchmark"))
     hit = F.expr("aggregate(runs, 0L, (n, run) -> n + run.last - run.first + 1)")
     return found.select(
-        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+        F.col("doc_id").cast("bigint").alias("doc_id"), "n_words", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
     )
@@ -89,8 +89,8 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     code = language.train(docs.where(~held_out(3, 1)))
     found = language.identify(docs.select("doc_id", "text"), code)
-    return found.select(
-        "doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score", "ambiguous"
+    return found.select("record.doc_id", "lang_pred", "score", "ambiguous").withColumn(
+        "held_out", held_out(3, 1)
     )
 
 
