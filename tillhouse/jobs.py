@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tillhouse import schemas as S
 from tillhouse.operators.governance import retain
+from tillhouse.operators.survivors import keep_newest
 from tillhouse.operators.screening import REASON, failing, passing, require_columns
 from tillhouse.plans import marketing, operations, sales, support
 from tillhouse.plans.periods import Period
@@ -27,9 +28,9 @@ from tillhouse.plans.silver import (
     survivors,
 )
 from tillhouse.session import working_folder
-from tillhouse.sinks import folders, versions
+from tillhouse.sinks import folders, key_index, versions
 from tillhouse.sinks.reports import dated_folder, load_mart, write_csv
-from tillhouse.sinks.tables import remove_rows, upsert
+from tillhouse.sinks.tables import purge, remove_rows, upsert
 from tillhouse.sources.tables import read_table
 
 
@@ -151,14 +152,27 @@ def refresh_operations(spark: SparkSession, lake: Lake, date: dt.date) -> None:
     publish(spark, lake, operations.operations_mart(pos, inventory, date), S.OPERATIONS_MART, date)
 
 
+def support_history(spark: SparkSession, lake: Lake, date: dt.date) -> DataFrame:
+    """Interactions of a day, and the earlier ones of the customers resolved on it."""
+    path = lake.silver(CRM)
+    if not versions.is_versioned(spark, path):
+        return spark.createDataFrame([], CRM.schema)
+    today = read_silver(spark, lake, CRM, Period.day_of(date))
+    resolved = today.where(F.col("interaction_type") == S.RESOLUTION).select(CRM.owner)
+    opened = key_index.folders_of(spark, path, resolved, CRM.schema, CRM.owner)
+    opened = {f for f in opened if Period.may_begin_before(f, date)}
+    earlier = versions.read(spark, path, CRM.schema, only=opened).where(F.col("date") < F.lit(date))
+    return earlier.unionByName(today)
+
+
 def refresh_support(spark: SparkSession, lake: Lake, date: dt.date) -> None:
     """Support metrics of a day as single CSV files, and the support mart.
 
     A Resolution may answer an interaction of an earlier day, so the mart also reads the
-    history of the customers with a Resolution on the day.
+    folders of the customers with a Resolution on the day, which the index of owners tells.
     """
-    history = read_silver(spark, lake, CRM).where(F.col("date") <= F.lit(date))
     crm = read_silver(spark, lake, CRM, Period.day_of(date))
+    history = support_history(spark, lake, date)
     root = f"{lake.gold}/customer_support_kpis"
     write_csv(support.feedback_score(crm), root, "feedback_score", date, single_file=True)
     write_csv(support.interaction_volume(crm), root, "interaction_volume", date, single_file=True)
@@ -175,6 +189,8 @@ def purge_users(
     user_column: str,
 ) -> None:
     """Delete rows of forgotten users and rows past their retention from a silver table.
+    Only folders that are old or may hold a forgotten user are opened. The versions before
+    hold the rows until ``versions.remove_old`` removes them.
 
     ``forgotten`` holds the ids in a column named like ``user_column``.
     """
@@ -182,4 +198,23 @@ def purge_users(
     def retained(rows: DataFrame) -> DataFrame:
         return retain(rows, as_of, keep_days, forgotten, user_column)
 
-    remove_rows(spark, lake.silver(table), table, retained)
+    path = lake.silver(table)
+    if table.owner == user_column:
+        oldest = as_of - dt.timedelta(days=keep_days)
+        purge(spark, path, table, retained, oldest, forgotten)
+    else:
+        remove_rows(spark, path, table, retained)
+
+
+def merge_landed(
+    spark: SparkSession, lake: Lake, landed: DataFrame, table: SilverTable, arrival: str
+) -> None:
+    """Bring landed records into a silver table, the latest to arrive last.
+
+    Where a stream drops copies only within the bound of its watermark, this merge by key
+    catches the later ones: a copy replaces the stored row. Run again over the same batches,
+    it leaves the table as it is."""
+    rows = keep_newest(landed, table.keys, arrival).drop(arrival)
+    good = project(passing(keyed(rows, table), table.checks()), table)
+    upsert(spark, lake.silver(table), good, table)
+    versions.remove_old(spark, lake.silver(table), table.partitions)

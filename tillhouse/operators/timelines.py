@@ -32,6 +32,7 @@ def resolution_totals(
     owner: Sequence[str] = ("customer_id",),
     extra: dict[str, Column] | None = None,
     day: dt.date | None = None,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """Seconds between each Resolution and the owner's previous interaction, summed.
 
@@ -45,6 +46,9 @@ def resolution_totals(
 
     With ``day`` only that day's Resolutions and rows are counted (owners without rows on
     it are left out), while the previous interaction may be of any earlier day.
+
+    ``before`` holds the second of the last interaction that is already known of an owner,
+    as ``known_second``: it precedes the first of these rows, unless it is later.
     """
     extra = extra or {}
     owner = list(owner)
@@ -83,6 +87,10 @@ def resolution_totals(
     )
     previous_day_end = F.lag("last_second").over(Window.partitionBy(*owner).orderBy("day"))
     opening = F.col("opens_with_resolution") == 1
+    if before is not None:
+        days = days.join(before, owner, "left")
+        known = F.when(F.col("known_second") <= F.col("first_second"), F.col("known_second"))
+        previous_day_end = F.coalesce(previous_day_end, known)
     bridged = days.withColumn("night", F.col("first_second") - previous_day_end)
     if day is not None:
         bridged = bridged.where(F.col("day") == (day - dt.date(1970, 1, 1)).days)

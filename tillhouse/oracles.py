@@ -421,6 +421,30 @@ ORACLES["support_snapshot"] = f"{SNAPSHOT}, '2024-01-31 00:00:00' AS kpi_date"
 # All files present at the start form one micro-batch.
 ORACLES["stream_support_batches"] = SNAPSHOT
 
+ORACLES["stream_support_volumes"] = SNAPSHOT.split("volumes AS")[0].rstrip().rstrip(",") + """
+SELECT interaction_type || '-' || customer_id AS interaction_type, count(*) AS volume,
+  '2024-01-31 00:00:00' AS kpi_date
+FROM cleaned GROUP BY interaction_type, customer_id"""
+
+# Three arrivals; waits reach back into earlier ones. Times of the month are in order, so a
+# window over all of them sees what the batches know.
+ORACLES["stream_support_arrivals"] = SNAPSHOT.split("volumes AS")[0] + f"""
+batched AS (
+  SELECT *, CASE WHEN timestamp < TIMESTAMP '2024-01-11' THEN 1
+    WHEN timestamp < TIMESTAMP '2024-01-21' THEN 2 ELSE 3 END AS batch FROM timed),
+volumes AS (SELECT batch, interaction_type AS kind, count(*) AS n FROM batched GROUP BY 1, 2),
+texts AS (
+  SELECT batch, '{{' || string_agg('"' || kind || '":' || n, ',' ORDER BY kind) || '}}'
+    AS interaction_volume_by_type
+  FROM volumes GROUP BY batch),
+figures AS (
+  SELECT batch, coalesce(avg(rating), 0) AS score,
+    coalesce(avg(wait) FILTER (interaction_type = 'Resolution') / 60.0, 0) AS minutes
+  FROM batched GROUP BY batch)
+SELECT {number('score', 'feedback_score')}, interaction_volume_by_type,
+  {number('minutes', 'avg_time_to_resolution_minutes')}
+FROM figures JOIN texts USING (batch)"""
+
 # --- marketing ---------------------------------------------------------------------
 
 ORACLES["web_session_rates"] = f"""WITH {WTL},
@@ -661,6 +685,31 @@ ORACLES["stream_web_sessions"] = f"""WITH {BRONZE_WTL},{sessions('bronze_wtl')}
 WHERE last + 1800 <=
   (SELECT max(timestamp) FROM bronze_wtl WHERE user_id IS NOT NULL) - 600"""
 
+ORACLES["stream_volume_complete"] = ORACLES["stream_volume_windows"].split("FROM spans WHERE")[0] + "FROM spans"
+ORACLES["stream_sessions_complete"] = f"WITH {BRONZE_WTL},{sessions('bronze_wtl')}"
+ORACLES["stream_late_merge"] = ORACLES["merge_wtl"]
+ORACLES["stream_lanes"] = """
+SELECT CAST(user_id AS VARCHAR) AS partition_key,
+  CAST(CAST('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 7) AS BIGINT) % 16 AS INTEGER) AS lane,
+  count(*) AS records, min(event_id) AS first_event, max(event_id) AS last_event
+FROM events GROUP BY user_id"""
+ORACLES["stream_envelopes"] = f"""WITH {LIVE}
+SELECT event_id, outcome, outcome <> 'valid' AS kept_raw,
+  {', '.join(f"CASE WHEN outcome = 'valid' THEN {c} END AS {c}" for c in (
+    'customer_id', 'interaction_type', 'channel', 'rating', 'message_excerpt', 'timestamp'))}
+FROM live"""
+ORACLES["stream_landing_web"] = f"""WITH {BRONZE_WTL.replace('AS timestamp', 'AS timestamp, event_id')},
+judged AS (
+  SELECT *, CASE WHEN event_id % 23 = 5 THEN 'missing_field' WHEN event_id % 31 = 2 THEN 'bad_json'
+    ELSE 'accepted' END AS outcome FROM bronze_wtl)
+SELECT event_id, outcome,
+  {', '.join(f"CASE WHEN outcome <> 'bad_json' THEN CAST({c} AS VARCHAR) END AS {n}" for c, n in (
+    ('session_id', 'partition_key'), ('session_id', 'session_id'), ('user_id', 'user_id'),
+    ('device_type', 'device_type'), ('browser', 'browser'), ('event_type', 'event_type'),
+    ('timestamp', 'timestamp')))},
+  CASE WHEN outcome = 'accepted' THEN page END AS page
+FROM judged"""
+
 # --- quality and governance --------------------------------------------------------
 
 
@@ -696,3 +745,22 @@ FROM pos WHERE store_id IN (
 ORACLES["retention_purge"] = f"""WITH {CRM} SELECT {CRM_COLUMNS} FROM crm
 WHERE date >= DATE '2024-01-10'
   AND customer_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)"""
+
+ORACLES["retention_purge_stored"] = ORACLES["retention_purge"]
+
+ORACLES["silver_day_scan"] = f"""WITH {CRM} SELECT {CRM_COLUMNS} FROM crm
+WHERE date = DATE '2024-01-20'"""
+
+ORACLES["team_view_marketing"] = f"""WITH {WTL},
+salted AS (
+  SELECT * REPLACE (sha256('till-house-salt' || CAST(user_id AS VARCHAR)) AS hashed_user_id)
+  FROM wtl)
+SELECT session_id, hashed_user_id, page, device_type, browser, event_type,
+  {iso_time()}, {iso_date()}, is_anonymous
+FROM salted"""
+
+ORACLES["job_marketing_mart"] = (
+    ORACLES["mart_roundtrip_marketing"]
+    .replace("FROM events", "FROM (SELECT * FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-20') AS e")
+    .replace("'2024-01-31' AS date", "'2024-01-20' AS date")
+)

@@ -36,6 +36,15 @@ class Period:
             for name, value in wanted.items()
         )
 
+    @staticmethod
+    def may_begin_before(folder: str, date: dt.date) -> bool:
+        """Rows of a daily or hourly partition folder may be older than a date."""
+        told = dict(level.split("=", 1) for level in folder.split("/"))
+        try:
+            return dt.date(*[int(told[name]) for name in ("year", "month", "day")]) < date
+        except ValueError:  # rows without a time
+            return True
+
     def rows(self, df: DataFrame) -> DataFrame:
         condition = F.col("year") == self.year
         if self.month is not None:

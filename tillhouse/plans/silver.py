@@ -40,7 +40,7 @@ class SilverTable:
 
     ``key_fixes_partition`` is true where the partition columns are computed from the
     key, so that a changed row stays in its partition and an upsert need not look for
-    it elsewhere.
+    it elsewhere. ``owner`` is the person whose rows the table holds.
     """
 
     name: str
@@ -52,6 +52,7 @@ class SilverTable:
     checks: Callable[[], dict[str, Column]]
     columns: Callable[[], dict[str, Column]]
     key_fixes_partition: bool = False
+    owner: str | None = None
 
 
 def _discount() -> Column:
@@ -161,11 +162,11 @@ INVENTORY = SilverTable(
 )
 CRM = SilverTable(
     "customer_interaction", S.BRONZE_CRM, S.SILVER_CRM, ("customer_id", "timestamp"),
-    "timestamp", DAILY, _crm_checks, _crm_columns, key_fixes_partition=True,
+    "timestamp", DAILY, _crm_checks, _crm_columns, key_fixes_partition=True, owner="customer_id",
 )
 WTL = SilverTable(
     "wtl", S.BRONZE_WTL, S.SILVER_WTL, ("session_id", "timestamp"), "timestamp", HOURLY,
-    dict, _wtl_columns, key_fixes_partition=True,
+    dict, _wtl_columns, key_fixes_partition=True, owner="user_id",
 )
 TABLES = {t.name: t for t in (POS, INVENTORY, CRM, WTL)}
 

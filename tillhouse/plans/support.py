@@ -107,6 +107,59 @@ def _truthy(name: str) -> Column:
     return holds((text != "") & (F.coalesce(text.try_cast("double"), F.lit(1.0)) != 0))
 
 
+def support_records(live: DataFrame, stamp: str) -> DataFrame:
+    """Live records with a customer, typed; ``is_clean`` tells those that count."""
+    rating = number("rating", "double")
+    at = moment("timestamp")
+    return live.where(_truthy("customer_id")).select(
+        stamp,
+        F.col("customer_id").cast("string").alias("customer_id"),
+        F.col("interaction_type").cast("string").alias("interaction_type"),
+        rating.alias("rating"),
+        at.alias("timestamp"),
+        (at.isNotNull() & (rating.isNull() | rating.between(1, 5))).alias("is_clean"),
+    )
+
+
+def type_volumes(records: DataFrame, stamp: str) -> DataFrame:
+    """Interactions of each type in each batch, one row each, however many types there are."""
+    counted = records.where("is_clean AND interaction_type IS NOT NULL")
+    return counted.groupBy(stamp, "interaction_type").agg(F.count("*").alias("volume"))
+
+
+def volumes_as_json(volumes: DataFrame, stamp: str) -> DataFrame:
+    """View of the volumes as one JSON text per batch, for readers that want it."""
+    listed = F.collect_list(F.struct("interaction_type", "volume"))
+    return volumes.groupBy(stamp).agg(type_counts_json(listed).alias("interaction_volume_by_type"))
+
+
+def batch_figures(records: DataFrame, stamp: str, known: DataFrame) -> DataFrame:
+    """Score and time to resolution of each batch. The time counts from the customer's
+    previous interaction, in the batch or before it: ``known`` holds the second of the last
+    one before (``customer_id``, ``known_second`` and the batch)."""
+    clean = F.col("is_clean")
+    rated = records.groupBy(stamp).agg(
+        F.sum(F.when(clean, F.col("rating"))).alias("rating_sum"),
+        F.count(F.when(clean, F.col("rating"))).alias("rated"),
+    )
+    resolutions = resolution_totals(records.where(clean), (stamp, "customer_id"), before=known)
+    parts = rated.unionByName(
+        resolutions.groupBy(stamp).agg(
+            F.sum("resolved").alias("resolved"),
+            F.sum("resolution_seconds").alias("resolution_seconds"),
+        ),
+        allowMissingColumns=True,
+    )
+    sums = [F.sum(c).alias(c) for c in ("rating_sum", "rated", "resolved", "resolution_seconds")]
+    return parts.groupBy(stamp).agg(*sums).select(
+        stamp,
+        ratio(F.col("rating_sum"), F.col("rated")).alias("feedback_score"),
+        ratio(F.col("resolution_seconds"), F.col("resolved"), unit=60).alias(
+            "avg_time_to_resolution_minutes"
+        ),
+    )
+
+
 def support_snapshot(live: DataFrame, stamp: str = "kpi_date") -> DataFrame:
     """One row of support figures per batch of live interactions.
 
@@ -117,16 +170,7 @@ def support_snapshot(live: DataFrame, stamp: str = "kpi_date") -> DataFrame:
     zeros and ``{}``. The score is the mean of all ratings. Types are reported as sent.
     The JSON object has one entry per type, so its size is the number of types.
     """
-    rating = number("rating", "double")
-    at = moment("timestamp")
-    records = live.where(_truthy("customer_id")).select(
-        stamp,
-        F.col("customer_id").cast("string").alias("customer_id"),
-        F.col("interaction_type").cast("string").alias("interaction_type"),
-        rating.alias("rating"),
-        at.alias("timestamp"),
-        (at.isNotNull() & (rating.isNull() | rating.between(1, 5))).alias("is_clean"),
-    )
+    records = support_records(live, stamp)
     clean = F.col("is_clean")
     by_type = records.groupBy(stamp, "interaction_type").agg(
         F.count_if(clean).alias("volume"),

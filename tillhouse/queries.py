@@ -48,6 +48,8 @@ EVENTS_MONTH = Period(2024, 1)
 BATCH_STAMP = "2024-01-31 00:00:00"
 SALT = "till-house-salt"
 LATENESS = "10 minutes"
+LANES = 16
+ARRIVALS = ("2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01")
 
 
 def tabular(df: DataFrame) -> DataFrame:
@@ -257,6 +259,14 @@ def silver_partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, folder, S.SILVER_CRM, EVENTS_MONTH)
 
 
+@query
+def silver_day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver interactions stored by day, one day of them read from its folder alone."""
+    folder = working_folder(spark, "silver-crm-days")
+    upsert(spark, folder, crm(spark, sf_dir), silver.CRM)
+    return tables.read_table(spark, folder, S.SILVER_CRM, Period.day_of(SUPPORT_DATE))
+
+
 @query
 def merge_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Settled sales updated by open ones."""
@@ -343,6 +353,17 @@ def job_support_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_mart(spark, lake.mart(S.SUPPORT_MART), S.SUPPORT_MART)
 
 
+@query
+def job_marketing_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The marketing mart that the job of a day publishes, from silver tables filled by jobs."""
+    lake = jobs.Lake(working_folder(spark, "lake"))
+    events = table(spark, sf_dir, "events")
+    jobs.refresh_silver(spark, lake, feeds.crm_feed(events), silver.CRM, SUPPORT_DATE)
+    jobs.refresh_silver(spark, lake, feeds.wtl_feed(events), silver.WTL, SUPPORT_DATE)
+    jobs.refresh_marketing(spark, lake, SUPPORT_DATE)
+    return read_mart(spark, lake.mart(S.MARKETING_MART), S.MARKETING_MART)
+
+
 # --- gold --------------------------------------------------------------------------
 
 
@@ -523,13 +544,119 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live records screened and landed in folders of their arrival hour, refused ones
     apart, both read back. The hour is that of the run and not part of the result."""
     records = feeds.live_records(event_stream(spark, sf_dir), keep=["event_id"])
-    screened = live_landing.screen(records, envelopes.REQUIRED_CRM)
-    keyed = live_landing.with_partition_key(screened, "customer_id")
-    hourly = live_landing.with_arrival_hour(keyed)
-    good = caught_up(spark, hourly.where("accepted"), "stream-good")
-    bad = caught_up(spark, hourly.where("NOT accepted"), "stream-refused")
-    landed = [json_files.read_json_lines(spark, path, hourly.schema) for path in (good, bad)]
-    return landed[0].unionByName(landed[1]).drop(*live_landing.HOURLY)
+    read = landed_by_outcome(spark, records, envelopes.REQUIRED_CRM, "customer_id")
+    return read.withColumn("accepted", F.col("outcome") == "accepted").drop("outcome")
+
+
+def landed_by_outcome(spark: SparkSession, records: DataFrame, required, key: str) -> DataFrame:
+    """Live records landed in one pass by outcome and hour, read back without the hour."""
+    judged = live_landing.with_outcome(records, required)
+    hourly = live_landing.with_arrival_hour(live_landing.with_partition_key(judged, key))
+    path = caught_up(spark, hourly, "live", partitions=live_landing.OUTCOME_HOURLY)
+    return json_files.read_json_lines(spark, path, hourly.schema).drop(*live_landing.HOURLY)
+
+
+@query
+def stream_landing_web(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live web records landed by outcome and hour; their fields, read back."""
+    records = feeds.live_web_records(event_stream(spark, sf_dir), keep=["event_id"])
+    read = landed_by_outcome(spark, records, envelopes.REQUIRED_WTL, "session_id")
+    fields = F.when(F.col("outcome") != "bad_json", F.from_json("value", S.LIVE_WTL))
+    return read.select("event_id", "outcome", "partition_key", fields.alias("f")).select(
+        "event_id", "outcome", "partition_key", "f.*"
+    )
+
+
+@query
+def stream_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live records landed in lanes by customer: lane, number and order of the records of
+    each customer as a reader of the lane meets them."""
+    records = feeds.live_records(event_stream(spark, sf_dir), keep=["event_id"])
+    keyed = live_landing.with_lane(live_landing.with_partition_key(records, "customer_id"), LANES)
+    timed = live_landing.with_batch_time(keyed)
+    path = caught_up(spark, timed, "lanes", file_format="parquet", partitions=("lane",))
+    lanes = spark.read.schema(timed.schema).parquet(path)
+    met = F.struct("batch_time", "event_id")
+    return lanes.groupBy("lane", "partition_key").agg(
+        F.count("*").alias("records"), F.min(met)["event_id"].alias("first_event"),
+        F.max(met)["event_id"].alias("last_event"),
+    )
+
+
+@query
+def stream_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes landed by outcome and hour in one pass: fields of the valid ones, and the
+    refused ones as they came."""
+    folder = working_folder(spark, "envelopes")
+    sent = feeds.live_envelopes(event_stream(spark, sf_dir), keep=["event_id"])
+    live_support.start_envelope_landing(
+        sent, f"{folder}/landed", f"{folder}/checkpoint", trigger=live_landing.UNTIL_CAUGHT_UP
+    ).awaitTermination()
+    landed = spark.read.parquet(f"{folder}/landed")
+    return landed.select(
+        "event_id", "outcome", *S.LIVE_CRM.names, F.col("raw").isNotNull().alias("kept_raw")
+    )
+
+
+def arrivals(spark: SparkSession, sf_dir: str, folder: str):
+    """Thirds of the month of events, which arrive one after the other in a folder; the
+    stream of that folder after each."""
+    events = table(spark, sf_dir, "events")
+    for low, high in zip(ARRIVALS, ARRIVALS[1:], strict=False):
+        some = events.where((F.col("ts") >= low) & (F.col("ts") < high))
+        some.write.mode("append").parquet(f"{folder}/source")
+        yield live_landing.stream_files(spark, f"{folder}/source", events.schema, "parquet")
+
+
+@query
+def stream_support_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Support figures of three micro-batches. A Resolution may answer an interaction of an
+    earlier batch."""
+    folder = working_folder(spark, "support-arrivals")
+    store = live_support.BatchStore(spark, f"{folder}/store")
+    for stream in arrivals(spark, sf_dir, folder):
+        live_support.start_live_landing(
+            feeds.live_envelopes(stream), f"{folder}/landed", f"{folder}/checkpoint",
+            trigger=live_landing.UNTIL_CAUGHT_UP,
+        ).awaitTermination()
+        store.add(spark.read.parquet(f"{folder}/landed"))
+    shown = support.volumes_as_json(store.read("volumes"), "version")
+    return store.read("figures").join(shown, "version", "left").drop("version", "batch_time")
+
+
+@query
+def stream_support_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interactions of each customer taken as a type of its own, one row per batch and type:
+    many types need no large row."""
+    live = envelopes.valid_records(decoded(table(spark, sf_dir, "events")))
+    many = live.withColumns(
+        {"interaction_type": F.concat_ws("-", "interaction_type", "customer_id"),
+         "kpi_date": F.lit(BATCH_STAMP)}
+    )
+    return support.type_volumes(support.support_records(many, "kpi_date"), "kpi_date")
+
+
+@query
+def stream_late_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web traffic landed from a stream in two deliveries, the second of which repeats half
+    of the first on other devices, long after the watermark; merged by key after each."""
+    folder = working_folder(spark, "late-merge")
+    lake = jobs.Lake(folder)
+    events = table(spark, sf_dir, "events")
+    for again in (False, True):
+        source = events.withColumn("again", F.lit(again))
+        source = source.where(F.unix_seconds(F.col("ts").cast("timestamp")) % 2 == 0) if again else source
+        source.write.mode("append").parquet(f"{folder}/source")
+        stream = live_landing.stream_files(spark, f"{folder}/source", source.schema, "parquet")
+        hits = feeds.wtl_feed(stream, keep=["again"])
+        device = F.when(F.col("again"), "tv").otherwise(F.col("device_type"))
+        landed = live_landing.with_batch_time(hits.withColumn("device_type", device).drop("again"))
+        live_landing.run_until_caught_up(
+            landed, f"{folder}/landed", f"{folder}/checkpoint", file_format="parquet", partitions=()
+        )
+        records = spark.read.schema(landed.schema).parquet(f"{folder}/landed")
+        jobs.merge_landed(spark, lake, records, silver.WTL, "batch_time")
+    return jobs.read_silver(spark, lake, silver.WTL)
 
 
 @query
@@ -579,6 +706,34 @@ def stream_web_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query
+def stream_volume_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All windows: the closed ones of the stream, and those still open from the records."""
+    def interactions(events: DataFrame) -> DataFrame:
+        return _timed(feeds.crm_feed(events)).withColumn("interaction_type", F.upper("interaction_type"))
+
+    folder = working_folder(spark, "volume-complete")
+    windows = event_time.volume_windows(interactions(event_stream(spark, sf_dir)), lateness=LATENESS)
+    run = live_landing.run_until_caught_up(
+        windows, f"{folder}/data", f"{folder}/checkpoint", file_format="parquet", partitions=()
+    )
+    closed = spark.read.schema(windows.schema).parquet(f"{folder}/data")
+    records = interactions(table(spark, sf_dir, "events"))
+    return event_time.with_open_windows(closed, records, live_landing.final_watermark(run))
+
+
+@query
+def stream_sessions_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sessions: the closed ones of the stream, and those still open from the records."""
+    sessions = event_time.web_sessions(
+        _timed(feeds.wtl_feed(event_stream(spark, sf_dir))), lateness=LATENESS
+    )
+    path = caught_up(spark, sessions, "sessions-complete", file_format="parquet", partitions=())
+    closed = spark.read.schema(sessions.schema).parquet(path)
+    records = _timed(feeds.wtl_feed(table(spark, sf_dir, "events")))
+    return event_time.with_open_sessions(closed, records)
+
+
 @query
 def web_sessions_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions of each user, from the silver table."""
@@ -626,3 +781,24 @@ def retention_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(F.col("c_custkey").cast("bigint").alias("customer_id"))
     )
     return governance.retain(crm(spark, sf_dir), EVENTS_DATE, 21, closed)
+
+
+@query
+def retention_purge_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same deletion from the stored table, which opens only folders that are old or
+    hold one of the closed accounts."""
+    closed = (
+        table(spark, sf_dir, "customer")
+        .where(F.col("c_acctbal") < 0)
+        .select(F.col("c_custkey").cast("bigint").alias("customer_id"))
+    )
+    lake = jobs.Lake(working_folder(spark, "lake"))
+    upsert(spark, lake.silver(silver.CRM), crm(spark, sf_dir), silver.CRM)
+    jobs.purge_users(spark, lake, silver.CRM, EVENTS_DATE, 21, closed, "customer_id")
+    return jobs.read_silver(spark, lake, silver.CRM)
+
+
+@query
+def team_view_marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the marketing team sees of the web traffic: salted digests, no raw ids."""
+    return governance.team_view(wtl(spark, sf_dir), "marketing", "wtl", salt=SALT)

@@ -6,6 +6,7 @@ Changes are published as versions (``versions``); rows are found by key in an in
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from tillhouse.operators.merging import merge_frames
 from tillhouse.operators.screening import with_complete_key
 from tillhouse.operators.survivors import keep_newest
+from tillhouse.plans.periods import Period
 from tillhouse.plans.silver import SilverTable
 from tillhouse.session import working_folder
 from tillhouse.sinks import folders, key_index, versions
@@ -74,6 +76,12 @@ def _same_columns(found: T.StructType, expected: T.StructType) -> bool:
     return [(f.name, f.dataType) for f in found] == [(f.name, f.dataType) for f in expected]
 
 
+def _indexes(table: SilverTable) -> dict[str, tuple[str, ...]]:
+    """The indexes a table keeps: of its keys if a row may move, and of its owners."""
+    kept = {} if table.key_fixes_partition else {key_index.KEYS: table.keys}
+    return kept | ({key_index.OWNERS: (table.owner,)} if table.owner else {})
+
+
 def upsert(spark: SparkSession, path: str, updates: DataFrame, table: SilverTable) -> None:
     """Create the table, or update matched and add unmatched rows.
 
@@ -84,9 +92,9 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, table: SilverTabl
     """
     if not _same_columns(updates.schema, table.schema):
         raise ValueError(f"updates for {table.name} have columns {updates.schema.simpleString()}")
-    indexed = not table.key_fixes_partition
-    if indexed:
-        key_index.catch_up(spark, path, table.schema, table.keys)
+    indexes = _indexes(table)
+    for kind, columns in indexes.items():
+        key_index.catch_up(spark, path, table.schema, columns, kind)
     staged = working_folder(spark, f"updates-{table.name}")
     keyed = keep_newest(
         with_complete_key(updates, table.keys), table.keys, table.time_column
@@ -95,27 +103,32 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, table: SilverTabl
     changes = spark.read.schema(table.schema).parquet(staged)
     touched = _listed(changes, table.partitions)
     if touched:
-        if indexed:
+        if key_index.KEYS in indexes:
             found = key_index.whereabouts(spark, path, changes, table.schema, table.keys)
             touched |= {row.folder for row in found.select("folder").distinct().collect()}
         affected = versions.read(spark, path, table.schema, only=touched)
         merged = merge_frames(affected, changes, table.keys).select(*table.schema.names)
         number = replace_partitions(spark, path, merged, table.partitions, touched)
-        if indexed:
-            placed = changes.withColumn("folder", _folder(table.partitions))
-            key_index.append(spark, path, placed, table.schema, table.keys, number)
+        placed = changes.withColumn("folder", _folder(table.partitions))
+        for kind, columns in indexes.items():
+            key_index.append(spark, path, placed, table.schema, columns, number, kind)
     folders.remove(spark, staged)
 
 
 def remove_rows(
-    spark: SparkSession, path: str, table: SilverTable, retained: Callable[[DataFrame], DataFrame]
-) -> None:
-    """Keep of a stored table what ``retained`` keeps; rewrite only partitions that lose rows.
+    spark: SparkSession,
+    path: str,
+    table: SilverTable,
+    retained: Callable[[DataFrame], DataFrame],
+    within: set[str] | None = None,
+) -> set[str]:
+    """Keep of a stored table what ``retained`` keeps; rewrite only partitions that lose rows,
+    which are returned.
 
     ``retained`` may only drop rows. The number of rows per partition before and after
-    tells which partitions change.
+    tells which partitions change; with ``within`` only those folders are opened.
     """
-    existing = versions.read(spark, path, table.schema)
+    existing = versions.read(spark, path, table.schema, only=within)
 
     def sizes(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy(_folder(table.partitions).alias("folder")).agg(F.count("*").alias(name))
@@ -128,4 +141,25 @@ def remove_rows(
     if touched:
         affected = versions.read(spark, path, table.schema, only=touched)
         content = retained(affected).select(*table.schema.names)
-        replace_partitions(spark, path, content, table.partitions, touched)
+        number = replace_partitions(spark, path, content, table.partitions, touched)
+        # Nothing was added, so the indexes need no entries of this version.
+        for kind in _indexes(table):
+            key_index.mark(spark, path, number, kind)
+    return touched
+
+
+def purge(
+    spark: SparkSession,
+    path: str,
+    table: SilverTable,
+    retained: Callable[[DataFrame], DataFrame],
+    oldest: dt.date,
+    forgotten: DataFrame,
+) -> set[str]:
+    """``remove_rows`` that opens only folders of days before ``oldest``, told by their names,
+    and folders that the index of owners gives for the ``forgotten``."""
+    key_index.catch_up(spark, path, table.schema, (table.owner,), key_index.OWNERS)
+    held = versions.current(spark, path)
+    opened = {folder for folder in held if Period.may_begin_before(folder, oldest)}
+    opened |= key_index.folders_of(spark, path, forgotten, table.schema, table.owner) & set(held)
+    return remove_rows(spark, path, table, retained, opened) if opened else set()

@@ -147,6 +147,24 @@ def live_records(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return events.select(F.explode_outer(F.array(text)).alias("value"), *keep)
 
 
+def live_web_records(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Web traffic as JSON text in ``value``; some records name no page, some break off."""
+    carried = list(dict.fromkeys([*keep, "event_id"]))
+    hits = wtl_feed(events, carried)
+    fields = [c for c in hits.columns if c not in carried]
+
+    def written(names: Sequence[str]) -> Column:
+        return F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+
+    whole = written(fields)
+    text = (
+        F.when(_every("event_id", 23, 5), written([c for c in fields if c != "page"]))
+        .when(_every("event_id", 31, 2), F.expr("left(to_json(struct(session_id, page)), 12)"))
+        .otherwise(whole)
+    )
+    return hits.select(F.explode_outer(F.array(text)).alias("value"), *keep)
+
+
 NOT_UTF8 = "//79"  # base64 of the bytes FF FE FD
 
 

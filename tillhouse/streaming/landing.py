@@ -45,6 +45,30 @@ def screen(stream: DataFrame, required: Sequence[str], column: str = "value") ->
     return stream.withColumn("accepted", F.coalesce(carries(F.col(column), required), F.lit(False)))
 
 
+OUTCOME_HOURLY = ("outcome", *HOURLY)
+
+
+def with_outcome(stream: DataFrame, required: Sequence[str], column: str = "value") -> DataFrame:
+    """Say what becomes of each record: ``accepted``, ``bad_json`` or ``missing_field``.
+    As the first partition column it lands accepted and refused records, these by kind of
+    error and hour, in one pass."""
+    complete = carries(F.col(column), required)
+    outcome = (
+        F.when(complete.isNull(), "bad_json").when(~complete, "missing_field").otherwise("accepted")
+    )
+    return stream.withColumn("outcome", outcome)
+
+
+def with_lane(stream: DataFrame, lanes: int, key: str = "partition_key") -> DataFrame:
+    """Number of the ordered lane that all records of one key go to, as a partition column.
+
+    A lane is read in the order of arrival: batches one after the other, and within a batch
+    by the position of the record, which the reader sorts by. Records without a key share
+    lane 0. The lane is the digest of the key, so it does not change with the cluster."""
+    digest = F.conv(F.substring(F.md5(F.col(key).cast("binary")), 1, 7), 16, 10).cast("bigint")
+    return stream.withColumn("lane", F.coalesce(digest % lanes, F.lit(0)).cast("int"))
+
+
 def with_arrival_hour(stream: DataFrame, arrival: Column | None = None) -> DataFrame:
     """Partition columns of the arrival time, by default the start of the batch."""
     at = F.current_timestamp() if arrival is None else arrival
@@ -85,6 +109,16 @@ def start_landing(
     return writer.start()
 
 
-def run_until_caught_up(stream: DataFrame, path: str, checkpoint: str, **options) -> None:
+def run_until_caught_up(
+    stream: DataFrame, path: str, checkpoint: str, **options
+) -> StreamingQuery:
     """Process what is there, in as many batches as the source asks for, and stop."""
-    start_landing(stream, path, checkpoint, trigger=UNTIL_CAUGHT_UP, **options).awaitTermination()
+    query = start_landing(stream, path, checkpoint, trigger=UNTIL_CAUGHT_UP, **options)
+    query.awaitTermination()
+    return query
+
+
+def final_watermark(query: StreamingQuery) -> str | None:
+    """Watermark of a stopped query, as ISO text in UTC; none if no event had a time."""
+    seen = [p["eventTime"].get("watermark") for p in query.recentProgress if p.get("eventTime")]
+    return seen[-1] if seen else None
