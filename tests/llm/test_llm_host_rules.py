@@ -56,6 +56,18 @@ def test_bad_host_goes_and_small_host_is_shrunk(spark):
     assert not kept[501] and kept[502]
 
 
+def test_bound_follows_the_spread_of_hosts(spark):
+    good = " ".join(f"word{i}" for i in range(80))
+    junk = good + " ### *** &&& $$$"
+    rows = [(i, junk if i % 50 == 0 else good, f"h{i % 20}") for i in range(4000)]
+    rows += [(5000 + i, junk if i % 3 == 0 else good, "bad") for i in range(200)]
+    rows += [(6000 + i, junk if i < 1 else good, "few") for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    kept = {r.doc_id: r.kept for r in host_rules.judged(docs).collect()}
+    assert not any(kept[5000 + i] for i in range(200))
+    assert all(kept[i] for i in range(4000)) and kept[6000] and kept[6001]
+
+
 def test_prior_is_between_the_extremes():
     mean, strength = host_rules.prior(3, 300, 30_000.0, 90, 90.0**2 / 100)
     assert abs(mean - 0.3) < 1e-9 and strength >= 1

@@ -1,5 +1,6 @@
 """Language, quality and secrets: held-out accuracy and brute force."""
 
+import math
 import re
 import sys
 import zlib
@@ -50,6 +51,28 @@ def test_language_of_held_out_documents(spark, docs):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_decoding_weighs_the_loss_of_each_bit():
+    rng = np.random.default_rng(3)
+    counts = rng.poisson(0.02, (60, language.FEATURES)).astype(np.float32)
+    names = [("a", "b", "c", "d")[i % 4] for i in range(60)]
+    for i, name in enumerate(names):  # c and d can hardly be told apart
+        counts[i, {"a": 0, "b": 40, "c": 80, "d": 80}[name]:][:30] += rng.poisson(3, 30)
+    code = language.learned(counts, names)
+    trust = code.trust
+    assert np.allclose(trust.mean(axis=1), 1)
+    parts = code.words[2] != code.words[3]
+    assert trust[2][parts].min() < trust[2][~parts].min()
+    for text in counts[:8]:
+        margins = (np.sqrt(text / text.sum()) @ code.weights + code.biases).tolist()
+        costs = [
+            sum(t * math.log1p(math.exp(-m * w)) for t, m, w in zip(trust[k], margins, word, strict=True))
+            for k, word in enumerate(code.words)
+        ]
+        found = code.probabilities(text[None, :])[0]
+        odds = [math.exp(-c) for c in costs]
+        assert np.allclose(found, np.array(odds) / sum(odds), atol=1e-4)
+
+
 def test_language_of_awkward_rows(spark):
     rows = [(i, t, lang, "s", 1) for i, (t, lang) in enumerate(
         [("the cat and the dog", "en"), ("der hund und die katze", "de")] * 20)]

@@ -2,12 +2,16 @@
 
 Rules are checked on every document, their failures are counted by host, and each host's
 failure rates are shrunk towards the rates of all hosts by a beta prior that is fitted to
-the hosts themselves. A host whose shrunk rate of some rule is too high is rejected, and
-the verdict goes back to its documents. Only built-in functions are used.
+the hosts themselves. A host whose shrunk rate of some rule lies far out in the prior is
+rejected, and the verdict goes back to its documents. Only built-in functions are used.
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +28,10 @@ MOST_REPEATED_PERCENT = 50
 MOST_SYMBOLS_PER_WORD = 0.1
 MOST_DUPLICATE_LINES = 0.3
 WORD_LENGTHS = (2.0, 15.0)
-#: A host is rejected if the shrunk share of documents that fail some rule is higher.
-MOST_FAILING = 0.5
+#: A host is rejected if the shrunk share of its documents that fail some rule is more than
+#: so many standard deviations of the rule's prior above the prior's mean, and this at least.
+DEVIATIONS = 3.0
+LEAST_FAILING = 0.2
 #: A host's row in the join is repeated so often; its documents are dealt among them.
 SALTS = 16
 
@@ -112,16 +118,22 @@ def host_rates(figures: DataFrame) -> DataFrame:
         *[F.sum(rule).alias(f"sum_{rule}") for rule in RULES],
         *[F.sum(F.col(rule).cast("double") * F.col(rule) / n).alias(f"sq_{rule}") for rule in RULES],
     ).first()
-    rates = []
+    rates, beyond = [], []
     for rule in RULES:
         mean, strength = prior(
             sums["hosts"], sums["all"] or 0, sums["squares"] or 0.0,
             sums[f"sum_{rule}"] or 0, sums[f"sq_{rule}"] or 0.0,
         )
         rates.append(((F.col(rule) + mean * strength) / (n + strength)).alias(f"rate_{rule}"))
+        beyond.append(F.col(f"rate_{rule}") > bound(mean, strength))
     shrunk = hosts.select("host", "documents", *rates)
-    worst = F.greatest(*[F.col(f"rate_{rule}") for rule in RULES])
-    return shrunk.withColumn("rejected", worst > MOST_FAILING)
+    return shrunk.withColumn("rejected", reduce(or_, beyond))
+
+
+def bound(mean: float, strength: float) -> float:
+    """Shrunk rate of a rule above which a host is rejected."""
+    spread = math.sqrt(mean * (1 - mean) / (strength + 1))
+    return max(LEAST_FAILING, mean + DEVIATIONS * spread)
 
 
 def prior(hosts: int, total: int, squares: float, failed: int, scatter: float):

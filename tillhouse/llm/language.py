@@ -2,7 +2,8 @@
 
 Every language gets a codeword; binary classifiers on character n-grams predict its bits,
 and a text belongs to the language whose codeword costs the least logistic loss over all
-bits. A text for which two codewords cost nearly the same is flagged as ambiguous.
+bits, each weighted by how well its classifier does on texts of that language that it was
+not fitted to. A text for which two codewords cost nearly the same is flagged as ambiguous.
 """
 
 from __future__ import annotations
@@ -76,18 +77,22 @@ def scaled(counts: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Code:
-    """Languages, their codewords of -1 and 1, and one linear classifier per bit."""
+    """Languages, their codewords of -1 and 1, one linear classifier per bit, and how far
+    each bit is trusted for each language (1 on average over the bits of a language)."""
 
     languages: list[str]
     words: np.ndarray
     weights: np.ndarray
     biases: np.ndarray
+    trust: np.ndarray
+
+    def margins(self, counts: np.ndarray) -> np.ndarray:
+        return scaled(counts) @ self.weights + self.biases
 
     def losses(self, counts: np.ndarray) -> np.ndarray:
-        """Cost of each language: the mean of the bits' logistic losses, unweighted."""
-        margins = scaled(counts) @ self.weights + self.biases
-        cost = np.logaddexp(0.0, -margins[:, None, :] * self.words[None, :, :])
-        return cost.mean(axis=2)
+        """Cost of each language: the mean of the bits' logistic losses, weighted by trust."""
+        cost = np.logaddexp(0.0, -self.margins(counts)[:, None, :] * self.words[None, :, :])
+        return (cost * self.trust[None, :, :]).mean(axis=2)
 
     def probabilities(self, counts: np.ndarray) -> np.ndarray:
         cost = -self.losses(counts) * max(1, self.words.shape[1])
@@ -118,9 +123,27 @@ def codewords(number: int, seed: int = 5) -> np.ndarray:
     return best
 
 
+def learned(counts: np.ndarray, names: list[str], rounds: int = 150) -> Code:
+    """Classifiers fitted to all texts, their bits weighted by what classifiers fitted to
+    the rest get right on every fifth text."""
+    code = fitted(counts, names, rounds)
+    apart = np.arange(len(names)) % 5 == 4
+    rest = [name for name, out in zip(names, apart, strict=True) if not out]
+    if len(code.languages) > 1 and sorted(set(rest)) == code.languages:
+        judge = fitted(counts[~apart], rest, rounds // 3)
+        number = np.array([code.languages.index(name) for name in names], np.int64)[apart]
+        right = judge.margins(counts[apart]) * code.words[number] > 0
+        for row in range(len(code.languages)):
+            of_row = right[number == row]
+            # One text right and one wrong are added, so that few texts say little.
+            code.trust[row] = (of_row.sum(axis=0) + 1) / (len(of_row) + 2)
+        code.trust /= code.trust.mean(axis=1, keepdims=True)
+    return code
+
+
 def fitted(counts: np.ndarray, names: list[str], rounds: int = 150) -> Code:
     """Classifiers of all bits by gradient descent on the logistic loss; each language
-    weighs the same."""
+    weighs the same, and all bits are trusted alike."""
     languages = sorted(set(names))
     words = codewords(len(languages))
     shares = scaled(counts)
@@ -145,7 +168,7 @@ def fitted(counts: np.ndarray, names: list[str], rounds: int = 150) -> Code:
         biases -= 2.0 * slope.sum(axis=0)
     if len(languages) == 1:
         biases[:] = 5.0
-    return Code(languages, words, weights, biases - (center @ weights)[0])
+    return Code(languages, words, weights, biases - (center @ weights)[0], np.ones(words.shape))
 
 
 def remainder(doc_id: str, of: int) -> Column:
@@ -196,7 +219,7 @@ def train(labelled: DataFrame, most: int = SAMPLE_PER_LANGUAGE) -> Code:
     counts = np.zeros((len(rows), FEATURES), np.float32)
     for number, row in enumerate(rows):
         counts[number, np.frombuffer(row["cells"], "<u4")] = np.frombuffer(row["times"], np.float32)
-    return fitted(counts, [r["lang"] for r in rows])
+    return learned(counts, [r["lang"] for r in rows])
 
 
 def identify(docs: DataFrame, code: Code, margin: float = MARGIN) -> DataFrame:
@@ -210,7 +233,7 @@ def identify(docs: DataFrame, code: Code, margin: float = MARGIN) -> DataFrame:
     sent = shared(docs.sparkSession, code)
     # Numbered, since a name may clash with those of this function or hold a dot.
     places = {f"c{i}": F.col(f"`{name}`") for i, name in enumerate(docs.columns)}
-    text = f"c{docs.columns.index('text')}"
+    numbered, text = list(places), f"c{docs.columns.index('text')}"
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learned = opened(sent)
@@ -228,9 +251,9 @@ def identify(docs: DataFrame, code: Code, margin: float = MARGIN) -> DataFrame:
                     if len(learned.languages) > 1:
                         near = able & (ordered[:, -1] - ordered[:, -2] < margin)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.select(list(places)).columns, pa.array(names, pa.string()),
+                    [*part.select(numbered).columns, pa.array(names, pa.string()),
                      pa.array(score), pa.array(near)],
-                    names=[*places, "lang_pred", "score", "ambiguous"],
+                    names=[*numbered, "lang_pred", "score", "ambiguous"],
                 )
 
     kept = docs.select(*[column.alias(name) for name, column in places.items()])

@@ -7,9 +7,10 @@ exact round trips and held-out accuracy in tests/llm.
 from __future__ import annotations
 
 from tillhouse.llm.host_rules import (
+    DEVIATIONS,
+    LEAST_FAILING,
     LEAST_WORDS,
     MOST_DUPLICATE_LINES,
-    MOST_FAILING,
     MOST_REPEATED_PERCENT,
     MOST_SYMBOLS_PER_WORD,
     WORD_LENGTHS,
@@ -101,8 +102,9 @@ hosts AS (
   FROM flags GROUP BY host),
 priors AS (SELECT {", ".join(map(_prior, RULES))} FROM hosts),
 verdicts AS (
-  SELECT host, greatest({", ".join(f"({r} + m_{r} * s_{r}) / (n + s_{r})" for r in RULES)})
-    > {MOST_FAILING} AS rejected
+  SELECT host, {" OR ".join(
+    f"({r} + m_{r} * s_{r}) / (n + s_{r}) > greatest({LEAST_FAILING}, "
+    f"m_{r} + {DEVIATIONS} * sqrt(m_{r} * (1 - m_{r}) / (s_{r} + 1)))" for r in RULES)} AS rejected
   FROM hosts, priors)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   short OR repeated AS base_failed, NOT (short OR repeated) AND NOT rejected AS kept
