@@ -9,6 +9,7 @@ from conftest import epoch
 from tillhouse import jobs
 from tillhouse import schemas as S
 from tillhouse.plans.silver import CRM, INVENTORY, POS, WTL
+from tillhouse.sinks import tables as sink
 from tillhouse.sinks.reports import read_mart
 
 DATE = dt.date(2024, 5, 8)
@@ -123,3 +124,30 @@ def test_purge_rewrites_only_partitions_that_lose_rows(spark, tmp_path):
         left = jobs.read_silver(spark, lake, CRM).collect()
         assert sorted((r.customer_id, r.day) for r in left) == [(2, 8), (3, 10)]
     assert untouched.stat().st_mtime_ns == stamp
+
+
+def test_purge_opens_only_folders_of_forgotten_users_and_old_ones(spark, tmp_path, monkeypatch):
+    lake = jobs.Lake(str(tmp_path))
+    contacts = [
+        (customer, "Feedback", None, 4, "m", NOON + 86_400 * days)
+        for customer, days in ((1, 0), (2, 1), (3, 2), (2, 3), (4, -90))
+    ]
+    jobs.refresh_silver(spark, lake, spark.createDataFrame(contacts, S.BRONZE_CRM), CRM, DATE)
+    opened = []
+    remove = sink.remove_rows
+    monkeypatch.setattr(sink, "remove_rows", lambda *a: opened.append(a[4]) or remove(*a))
+    forgotten = spark.createDataFrame([(1,), (99,)], "customer_id bigint")
+    jobs.purge_users(spark, lake, CRM, DATE, 30, forgotten, "customer_id")
+    assert opened == [{"year=2024/month=5/day=8", "year=2024/month=2/day=8"}]
+    left = jobs.read_silver(spark, lake, CRM).collect()
+    assert sorted((r.customer_id, r.day) for r in left) == [(2, 9), (2, 11), (3, 10)]
+
+
+def test_support_history_opens_only_folders_of_resolved_customers(spark, tmp_path):
+    lake = jobs.Lake(str(tmp_path))
+    contacts = [(1, "Complaint", None, 4, "m", NOON), (2, "Complaint", None, 4, "m", NOON + 86_400),
+                (1, "Resolution", None, None, "m", NOON + 3 * 86_400)]
+    jobs.refresh_silver(spark, lake, spark.createDataFrame(contacts, S.BRONZE_CRM), CRM, DATE)
+    history = jobs.support_history(spark, lake, DATE + dt.timedelta(days=3))
+    assert {f.split("day=")[1].split("/")[0] for f in history.inputFiles()} == {"8", "11"}
+    assert history.count() == 2

@@ -15,7 +15,7 @@ SF_DIR = "/root/testdata/sf0.001"
 LAZY = sorted(
     name
     for name in Q.REGISTRY
-    if not re.search(r"stream|scan|landing|roundtrip|csv|moved|merge_crm|latest|audit", name)
+    if not re.search(r"stream|scan|landing|roundtrip|csv|moved|merge_crm|merge_wtl|latest|audit|stored|job_", name)
 )
 
 
@@ -63,6 +63,12 @@ def test_day_filter_reaches_the_scan(spark, folder):
     assert "GreaterThanOrEqual(last_updated,2024-05-08" in plan
 
 
+def test_a_stored_day_is_read_from_its_folder(spark):
+    result = Q.REGISTRY["silver_day_scan"](spark, "/root/testdata/sf0.01")
+    assert "PartitionFilters: [isnotnull(year" in physical(result)
+    assert result.inputFiles() and all("month=1/day=20/" in f for f in result.inputFiles())
+
+
 def test_a_plan_does_not_depend_on_what_ran_before(spark):
     def shape():
         plan = physical(Q.REGISTRY["sales_mart"](spark, SF_DIR))

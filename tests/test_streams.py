@@ -9,8 +9,11 @@ import pytest
 from conftest import epoch
 from pyspark.sql import functions as F
 
+from tillhouse import jobs
 from tillhouse import schemas as S
 from tillhouse.operators.timelines import gap_sessions
+from tillhouse.plans import support as plans_support
+from tillhouse.plans.silver import WTL
 from tillhouse.sources import envelopes, json_files
 from tillhouse.streaming import event_time, landing, support
 
@@ -184,3 +187,95 @@ def test_stream_sessions_equal_batch_sessions(spark, folder):
     closed = gap_sessions(timed(raw)).where("user_id = 1")
     assert found.exceptAll(closed).count() == closed.exceptAll(found).count() == 0
     assert closed.count() == 3
+
+
+def contact(kind, second, customer=1, **more):
+    return (envelope({**GOOD, "interaction_type": kind, "timestamp": second, "customer_id": customer, **more}),)
+
+
+def store_of(spark, folder, batches):
+    stream = feed(spark, f"{folder}/in", batches, S.struct_of(data=S.TEXT))
+    support.start_live_landing(
+        stream, f"{folder}/landed", f"{folder}/c", trigger=landing.UNTIL_CAUGHT_UP
+    ).awaitTermination()
+    return support.BatchStore(spark, f"{folder}/store"), spark.read.parquet(f"{folder}/landed")
+
+
+ARRIVING = [
+    [contact("Complaint", START), contact("Complaint", START, customer=2)],
+    [contact("Feedback", START + 60)],
+    [contact("Resolution", START + 600), contact("Resolution", START + 7200, customer=2)],
+    [contact("Resolution", START + 30, customer=3), contact("Resolution", START - 60)],
+]
+
+
+@pytest.mark.parametrize("most_deltas", [60, 2])
+def test_resolution_in_a_later_batch(spark, folder, monkeypatch, most_deltas):
+    monkeypatch.setattr(support, "MOST_DELTAS", most_deltas)
+    store, landed = store_of(spark, folder, ARRIVING)
+    for _ in range(2):
+        store.add(landed)
+    figures = store.read("figures").orderBy("version").collect()
+    # Nine and 120 minutes; the last batch knows nothing earlier of either customer.
+    assert [r.avg_time_to_resolution_minutes for r in figures] == [0.0, 0.0, 64.5, 0.0]
+    assert store.read("volumes").where("interaction_type = 'Resolution'").count() == 2
+    assert len(store.done()) == 4
+
+
+def test_interrupted_batch_is_computed_again(spark, folder, monkeypatch):
+    store, landed = store_of(spark, folder, ARRIVING)
+
+    def dies(*arguments):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as crash:
+        crash.setattr(support, "batch_figures", dies)
+        with pytest.raises(KeyboardInterrupt):
+            store.add(landed)
+    assert store.done() == []
+    store.add(landed)
+    figures = store.read("figures").orderBy("version").collect()
+    assert [r.avg_time_to_resolution_minutes for r in figures] == [0.0, 0.0, 64.5, 0.0]
+
+
+def test_many_types_of_one_batch_are_rows(spark):
+    many = spark.range(100_000).selectExpr(
+        "'b' AS kpi_date", "'1' AS customer_id", "concat('type-', id) AS interaction_type",
+        "'5' AS rating", f"'{START}' AS timestamp",
+    )
+    volumes = plans_support.type_volumes(plans_support.support_records(many, "kpi_date"), "kpi_date")
+    assert volumes.count() == 100_000 and volumes.agg(F.sum("volume")).first()[0] == 100_000
+
+
+def test_refused_envelopes_are_stored_by_kind_and_hour(spark, folder):
+    sent = [[contact("Complaint", START), ("",), ("@@",)], [(envelope({"customer_id": 1}),), ("//79",)]]
+    stream = feed(spark, f"{folder}/in", sent, S.struct_of(data=S.TEXT))
+    support.start_envelope_landing(
+        stream, f"{folder}/out", f"{folder}/c", trigger=landing.UNTIL_CAUGHT_UP
+    ).awaitTermination()
+    landed = spark.read.parquet(f"{folder}/out").collect()
+    assert sorted((r.outcome, r.raw) for r in landed if r.raw is not None) == sorted(
+        [("empty", ""), ("bad_base64", "@@"), ("bad_utf8", "//79"), ("missing_field", envelope({"customer_id": 1}))]
+    )
+    assert len(landed) == 5
+    assert all(p.name.startswith("outcome=") for p in Path(f"{folder}/out").iterdir() if p.name[0] not in "._")
+
+
+def test_keys_keep_to_one_lane(spark):
+    keys = spark.range(2000).selectExpr("CAST(id % 50 AS STRING) AS partition_key", "id")
+    lanes = landing.with_lane(keys.unionByName(keys.selectExpr("CAST(NULL AS STRING) AS partition_key", "id")), 8)
+    by_key = lanes.groupBy("partition_key").agg(F.count_distinct("lane").alias("lanes"), F.min("lane").alias("lane"))
+    found = {r.partition_key: (r.lanes, r.lane) for r in by_key.collect()}
+    assert {n for n, _ in found.values()} == {1} and found[None] == (1, 0)
+    assert len({lane for _, lane in found.values()}) == 8
+
+
+def test_late_copy_leaves_one_row_and_merging_again_changes_nothing(spark, folder):
+    lake = jobs.Lake(folder)
+    schema = S.T.StructType([*S.BRONZE_WTL.fields, S.T.StructField("batch_time", S.LONG)])
+    hits = [("s", 1, "/a", None, None, "click", START, 1), ("t", 2, "/b", None, None, "click", START + 9, 1)]
+    late = ("s", 1, "/late", None, None, "click", START, 2)
+    for rows in (hits, [*hits, late], [*hits, late]):
+        jobs.merge_landed(spark, lake, spark.createDataFrame(rows, schema), WTL, "batch_time")
+    kept = jobs.read_silver(spark, lake, WTL).collect()
+    assert sorted((r.session_id, r.page) for r in kept) == [("s", "/late"), ("t", "/b")]
