@@ -22,6 +22,12 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
 
+def mark_complete(spark: SparkSession, path: str) -> None:
+    """Leave the mark of a finished job in a folder, which is made if it is not there."""
+    file_system, _ = _locate(spark, path)
+    file_system.create(spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"), True).close()
+
+
 def partition_folders(spark: SparkSession, path: str, partitions: Sequence[str]) -> set[str]:
     """Partition folders below a table root, relative to it (``year=2024/month=5``)."""
     file_system, root = _locate(spark, path)

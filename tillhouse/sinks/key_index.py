@@ -53,19 +53,16 @@ def append(
     version is indexed. Done again, it adds equal entries, which tell the same."""
     name = table_of(spark, path, schema, keys, kind)
     buckets = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Num Buckets'").first()
-    (
-        entries.select(*keys, "folder", F.lit(version).cast("bigint").alias("version"))
-        .na.drop(subset=list(keys))
-        .distinct()
-        .repartition(int(buckets["data_type"]), *keys)
-        .write.insertInto(name, overwrite=anew)
-    )
+    rows = entries.select(*keys, "folder", F.lit(version).cast("bigint").alias("version"))
+    if kind == OWNERS:  # a key has one row, an owner many
+        rows = rows.na.drop(subset=list(keys)).distinct()
+    rows.repartition(int(buckets["data_type"]), *keys).write.insertInto(name, overwrite=anew)
     mark(spark, path, version, kind)
 
 
 def mark(spark: SparkSession, path: str, version: int, kind: str = KEYS) -> None:
     """Note that an index holds what it has to hold of a version."""
-    spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{path}/index/{kind}/done/version={version}")
+    folders.mark_complete(spark, f"{path}/index/{kind}/done/version={version}")
 
 
 def is_indexed(spark: SparkSession, path: str, version: int, kind: str = KEYS) -> bool:
