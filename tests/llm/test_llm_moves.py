@@ -1,6 +1,7 @@
 """Tool calls, shards, path templates and the pipeline."""
 
 import json
+import math
 import sys
 import zlib
 from collections import Counter, defaultdict
@@ -230,6 +231,121 @@ def test_pages_of_awkward_rows_and_query(spark):
     assert rows.count() == spark.read.parquet("/root/testdata/sf0.001/pages.parquet").count()
 
 
+def grown(counted, found):
+    """Shares of all (host, shape) by loops, with the templates ``found`` by the engine checked
+    level by level against tests of siblings."""
+    rows = {key: list(key[1]) for key in counted}
+    depth = max(len(shape) for _, shape in counted)
+
+    def total(keys):
+        return [sum(counted[k][i] for k in keys) for i in range(3)]
+
+    def angle(bad, of):
+        return 2 * math.asin(math.sqrt(bad / of))
+
+    for level in range(depth):
+        parents = defaultdict(lambda: defaultdict(list))
+        for key, template in rows.items():
+            if level < len(template):
+                parents[key[0], tuple(template[:level])][template[level]].append(key)
+        for children in parents.values():
+            sums = {segment: total(keys) for segment, keys in children.items()}
+            pages = sum(s[0] for s in sums.values())
+            names = {}
+            if len(sums) >= url_templates.MANY_VALUES and (
+                pages <= url_templates.PAGES_PER_VALUE * len(sums)
+            ):
+                names = dict.fromkeys(sums, "*")
+            else:
+                group = {segment: "*" for segment, s in sums.items() if s[1]}
+                for _ in range(url_templates.TESTS):
+                    signs = {}
+                    for segment, own in group.items():
+                        _, n, bad = sums[segment]
+                        rest = [sums[o] for o, g in group.items() if g == own and o != segment]
+                        more = sum(s[1] for s in rest)
+                        if rest:
+                            apart = angle(bad, n) - angle(sum(s[2] for s in rest), more)
+                            apart /= math.sqrt(1 / n + 1 / more)
+                            signs[segment] = "+" if apart > url_templates.CHANCE else (
+                                "-" if apart < -url_templates.CHANCE else "=")
+                    group = {s: g + signs.get(s, "") for s, g in group.items()}
+                sizes = Counter(group.values())
+                names = {s: g for s, g in group.items() if sizes[g] > 1}
+            for segment, name in names.items():
+                for key in children[segment]:
+                    rows[key][level] = name
+    assert {k: "/".join(t) for k, t in rows.items()} == found
+
+    prior = url_templates.PRIOR_PAGES
+    _, labelled, blocked = total(counted)
+    share = dict.fromkeys(counted, blocked / labelled if labelled else 0.0)
+    for level in range(depth + 1):
+        told, branches = defaultdict(lambda: [0.0, 0.0]), defaultdict(lambda: defaultdict(list))
+        for key in counted:
+            branches[key[0], tuple(rows[key][:level])][key[1][:level]].append(key)
+        evidence = {}
+        for (host, branch), prefixes in branches.items():
+            for prefix, keys in prefixes.items():
+                _, n, bad = total(keys)
+                evidence[host, branch, prefix] = (min(n, prior), min(n, prior) * bad / n if n else 0)
+                for i in range(2):
+                    told[prefix][i] += evidence[host, branch, prefix][i]
+        after = {}
+        for (host, branch), prefixes in branches.items():
+            keys = [k for own in prefixes.values() for k in own]
+            pages, n, bad = total(keys)
+            others = [
+                sum(total(own)[0] * (told[prefix][i] - evidence[host, branch, prefix][i])
+                    for prefix, own in prefixes.items()) / pages for i in range(2)
+            ]
+            before = (others[1] + prior * share[keys[0]]) / (others[0] + prior)
+            for key in keys:
+                after[key] = round((bad + prior * before) / (n + prior), 9)
+        share = after
+    return share
+
+
+def test_templates_and_shares_against_brute_force(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
+    many = [f"http://x{i % 4}.net/u/k{chr(97 + i % 26)}{chr(97 + i // 26)}/{i}" for i in range(90)]
+    more = spark.createDataFrame(list(enumerate([*many, None, "", "http://y.com/de/1"])), pages.schema)
+    rules = [*queries.RULES, Rule("block", "x1.net", "/u/ka"), Rule("block", "x2.net", "/u")]
+    judged = url_templates.ruled(pages.unionByName(more), rules)
+    counted = url_templates.shapes(judged).cache()
+    plain = {
+        (r.host, tuple(r.shape)): (r.pages, r.labelled, r.blocked) for r in counted.collect()
+    }
+    rows = url_templates.shares(counted).collect()
+    found = {(r.host, tuple(r.shape)): "/".join(r.template) for r in rows}
+    assert any(t.endswith("/*/{n}") for t in found.values())
+    expected = grown(plain, found)
+    assert set(expected) == set(found) and len(rows) == len(found)
+    assert all(abs(r.share - expected[r.host, tuple(r.shape)]) < 1e-6 for r in rows)
+
+
+def test_pages_without_a_rule_get_both_verdicts(spark):
+    folder = "/root/testdata/sf0.1"
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    rows = queries.op10_url_templates(spark, folder).collect()
+    assert len(rows) == pages.count()
+    free = [r for r in rows if r.rule is None]
+    assert {r.verdict for r in free if r.path.startswith("/es/")} == {"block"}
+    assert {r.verdict for r in free if r.path.startswith(("/en/", "/fr/"))} == {"allow"}
+    counted = url_templates.shapes(url_templates.ruled(pages, queries.RULES)).cache()
+    least = url_templates.bound(counted)
+    assert least in url_templates.BOUNDS
+    over = url_templates.held_out(counted).where(f"share >= {least}").groupBy().sum().first()
+    assert over["sum(bad)"] >= url_templates.PURE * over["sum(known)"]
+    print("held out", least, over)
+
+
+def test_no_label_rejects_nothing(spark):
+    pages = spark.createDataFrame([(i, f"http://h{i % 9}.net/a/{i}") for i in range(99)],
+                                  "page_id bigint, url string")
+    assert {r.verdict for r in url_templates.filtered(pages, []).collect()} == {"allow"}
+
+
 # --- pipeline ----------------------------------------------------------------------
 
 

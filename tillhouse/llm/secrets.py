@@ -28,6 +28,8 @@ FIRST_CHARACTER, CHARACTERS = 43, 80
 #: Sampled tokens of each label, at most, and documents that tokens are sampled from.
 SAMPLE = 20_000
 SAMPLE_DOCUMENTS = 5_000
+#: Documents that pass the threshold of the draw, for each one that is wanted.
+DRAWN = 4
 #: Mean log-likelihood ratio of a pair, and of the whole token, from which it is a secret.
 LEAST_MEAN, LEAST_RATIO = 0.3, 8.0
 #: Entries of a list that are summed up at once.
@@ -124,7 +126,12 @@ def ratio_of(token: str, table: list[int]) -> str:
 def sampled_tokens(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Labelled samples: hashes written in common alphabets are random, and words of
     documents, plain or joined as identifiers are, ordinary. At most ``SAMPLE`` of each,
-    from the ``SAMPLE_DOCUMENTS`` documents with the smallest hashes."""
+    from the ``SAMPLE_DOCUMENTS`` different documents with the smallest hashes.
+
+    Only documents whose hash is below a threshold that some ``DRAWN`` times as many pass are
+    split and sorted, and repeated rows shrink to one before; so what meets in one task stays
+    as small for any table. Null texts and texts without words are not drawn; where few
+    documents differ the sample is smaller, and an empty table gives random strings only."""
     number = F.col("id").cast("string")
     base64 = F.base64(F.unhex(F.sha2(F.concat(F.lit("random "), number), 512)))
     letters = F.regexp_replace(base64, "[+/=]", "")
@@ -142,8 +149,13 @@ def sampled_tokens(spark: SparkSession, docs: DataFrame) -> DataFrame:
         "get(words, cast(pmod(xxhash64(hash, j), size(words)) as int)) as one, "
         "coalesce(get(words, cast(pmod(xxhash64(hash, j), size(words)) as int) + 1), '') as two))"
     )
-    some = docs.where("text is not null").select(
-        F.xxhash64("doc_id", "text").alias("hash"), words.alias("words")
+    share = min(1.0, DRAWN * SAMPLE_DOCUMENTS / max(docs.count(), 1))
+    below = int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1
+    hashed = docs.where("text is not null").select(
+        F.xxhash64("doc_id", "text").alias("hash"), "text"
+    ).where(F.col("hash") <= F.lit(below))
+    some = hashed.groupBy("hash").agg(F.max("text").alias("text")).select(
+        "hash", words.alias("words")
     ).where("size(words) > 0").select("hash", neighbours.alias("few"))
     few = some.orderBy("hash").limit(SAMPLE_DOCUMENTS).select(F.inline("few"))
     joined = (

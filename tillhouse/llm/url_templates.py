@@ -1,10 +1,11 @@
 """Filtering of URLs by a tree of path templates per host.
 
 Paths become templates: numbers and hexadecimal names in a segment are wildcards, and so is
-a segment that takes too many values below its parent. Siblings whose labelled pages are
-blocked about as often, on a scale on which chance weighs alike everywhere, are merged into
-one branch. A template is rejected if the share of blocked among its labelled pages, smoothed
-towards that of the branch above, is high.
+a segment that takes too many values below its parent. Labelled siblings that a test of their
+counts cannot tell apart are merged into one branch. A template's share of blocked pages is
+smoothed towards the branch above and towards what other hosts have on the same shape, so that
+templates without a labelled page of their own are judged, too. From which share a template is
+rejected is found on hosts whose labels were hidden.
 """
 
 from __future__ import annotations
@@ -20,10 +21,16 @@ from tillhouse.llm.batches import stored
 DEPTH = 6
 #: A segment is variable if so many values occur below one parent, each on so few pages.
 MANY_VALUES, PAGES_PER_VALUE = 20, 3.0
-#: Siblings are merged if their shares, as angles from 0 to pi, fall in one band so wide.
-BAND = 0.4
-#: Pages that the share of the branch above counts as, and the share that rejects.
-PRIOR_PAGES, REJECT_FROM = 5.0, 0.8
+#: Siblings differ if the angles of their shares are so many deviations apart, and how often
+#: a group of siblings is tested.
+CHANCE, TESTS = 2.0, 2
+#: Pages that the share of the branch above, and the labels of one other host, count as.
+PRIOR_PAGES = 5.0
+#: One host in so many is hidden to choose the bound among these, for a purity of so much.
+FOLDS, PURE = 3, 0.9
+BOUNDS = [round(0.5 + 0.05 * i, 2) for i in range(10)]
+#: The bound where no label can be hidden.
+REJECT_FROM = 0.8
 #: A template's row in the join is repeated so often; its pages are dealt among them.
 SALTS = 16
 
@@ -86,67 +93,124 @@ def _branch(level: int) -> Column:
     return F.slice("template", 1, level)
 
 
-def templates(judged: DataFrame) -> DataFrame:
-    """For each (host, shape) its template, the pages and labelled pages of the template,
-    the smoothed share of blocked ones, and whether it is rejected.
+def _to_each(rows: DataFrame, few: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join with a frame of one row per key; the rows of one key are dealt among ``SALTS``."""
+    copies = few.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
+    return rows.withColumn("salt", dealt).join(copies, [*keys, "salt"], how).drop("salt")
 
-    The tree is worked on from (host, shape) rows with counts, one level after the other;
-    a host with many pages is counted before anything is dealt by host.
-    """
-    shapes = judged.select(
+
+def shapes(judged: DataFrame) -> DataFrame:
+    """A row per (host, shape): its pages, and how many are labelled and blocked."""
+    return judged.select(
         "host", shape(F.col("path")).alias("shape"),
         (F.col("given") == "block").cast("bigint").alias("blocked"),
     ).groupBy("host", "shape").agg(
         F.count(F.lit(1)).alias("pages"), F.count("blocked").alias("labelled"),
         F.coalesce(F.sum("blocked"), F.lit(0)).alias("blocked"),
     )
-    rows = stored(shapes.withColumn("template", F.col("shape")), "shapes")
+
+
+def shares(counted: DataFrame) -> DataFrame:
+    """For each (host, shape) its template and the template's smoothed ``share`` of blocked
+    pages, from ``shapes``. The tree is worked on one level after the other."""
+    rows = counted.withColumn("template", F.col("shape"))
     depth = rows.agg(F.max(F.size("shape"))).first()[0] or 0
     for level in range(1, depth + 1):
         rows = stored(_generalised(rows, level), "level")
-    # The share of the host above all its templates, and of all hosts above the host.
     every = rows.agg(F.sum("blocked"), F.sum("labelled")).first()
     base = (every[0] or 0) / every[1] if every[1] else 0.0
-    share = F.lit(base)
+    rows = rows.withColumn("share", F.lit(base))
     for level in range(0, depth + 1):
-        rows = _smoothed(rows, level, share)
-        share = F.col("share")
-    return rows.select(
-        "host", "shape", "template", "share", (F.col("share") >= REJECT_FROM).alias("rejected")
+        rows = stored(_smoothed(rows, level), "share")
+    return rows
+
+
+def held_out(counted: DataFrame) -> DataFrame:
+    """``known`` and ``bad``, labelled and blocked pages, of the labelled shapes of one host in
+    ``FOLDS``, with the ``share`` that the tree gives them when these labels are hidden."""
+    hidden = F.pmod(F.xxhash64("host"), F.lit(FOLDS)) == 0
+    shown = counted.withColumns({
+        name: F.when(hidden, F.lit(0)).otherwise(F.col(name)).cast("bigint")
+        for name in ("labelled", "blocked")
+    })
+    truth = counted.where(hidden & (F.col("labelled") > 0)).select(
+        "host", "shape", F.col("labelled").alias("known"), F.col("blocked").alias("bad")
     )
+    # A shape is there once per host in both frames, so no key is hot.
+    return shares(shown).where(hidden).join(truth, ["host", "shape"])
+
+
+def bound(counted: DataFrame) -> float:
+    """The least share from which templates are rejected: the lowest of ``BOUNDS`` from which
+    on at least ``PURE`` of the hidden labels, with one more that does not, say block. If there
+    is none, no template is rejected (2.0). Without hidden labels it is ``REJECT_FROM``."""
+    sums = [F.sum(F.when(F.col("share") >= b, F.col(c))) for b in BOUNDS for c in ("known", "bad")]
+    row = held_out(counted).agg(F.sum("known"), *sums).first()
+    if not row[0]:
+        return REJECT_FROM
+    for place, least in enumerate(BOUNDS):
+        known, bad = row[1 + 2 * place] or 0, row[2 + 2 * place] or 0
+        if known and bad >= PURE * (known + 1):
+            return least
+    return 2.0
+
+
+def templates(judged: DataFrame) -> DataFrame:
+    """For each (host, shape) its template, the template's share, and whether it is rejected."""
+    counted = stored(shapes(judged), "shapes")
+    least = bound(counted)
+    return shares(counted).select(
+        "host", "shape", "template", "share", (F.col("share") >= least).alias("rejected")
+    )
+
+
+def _angle(blocked: Column, labelled: Column) -> Column:
+    return 2 * F.asin(F.sqrt(blocked / labelled))
 
 
 def _generalised(rows: DataFrame, level: int) -> DataFrame:
-    """The segment of one level made a wildcard where it is variable, and a wildcard with
-    the number of its band where siblings are alike."""
-    parent, segment = _branch(level - 1), F.get("template", F.lit(level - 1))
-    keyed = rows.withColumns({"parent": parent, "segment": segment})
-    inner = keyed.where("segment is not null")
+    """The segment of one level made a wildcard where it is variable, and a wildcard with a
+    sign where labelled siblings are alike: those that differ from all their labelled
+    siblings together by chance only (``*=``), and those that are blocked less (``*-``) or more
+    often (``*+``) than chance allows. Each of the three is tested within itself again."""
+    keyed = rows.withColumns({
+        "parent": _branch(level - 1), "segment": F.get("template", F.lit(level - 1))
+    })
     sums = [F.sum(c).alias(c) for c in ("pages", "labelled", "blocked")]
-    children = inner.groupBy("host", "parent", "segment").agg(*sums)
+    children = keyed.where("segment is not null").groupBy("host", "parent", "segment").agg(*sums)
     parents = children.groupBy("host", "parent").agg(
         F.count(F.lit(1)).alias("values"), F.sum("pages").alias("all_pages")
     )
-    angle = 2 * F.asin(F.sqrt((F.col("blocked") + 0.5) / (F.col("labelled") + 1)))
-    children = children.withColumn(
-        "band", F.when(F.col("labelled") > 0, F.floor(angle / BAND))
-    )
-    bands = children.where("band is not null").groupBy("host", "parent", "band").agg(
-        F.count(F.lit(1)).alias("members")
-    )
     variable = (F.col("values") >= MANY_VALUES) & (
         F.col("all_pages") <= PAGES_PER_VALUE * F.col("values")
     )
-    name = F.when(variable, "*").when(
-        F.col("members") > 1, F.concat(F.lit("*"), F.col("band").cast("string"))
+    children = _to_each(children, parents, ["host", "parent"]).select(
+        "host", "parent", "segment", "labelled", "blocked", variable.alias("variable"),
+        F.lit("*").alias("group"),
     )
-    wild = (
-        children.join(parents, ["host", "parent"])
-        .join(bands, ["host", "parent", "band"], "left")
-        .select("host", "parent", "segment", name.alias("wild"))
-        .where("wild is not null")
+    tested = children.where("not variable and labelled > 0")
+    for _ in range(TESTS):
+        group = tested.groupBy("host", "parent", "group").agg(
+            F.sum("labelled").alias("all"), F.sum("blocked").alias("bad")
+        )
+        others, bad = F.col("all") - F.col("labelled"), F.col("bad") - F.col("blocked")
+        apart = (_angle(F.col("blocked"), F.col("labelled")) - _angle(bad, others)) / F.sqrt(
+            1 / F.col("labelled") + 1 / others
+        )
+        sign = (
+            F.when(others == 0, "").when(apart > CHANCE, "+").when(apart < -CHANCE, "-")
+            .otherwise("=")
+        )
+        tested = _to_each(tested, group, ["host", "parent", "group"]).withColumn(
+            "group", F.concat("group", sign)
+        ).drop("all", "bad")
+    members = tested.groupBy("host", "parent", "group").agg(F.count(F.lit(1)).alias("members"))
+    merged = _to_each(tested, members, ["host", "parent", "group"]).where("members > 1")
+    wild = children.where("variable").unionByName(merged.drop("members")).select(
+        "host", "parent", "segment", F.col("group").alias("wild")
     )
-    found = keyed.join(wild, ["host", "parent", "segment"], "left")
+    found = _to_each(keyed, wild, ["host", "parent", "segment"], "left")
     changed = F.concat(
         F.slice("template", 1, level - 1), F.array("wild"),
         F.slice("template", level + 1, DEPTH + 2),
@@ -155,32 +219,49 @@ def _generalised(rows: DataFrame, level: int) -> DataFrame:
     return found.withColumn("template", template).drop("parent", "segment", "wild")
 
 
-def _smoothed(rows: DataFrame, level: int, above: Column) -> DataFrame:
-    """``share`` of each row's branch at the level, smoothed towards ``above``."""
-    keyed = rows.withColumns({"branch": _branch(level), "above": above}).drop("share")
-    sums = keyed.groupBy("host", "branch").agg(
-        F.sum("blocked").alias("b"), F.sum("labelled").alias("l")
+def _smoothed(rows: DataFrame, level: int) -> DataFrame:
+    """``share`` of each row's branch at the level. The share of the branch above counts as
+    ``PRIOR_PAGES``; then come the labels that other hosts have on the same shape up to this
+    level, each host's as so many pages at most; then the branch's own. Shapes of one branch
+    share the others' labels in proportion to their pages."""
+    keyed = rows.withColumns({"branch": _branch(level), "prefix": F.slice("shape", 1, level)})
+    own = keyed.groupBy("host", "branch", "prefix").agg(
+        *[F.sum(c).alias(c) for c in ("pages", "labelled", "blocked")],
+        F.max("share").alias("above"),
+    ).withColumn("told", F.least(F.col("labelled"), F.lit(PRIOR_PAGES)))
+    own = own.withColumn(
+        "bad", F.when(F.col("labelled") > 0, F.col("told") * F.col("blocked") / F.col("labelled"))
+        .otherwise(F.lit(0.0))
     )
-    share = (F.col("b") + PRIOR_PAGES * F.col("above")) / (F.col("l") + PRIOR_PAGES)
-    return keyed.join(sums, ["host", "branch"]).withColumn("share", share).drop(
-        "branch", "above", "b", "l"
+    everywhere = own.groupBy("prefix").agg(
+        F.sum("told").alias("all_told"), F.sum("bad").alias("all_bad")
     )
+    weighed = _to_each(own, everywhere, ["prefix"])
+    branches = weighed.groupBy("host", "branch").agg(
+        F.sum("blocked").alias("b"), F.sum("labelled").alias("l"), F.max("above").alias("above"),
+        *[
+            (F.sum(F.col("pages") * (F.col(f"all_{c}") - F.col(c))) / F.sum("pages")).alias(c)
+            for c in ("told", "bad")
+        ],
+    )
+    prior = (F.col("bad") + PRIOR_PAGES * F.col("above")) / (F.col("told") + PRIOR_PAGES)
+    share = (F.col("b") + PRIOR_PAGES * prior) / (F.col("l") + PRIOR_PAGES)
+    return _to_each(
+        keyed.drop("share", "prefix"),
+        branches.select("host", "branch", F.round(share, 9).alias("share")), ["host", "branch"],
+    ).drop("branch")
 
 
 def filtered(pages: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Every page's host, path, rule, ``verdict`` and template.
+    """Every page's host, path, rule, ``verdict``, template and its share.
 
     The verdict is the rule's, else ``block`` for pages of rejected templates and ``allow``
     for all others. Pages without a URL or host have an empty host and are judged like the
-    others; repeated rows count and are returned each; an empty table gives no rows.
+    others; repeated rows count and are returned each; an empty table gives no rows; other
+    columns of the pages are not read. Without any rule that fits, all are allowed.
     """
     judged = stored(ruled(pages, rules).withColumn("shape", shape(F.col("path"))), "ruled")
-    found = templates(judged).select(
-        "host", "shape", "template", "share", "rejected",
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
-    )
-    salt = F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int")
-    joined = judged.withColumn("salt", salt).join(found, ["host", "shape", "salt"])
+    joined = _to_each(judged, templates(judged), ["host", "shape"])
     verdict = F.coalesce("given", F.when(F.col("rejected"), "block").otherwise("allow"))
     return joined.select(
         "page_id", "host", "path", "rule", verdict.alias("verdict"),
