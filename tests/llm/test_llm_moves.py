@@ -21,7 +21,6 @@ CALLS = (
     "after array<string>"
 )
 RESULTS = "conv_id bigint, call_id string, turn bigint, content string"
-SCHEMAS = "tool string, parameter string, kind string, required boolean"
 
 
 # --- tool calls --------------------------------------------------------------------
@@ -29,7 +28,7 @@ SCHEMAS = "tool string, parameter string, kind string, required boolean"
 
 def log(spark, calls, results, schemas=queries.SCHEMAS):
     frames = (spark.createDataFrame(*x) for x in
-              ((calls, CALLS), (results, RESULTS), (schemas, SCHEMAS)))
+              ((calls, CALLS), (results, RESULTS), (schemas, queries.SCHEMA_COLUMNS)))
     return tool_calls.tool_log(*frames)
 
 
@@ -77,6 +76,91 @@ def canonical(text):
         return text
 
 
+def faults(schema, value, path=""):
+    """Errors of a value by walking down; ``schema`` from paths to (kind, required, ...)."""
+    below = f"{path}/" if path else ""
+    known = {p[len(below):]: v for p, v in schema.items()
+             if p.startswith(below) and "/" not in p[len(below):]}
+    if isinstance(value, dict) and known:
+        inner = {k.replace("~", "~0").replace("/", "~1"): v for k, v in value.items()}
+        wrong = {f"{below}{k} missing" for k, v in known.items() if v[1] and k not in inner}
+    elif isinstance(value, list) and known:
+        inner, wrong = {}, set()
+        for item in value:
+            wrong |= fault(schema, item, f"{below}[]")
+    else:
+        return set()
+    return wrong.union(*(fault(schema, v, below + k) for k, v in inner.items()))
+
+
+def fault(schema, value, path):
+    kinds = {"integer": (int,), "number": (int, float), "string": (str,), "boolean": (bool,),
+             "array": (list,), "object": (dict,), None: (object,)}
+    inner = faults(schema, value, path)
+    if path not in schema:
+        return {f"{path} unexpected"} | inner
+    kind, _, choices, least, most = schema[path]
+    number = isinstance(value, (int, float)) and not isinstance(value, bool)
+    if not isinstance(value, kinds[kind]) or (isinstance(value, bool) and kind in ("integer", "number")):
+        return {f"{path} not {kind}"} | inner
+    if choices is not None and json.dumps(value, separators=(",", ":")) not in choices:
+        return {f"{path} not a choice"} | inner
+    if number and least is not None and value < least:
+        return {f"{path} too small"} | inner
+    if number and most is not None and value > most:
+        return {f"{path} too large"} | inner
+    return inner
+
+
+def test_nested_arguments_by_walking_down(spark):
+    schema = [
+        ("t", "a", "object", True, None, None, None), ("t", "a/n", "number", True, None, -1.5, 3.0),
+        ("t", "a/x~1y", "string", False, ['"p"', '"q"'], None, None),
+        ("t", "l", "array", False, None, None, None), ("t", "l/[]", "object", False, None, None, None),
+        ("t", "l/[]/k", "integer", True, None, 0.0, None), ("t", "l/[]/m", "array", False, None, None, None),
+        ("t", "l/[]/m/[]", "boolean", False, None, None, None), ("t", "any", None, False, None, None, None),
+    ]
+    given = [
+        '{"a":{"n":1}}', '{"a":{"n":-1.5,"x/y":"p"},"any":{"z":[1,{"u":2}]}}', '{"a":{"n":3.5}}', "{}",
+        '{"a":[1]}', '{"a":{"x/y":"r","w":1}}', '{"a":{"n":"1"},"l":[]}', '{"a":null,"l":[{"k":1},{"k":-1}]}',
+        '{"a":{"n":-2},"l":[{},{},3,{"k":1.5,"m":[true,false]},{"k":2,"m":[1]}]}', '{"b":1,"l":{"k":1}}',
+        '{"a":{"n":true},"any":null}', '{"a":{"n":2,"x/y":null},"l":[{"k":0,"m":{}}],"c":{"d":1}}',
+    ]
+    calls = [(1, f"c{i}", i, "t", g, None) for i, g in enumerate(given)]
+    by_path = {row[1]: row[2:] for row in schema}
+    rows = {r.call_turn: r.errors for r in log(spark, calls, [], schema).collect()}
+    for i, text in enumerate(given):
+        assert rows[i] == sorted(faults(by_path, json.loads(text))), text
+    assert {tuple(e) for e in (r.errors for r in log(spark, calls, [], []).collect())} == {("unknown tool",)}
+
+
+def test_levels_against_walks(spark):
+    random = np.random.default_rng(11)
+    waits = {}
+    for conv in range(6):
+        for i in range(60):
+            few = random.choice([0, 1, 1, 1, 1, 2, 3])
+            waits[conv, f"k{i}"] = {f"k{j}" for j in random.integers(max(0, i - 4), i, few)} if i else set()
+        if conv % 2:  # a cycle, and calls behind it
+            waits[conv, "k20"] = {"k22"}
+            waits[conv, "k21"], waits[conv, "k22"] = {"k20"}, {"k21", "gone"}
+    for i in range(300):
+        waits[9, f"k{i}"] = {f"k{i - 1}"} if i else set()
+    calls = [(c, k, 1, "count", None, sorted(w)) for (c, k), w in waits.items()]
+    found = {(r.conv_id, r.call_id): r.level for r in log(spark, calls, []).collect()}
+    placed, left = {}, dict(waits)
+    while True:
+        ready = {key: 1 + max((placed[key[0], w] for w in ws if (key[0], w) in waits), default=-1)
+                 for key, ws in left.items()
+                 if all((key[0], w) in placed for w in ws if (key[0], w) in waits)}
+        if not ready:
+            break
+        placed.update(ready)
+        left = {key: ws for key, ws in left.items() if key not in placed}
+    assert left and max(placed.values()) == 299
+    assert found == {key: placed.get(key) for key in waits}
+
+
 def test_query_against_brute_force(spark):
     folder = "/root/testdata/sf0.001"
     turns = spark.read.parquet(f"{folder}/conversations.parquet")
@@ -85,7 +169,6 @@ def test_query_against_brute_force(spark):
     answers = {(r.conv_id, r.call_id): r for r in results}
     expected = {(c.conv_id, c.call_id): c for c in calls}
     assert len(rows) == len(calls) + sum(k not in expected for k in answers)
-    kinds = {"integer": int, "string": str, "boolean": bool, "array": list}
 
     def level(key):
         waits = [(key[0], a) for a in expected[key].after if (key[0], a) in expected]
@@ -99,15 +182,9 @@ def test_query_against_brute_force(spark):
         call = expected[key]
         assert (r.status == "linked") == (key in answers)
         assert r.level == level(key)
-        given, wrong = canonical(call.arguments), []
-        if not isinstance(given, dict):
-            wrong = ["not an object"]
-        else:
-            schema = {p: (k, q) for t, p, k, q in queries.SCHEMAS if t == call.tool}
-            wrong += [f"{p} missing" for p, (_, q) in schema.items() if q and p not in given]
-            wrong += [f"{p} unexpected" for p in given if p not in schema]
-            wrong += [f"{p} not {schema[p][0]}" for p, v in given.items()
-                      if p in schema and type(v) is not kinds[schema[p][0]]]
+        given = canonical(call.arguments)
+        schema = {row[1]: row[2:] for row in queries.SCHEMAS if row[0] == call.tool}
+        wrong = faults(schema, given) if isinstance(given, dict) else {"not an object"}
         assert r.errors == ", ".join(sorted(wrong))
         record = {"arguments": given, "call_id": r.call_id, "tool": call.tool,
                   "result": canonical(answers[key].content) if key in answers else None}

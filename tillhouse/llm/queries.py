@@ -37,14 +37,23 @@ RULES = [
     url_templates.Rule("allow", "com", "/fr/"),
     url_templates.Rule("block", "com", "/de/"),
 ]
-SCHEMAS = [
-    ("search", "query", "string", True),
-    ("search", "limit", "integer", True),
-    ("search", "strict", "boolean", False),
-    ("lookup", "id", "integer", True),
-    ("lookup", "fields", "array", False),
-    ("count", "query", "string", True),
+SCHEMAS = [  # tool, path, kind, required, choices, least, most
+    ("search", "query", "string", True, None, None, None),
+    ("search", "limit", "integer", True, None, 1.0, 400.0),
+    ("search", "strict", "boolean", False, None, None, None),
+    ("search", "filter", "object", False, None, None, None),
+    ("search", "filter/turn", "integer", True, None, 0.0, 6.0),
+    ("search", "filter/sizes", "array", False, None, None, None),
+    ("search", "filter/sizes/[]", "string", False, ['"short"', '"long"'], None, None),
+    ("lookup", "id", "integer", True, None, None, None),
+    ("lookup", "fields", "array", False, None, None, None),
+    ("lookup", "fields/[]", "string", False, None, None, None),
+    ("count", "query", "string", True, None, None, None),
 ]
+SCHEMA_COLUMNS = (
+    "tool string, parameter string, kind string, required boolean, choices array<string>, "
+    "least double, most double"
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,17 +129,27 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Tool calls and results made of the turns of conversations: every assistant turn
-    calls a tool, every later user turn answers the call before it."""
+    """Tool calls and results made of all turns of conversations: every assistant turn calls a
+    tool with its whole text, every other turn answers the call before it, whether there is
+    one or not."""
     turn, size = F.col("turn"), F.coalesce(F.char_length("text"), F.lit(0))
-    word = F.to_json(F.struct(F.get(F.split("text", " "), F.lit(0)).alias("x")))
-    quoted = F.coalesce(F.substring(word, 6, F.char_length(word) - 6), F.lit('""'))
-    name = F.expr("concat('c', cast(turn as string))")
+    whole = F.to_json(F.struct(F.col("text").alias("x")))
+    quoted = F.when(F.col("text").isNull(), '""').otherwise(
+        F.substring(whole, F.lit(6), F.char_length(whole) - 6)
+    )
+    name = F.concat(F.lit("c"), turn.cast("string"))
     tool = F.when(size % 3 == 0, "search").when(size % 3 == 1, "lookup").otherwise("count")
+    sizes = F.when(size % 4 == 0, '["short", 3]').when(size % 4 == 1, '["odd", "odd"]').otherwise(
+        '["short", "long"]'
+    )
+    within = F.concat(
+        F.when(size % 5 == 0, F.lit('"more": {}')).otherwise(F.concat(F.lit('"turn": '), turn.cast("string"))),
+        F.lit(', "sizes": '), sizes,
+    )
     arguments = (
         F.when(size % 11 == 5, F.concat(F.lit("not json "), "text"))
         .when(size % 3 == 0, F.concat(F.lit('{"query": '), quoted, F.lit(', "limit": '),
-                                      size.cast("string"), F.lit("}")))
+                                      size.cast("string"), F.lit(', "filter": {'), within, F.lit("}}")))
         .when(size % 3 == 1, F.concat(F.lit('{"id": '), F.when(size % 7 == 0, quoted).otherwise(
             turn.cast("string")), F.lit(', "fields": ['), quoted, F.lit("]}")))
         .otherwise(F.concat(F.lit('{ "query" :'), quoted, F.lit(',"extra":null }')))
@@ -143,7 +162,7 @@ def messages(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     content = F.when(size % 5 == 0, F.concat(F.lit('{"words": '), size.cast("string"),
                                              F.lit(', "said": '), quoted, F.lit("}")))
-    results = conversations.where("role = 'user' and turn > 0").select(
+    results = conversations.where("not (role <=> 'assistant')").select(
         "conv_id", F.expr("concat('c', cast(turn - 1 as string))").alias("call_id"), "turn",
         content.otherwise(F.col("text")).alias("content"),
     )
@@ -152,9 +171,7 @@ def messages(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, results = messages(table(ready(spark), sf_dir, "conversations"))
-    schemas = spark.createDataFrame(
-        SCHEMAS, "tool string, parameter string, kind string, required boolean"
-    )
+    schemas = spark.createDataFrame(SCHEMAS, SCHEMA_COLUMNS)
     log = tool_calls.tool_log(calls, results, schemas)
     return log.withColumn("errors", F.concat_ws(", ", "errors"))
 
