@@ -113,40 +113,50 @@ def shapes(judged: DataFrame) -> DataFrame:
 
 def shares(counted: DataFrame) -> DataFrame:
     """For each (host, shape) its template and the template's smoothed ``share`` of blocked
-    pages, from ``shapes``. The tree is worked on one level after the other."""
-    rows = counted.withColumn("template", F.col("shape"))
+    pages, from ``shapes``."""
+    return _grown(counted.withColumn("tree", F.lit("whole"))).drop("tree")
+
+
+def _grown(rows: DataFrame) -> DataFrame:
+    """Templates and shares of several trees, told apart by ``tree``, one level after the other.
+    All paths begin alike, with an empty first segment."""
+    rows = rows.withColumn("template", F.col("shape"))
     depth = rows.agg(F.max(F.size("shape"))).first()[0] or 0
-    for level in range(1, depth + 1):
+    for level in range(2, depth + 1):
         rows = stored(_generalised(rows, level), "level")
-    every = rows.agg(F.sum("blocked"), F.sum("labelled")).first()
-    base = (every[0] or 0) / every[1] if every[1] else 0.0
-    rows = rows.withColumn("share", F.lit(base))
+    base = F.lit(0.0)
+    for tree, blocked, labelled in rows.groupBy("tree").agg(
+        F.sum("blocked"), F.sum("labelled")
+    ).collect():  # a row per tree
+        base = F.when(F.col("tree") == tree, blocked / labelled if labelled else 0.0).otherwise(base)
+    rows = rows.withColumn("share", base)
     for level in range(0, depth + 1):
         rows = stored(_smoothed(rows, level), "share")
     return rows
 
 
-def held_out(counted: DataFrame) -> DataFrame:
-    """``known`` and ``bad``, labelled and blocked pages, of the labelled shapes of one host in
-    ``FOLDS``, with the ``share`` that the tree gives them when these labels are hidden."""
+def _both(counted: DataFrame) -> DataFrame:
+    """The tree of all labels, and the one made with the labels of one host in ``FOLDS`` hidden;
+    ``known`` and ``bad`` are the labelled and blocked pages with nothing hidden."""
     hidden = F.pmod(F.xxhash64("host"), F.lit(FOLDS)) == 0
-    shown = counted.withColumns({
-        name: F.when(hidden, F.lit(0)).otherwise(F.col(name)).cast("bigint")
-        for name in ("labelled", "blocked")
+    twice = counted.withColumns({
+        "known": F.col("labelled"), "bad": F.col("blocked"), "hidden": hidden,
+        "tree": F.explode(F.array(F.lit("whole"), F.lit("part"))),
     })
-    truth = counted.where(hidden & (F.col("labelled") > 0)).select(
-        "host", "shape", F.col("labelled").alias("known"), F.col("blocked").alias("bad")
-    )
-    # A shape is there once per host in both frames, so no key is hot.
-    return shares(shown).where(hidden).join(truth, ["host", "shape"])
+    hide = (F.col("tree") == "part") & F.col("hidden")
+    return _grown(twice.withColumns({
+        name: F.when(hide, F.lit(0)).otherwise(F.col(name)).cast("bigint")
+        for name in ("labelled", "blocked")
+    }))
 
 
-def bound(counted: DataFrame) -> float:
-    """The least share from which templates are rejected: the lowest of ``BOUNDS`` from which
-    on at least ``PURE`` of the hidden labels, with one more that does not, say block. If there
-    is none, no template is rejected (2.0). Without hidden labels it is ``REJECT_FROM``."""
+def _tested(both: DataFrame) -> DataFrame:
+    return both.where("tree = 'part' and hidden and known > 0")
+
+
+def _bound(both: DataFrame) -> float:
     sums = [F.sum(F.when(F.col("share") >= b, F.col(c))) for b in BOUNDS for c in ("known", "bad")]
-    row = held_out(counted).agg(F.sum("known"), *sums).first()
+    row = _tested(both).agg(F.sum("known"), *sums).first()
     if not row[0]:
         return REJECT_FROM
     for place, least in enumerate(BOUNDS):
@@ -156,12 +166,24 @@ def bound(counted: DataFrame) -> float:
     return 2.0
 
 
+def held_out(counted: DataFrame) -> DataFrame:
+    """``known`` and ``bad``, labelled and blocked pages, of the labelled shapes of one host in
+    ``FOLDS``, with the ``share`` that the tree gives them when these labels are hidden."""
+    return _tested(_both(counted))
+
+
+def bound(counted: DataFrame) -> float:
+    """The least share from which templates are rejected: the lowest of ``BOUNDS`` from which
+    on at least ``PURE`` of the hidden labels, with one more that does not, say block. If there
+    is none, no template is rejected (2.0). Without hidden labels it is ``REJECT_FROM``."""
+    return _bound(_both(counted))
+
+
 def templates(judged: DataFrame) -> DataFrame:
     """For each (host, shape) its template, the template's share, and whether it is rejected."""
-    counted = stored(shapes(judged), "shapes")
-    least = bound(counted)
-    return shares(counted).select(
-        "host", "shape", "template", "share", (F.col("share") >= least).alias("rejected")
+    both = _both(stored(shapes(judged), "shapes"))
+    return both.where("tree = 'whole'").select(
+        "host", "shape", "template", "share", (F.col("share") >= _bound(both)).alias("rejected")
     )
 
 
@@ -178,20 +200,20 @@ def _generalised(rows: DataFrame, level: int) -> DataFrame:
         "parent": _branch(level - 1), "segment": F.get("template", F.lit(level - 1))
     })
     sums = [F.sum(c).alias(c) for c in ("pages", "labelled", "blocked")]
-    children = keyed.where("segment is not null").groupBy("host", "parent", "segment").agg(*sums)
-    parents = children.groupBy("host", "parent").agg(
+    children = keyed.where("segment is not null").groupBy("tree", "host", "parent", "segment").agg(*sums)
+    parents = children.groupBy("tree", "host", "parent").agg(
         F.count(F.lit(1)).alias("values"), F.sum("pages").alias("all_pages")
     )
     variable = (F.col("values") >= MANY_VALUES) & (
         F.col("all_pages") <= PAGES_PER_VALUE * F.col("values")
     )
-    children = _to_each(children, parents, ["host", "parent"]).select(
-        "host", "parent", "segment", "labelled", "blocked", variable.alias("variable"),
+    children = _to_each(children, parents, ["tree", "host", "parent"]).select(
+        "tree", "host", "parent", "segment", "labelled", "blocked", variable.alias("variable"),
         F.lit("*").alias("group"),
     )
     tested = children.where("not variable and labelled > 0")
     for _ in range(TESTS):
-        group = tested.groupBy("host", "parent", "group").agg(
+        group = tested.groupBy("tree", "host", "parent", "group").agg(
             F.sum("labelled").alias("all"), F.sum("blocked").alias("bad")
         )
         others, bad = F.col("all") - F.col("labelled"), F.col("bad") - F.col("blocked")
@@ -202,15 +224,15 @@ def _generalised(rows: DataFrame, level: int) -> DataFrame:
             F.when(others == 0, "").when(apart > CHANCE, "+").when(apart < -CHANCE, "-")
             .otherwise("=")
         )
-        tested = _to_each(tested, group, ["host", "parent", "group"]).withColumn(
+        tested = _to_each(tested, group, ["tree", "host", "parent", "group"]).withColumn(
             "group", F.concat("group", sign)
         ).drop("all", "bad")
-    members = tested.groupBy("host", "parent", "group").agg(F.count(F.lit(1)).alias("members"))
-    merged = _to_each(tested, members, ["host", "parent", "group"]).where("members > 1")
+    members = tested.groupBy("tree", "host", "parent", "group").agg(F.count(F.lit(1)).alias("members"))
+    merged = _to_each(tested, members, ["tree", "host", "parent", "group"]).where("members > 1")
     wild = children.where("variable").unionByName(merged.drop("members")).select(
-        "host", "parent", "segment", F.col("group").alias("wild")
+        "tree", "host", "parent", "segment", F.col("group").alias("wild")
     )
-    found = _to_each(keyed, wild, ["host", "parent", "segment"], "left")
+    found = _to_each(keyed, wild, ["tree", "host", "parent", "segment"], "left")
     changed = F.concat(
         F.slice("template", 1, level - 1), F.array("wild"),
         F.slice("template", level + 1, DEPTH + 2),
@@ -225,7 +247,7 @@ def _smoothed(rows: DataFrame, level: int) -> DataFrame:
     level, each host's as so many pages at most; then the branch's own. Shapes of one branch
     share the others' labels in proportion to their pages."""
     keyed = rows.withColumns({"branch": _branch(level), "prefix": F.slice("shape", 1, level)})
-    own = keyed.groupBy("host", "branch", "prefix").agg(
+    own = keyed.groupBy("tree", "host", "branch", "prefix").agg(
         *[F.sum(c).alias(c) for c in ("pages", "labelled", "blocked")],
         F.max("share").alias("above"),
     ).withColumn("told", F.least(F.col("labelled"), F.lit(PRIOR_PAGES)))
@@ -233,11 +255,11 @@ def _smoothed(rows: DataFrame, level: int) -> DataFrame:
         "bad", F.when(F.col("labelled") > 0, F.col("told") * F.col("blocked") / F.col("labelled"))
         .otherwise(F.lit(0.0))
     )
-    everywhere = own.groupBy("prefix").agg(
+    everywhere = own.groupBy("tree", "prefix").agg(
         F.sum("told").alias("all_told"), F.sum("bad").alias("all_bad")
     )
-    weighed = _to_each(own, everywhere, ["prefix"])
-    branches = weighed.groupBy("host", "branch").agg(
+    weighed = _to_each(own, everywhere, ["tree", "prefix"])
+    branches = weighed.groupBy("tree", "host", "branch").agg(
         F.sum("blocked").alias("b"), F.sum("labelled").alias("l"), F.max("above").alias("above"),
         *[
             (F.sum(F.col("pages") * (F.col(f"all_{c}") - F.col(c))) / F.sum("pages")).alias(c)
@@ -248,7 +270,8 @@ def _smoothed(rows: DataFrame, level: int) -> DataFrame:
     share = (F.col("b") + PRIOR_PAGES * prior) / (F.col("l") + PRIOR_PAGES)
     return _to_each(
         keyed.drop("share", "prefix"),
-        branches.select("host", "branch", F.round(share, 9).alias("share")), ["host", "branch"],
+        branches.select("tree", "host", "branch", F.round(share, 9).alias("share")),
+        ["tree", "host", "branch"],
     ).drop("branch")
 
 
