@@ -89,8 +89,8 @@ def shape(path: Column) -> Column:
     return F.when(long, F.concat(F.slice(folded, 1, DEPTH), tail)).otherwise(folded)
 
 
-def _branch(level: int) -> Column:
-    return F.slice("template", 1, level)
+def _branch(level: Column) -> Column:
+    return F.slice("template", F.lit(1), level)
 
 
 def _to_each(rows: DataFrame, few: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -118,21 +118,20 @@ def shares(counted: DataFrame) -> DataFrame:
 
 
 def _grown(rows: DataFrame) -> DataFrame:
-    """Templates and shares of several trees, told apart by ``tree``, one level after the other.
-    All paths begin alike, with an empty first segment."""
+    """Templates and shares of several trees, told apart by ``tree``: templates one level after
+    the other, shares of all levels at once. All paths begin alike, with an empty first segment."""
+    totals = rows.groupBy("tree").agg(
+        F.sum("blocked").alias("bad"), F.sum("labelled").alias("all"),
+        F.max(F.size("shape")).alias("depth"),
+    ).collect()  # a row per tree
+    base = F.lit(0.0)
+    for row in totals:
+        base = F.when(F.col("tree") == row.tree, row.bad / row.all if row.all else 0.0).otherwise(base)
+    depth = max((row.depth for row in totals), default=0)
     rows = rows.withColumn("template", F.col("shape"))
-    depth = rows.agg(F.max(F.size("shape"))).first()[0] or 0
     for level in range(2, depth + 1):
         rows = stored(_generalised(rows, level), "level")
-    base = F.lit(0.0)
-    for tree, blocked, labelled in rows.groupBy("tree").agg(
-        F.sum("blocked"), F.sum("labelled")
-    ).collect():  # a row per tree
-        base = F.when(F.col("tree") == tree, blocked / labelled if labelled else 0.0).otherwise(base)
-    rows = rows.withColumn("share", base)
-    for level in range(0, depth + 1):
-        rows = stored(_smoothed(rows, level), "share")
-    return rows
+    return stored(_smoothed(rows, depth, base), "share")
 
 
 def _both(counted: DataFrame) -> DataFrame:
@@ -191,45 +190,59 @@ def _angle(blocked: Column, labelled: Column) -> Column:
     return 2 * F.asin(F.sqrt(blocked / labelled))
 
 
+def _sign(blocked: Column, labelled: Column, all_blocked: Column, all_labelled: Column) -> Column:
+    """How a child differs from its labelled siblings together: ``-`` blocked less, ``+`` more
+    often than chance allows, ``=`` neither, nothing without such siblings."""
+    others = all_labelled - labelled
+    apart = (_angle(blocked, labelled) - _angle(all_blocked - blocked, others)) / F.sqrt(
+        1 / labelled + 1 / others
+    )
+    return F.when(others == 0, "").when(apart > CHANCE, "+").when(apart < -CHANCE, "-").otherwise("=")
+
+
+def _siblings(keyed: DataFrame) -> DataFrame:
+    """The children of each parent that are variable or labelled, with their ``group`` after
+    the first test. Children are counted before they meet their parent's sums."""
+    parent = ["tree", "host", "parent"]
+    children = keyed.where("segment is not null").groupBy(*parent, "segment").agg(
+        *[F.sum(c).alias(c) for c in ("pages", "labelled", "blocked")]
+    )
+    parents = children.groupBy(*parent).agg(
+        F.count(F.lit(1)).alias("values"), F.sum("pages").alias("all_pages"),
+        F.sum("labelled").alias("all"), F.sum("blocked").alias("bad"),
+    )
+    variable = (F.col("values") >= MANY_VALUES) & (
+        F.col("all_pages") <= PAGES_PER_VALUE * F.col("values")
+    )
+    sign = _sign(F.col("blocked"), F.col("labelled"), F.col("bad"), F.col("all"))
+    return _to_each(children, parents, parent).withColumn("variable", variable).where(
+        "variable or labelled > 0"
+    ).select(
+        *parent, "segment", "labelled", "blocked", "variable",
+        F.when(F.col("variable"), "*").otherwise(F.concat(F.lit("*"), sign)).alias("group"),
+    )
+
+
 def _generalised(rows: DataFrame, level: int) -> DataFrame:
     """The segment of one level made a wildcard where it is variable, and a wildcard with a
     sign where labelled siblings are alike: those that differ from all their labelled
     siblings together by chance only (``*=``), and those that are blocked less (``*-``) or more
     often (``*+``) than chance allows. Each of the three is tested within itself again."""
     keyed = rows.withColumns({
-        "parent": _branch(level - 1), "segment": F.get("template", F.lit(level - 1))
+        "parent": _branch(F.lit(level - 1)), "segment": F.get("template", F.lit(level - 1))
     })
-    sums = [F.sum(c).alias(c) for c in ("pages", "labelled", "blocked")]
-    children = keyed.where("segment is not null").groupBy("tree", "host", "parent", "segment").agg(*sums)
-    parents = children.groupBy("tree", "host", "parent").agg(
-        F.count(F.lit(1)).alias("values"), F.sum("pages").alias("all_pages")
-    )
-    variable = (F.col("values") >= MANY_VALUES) & (
-        F.col("all_pages") <= PAGES_PER_VALUE * F.col("values")
-    )
-    children = _to_each(children, parents, ["tree", "host", "parent"]).select(
-        "tree", "host", "parent", "segment", "labelled", "blocked", variable.alias("variable"),
-        F.lit("*").alias("group"),
-    )
-    tested = children.where("not variable and labelled > 0")
-    for _ in range(TESTS):
-        group = tested.groupBy("tree", "host", "parent", "group").agg(
-            F.sum("labelled").alias("all"), F.sum("blocked").alias("bad")
+    group = ["tree", "host", "parent", "group"]
+    siblings = stored(_siblings(keyed), "siblings")
+    tested = siblings.where("not variable")
+    for _ in range(TESTS - 1):
+        sums = tested.groupBy(*group).agg(F.sum("labelled").alias("all"), F.sum("blocked").alias("bad"))
+        sign = _sign(F.col("blocked"), F.col("labelled"), F.col("bad"), F.col("all"))
+        tested = _to_each(tested, sums, group).withColumn("group", F.concat("group", sign)).drop(
+            "all", "bad"
         )
-        others, bad = F.col("all") - F.col("labelled"), F.col("bad") - F.col("blocked")
-        apart = (_angle(F.col("blocked"), F.col("labelled")) - _angle(bad, others)) / F.sqrt(
-            1 / F.col("labelled") + 1 / others
-        )
-        sign = (
-            F.when(others == 0, "").when(apart > CHANCE, "+").when(apart < -CHANCE, "-")
-            .otherwise("=")
-        )
-        tested = _to_each(tested, group, ["tree", "host", "parent", "group"]).withColumn(
-            "group", F.concat("group", sign)
-        ).drop("all", "bad")
-    members = tested.groupBy("tree", "host", "parent", "group").agg(F.count(F.lit(1)).alias("members"))
-    merged = _to_each(tested, members, ["tree", "host", "parent", "group"]).where("members > 1")
-    wild = children.where("variable").unionByName(merged.drop("members")).select(
+    members = tested.groupBy(*group).agg(F.count(F.lit(1)).alias("members"))
+    merged = _to_each(tested, members, group).where("members > 1")
+    wild = siblings.where("variable").unionByName(merged.drop("members")).select(
         "tree", "host", "parent", "segment", F.col("group").alias("wild")
     )
     found = _to_each(keyed, wild, ["tree", "host", "parent", "segment"], "left")
@@ -241,38 +254,44 @@ def _generalised(rows: DataFrame, level: int) -> DataFrame:
     return found.withColumn("template", template).drop("parent", "segment", "wild")
 
 
-def _smoothed(rows: DataFrame, level: int) -> DataFrame:
-    """``share`` of each row's branch at the level. The share of the branch above counts as
-    ``PRIOR_PAGES``; then come the labels that other hosts have on the same shape up to this
-    level, each host's as so many pages at most; then the branch's own. Shapes of one branch
-    share the others' labels in proportion to their pages."""
-    keyed = rows.withColumns({"branch": _branch(level), "prefix": F.slice("shape", 1, level)})
-    own = keyed.groupBy("tree", "host", "branch", "prefix").agg(
-        *[F.sum(c).alias(c) for c in ("pages", "labelled", "blocked")],
-        F.max("share").alias("above"),
+def _smoothed(rows: DataFrame, depth: int, base: Column) -> DataFrame:
+    """``share`` of each row's template, from the root (``base``) down. At each level the share
+    of the branch above counts as ``PRIOR_PAGES``; then come the labels that other hosts have on
+    the same shape up to this level, each host's as so many pages at most; then the branch's
+    own. Shapes of one branch share the others' labels in proportion to their pages.
+
+    What a branch needs but the share above it is summed for all levels together; each row
+    then has one entry per level and works down its own path."""
+    keyed = rows.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(depth)))).withColumns({
+        "branch": _branch(F.col("level")), "prefix": F.slice("shape", F.lit(1), F.col("level"))
+    })
+    own = keyed.groupBy("tree", "level", "host", "branch", "prefix").agg(
+        *[F.sum(c).alias(c) for c in ("pages", "labelled", "blocked")]
     ).withColumn("told", F.least(F.col("labelled"), F.lit(PRIOR_PAGES)))
     own = own.withColumn(
         "bad", F.when(F.col("labelled") > 0, F.col("told") * F.col("blocked") / F.col("labelled"))
         .otherwise(F.lit(0.0))
     )
-    everywhere = own.groupBy("tree", "prefix").agg(
+    everywhere = own.groupBy("tree", "level", "prefix").agg(
         F.sum("told").alias("all_told"), F.sum("bad").alias("all_bad")
     )
-    weighed = _to_each(own, everywhere, ["tree", "prefix"])
-    branches = weighed.groupBy("tree", "host", "branch").agg(
-        F.sum("blocked").alias("b"), F.sum("labelled").alias("l"), F.max("above").alias("above"),
+    branch = ["tree", "level", "host", "branch"]
+    branches = _to_each(own, everywhere, ["tree", "level", "prefix"]).groupBy(*branch).agg(
+        F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled"),
         *[
             (F.sum(F.col("pages") * (F.col(f"all_{c}") - F.col(c))) / F.sum("pages")).alias(c)
             for c in ("told", "bad")
         ],
+    ).select(*branch, F.struct("level", "blocked", "labelled", "told", "bad").alias("step"))
+
+    def below(above: Column, step: Column) -> Column:
+        prior = (step["bad"] + PRIOR_PAGES * above) / (step["told"] + PRIOR_PAGES)
+        return F.round((step["blocked"] + PRIOR_PAGES * prior) / (step["labelled"] + PRIOR_PAGES), 9)
+
+    steps = _to_each(keyed.drop("prefix"), branches, branch).groupBy(*rows.columns).agg(
+        F.array_sort(F.collect_list("step")).alias("steps")
     )
-    prior = (F.col("bad") + PRIOR_PAGES * F.col("above")) / (F.col("told") + PRIOR_PAGES)
-    share = (F.col("b") + PRIOR_PAGES * prior) / (F.col("l") + PRIOR_PAGES)
-    return _to_each(
-        keyed.drop("share", "prefix"),
-        branches.select("tree", "host", "branch", F.round(share, 9).alias("share")),
-        ["tree", "host", "branch"],
-    ).drop("branch")
+    return steps.withColumn("share", F.aggregate("steps", base, below)).drop("steps")
 
 
 def filtered(pages: DataFrame, rules: list[Rule]) -> DataFrame:
