@@ -611,23 +611,35 @@ ORACLES["stockout_alerts"] = f"""WITH {INVENTORY}
 SELECT product_id, warehouse_id, count(*) AS stockout_count FROM inventory
 WHERE stock_level <= 0 GROUP BY product_id, warehouse_id"""
 
-ORACLES["operations_mart"] = f"""WITH {POS},{INVENTORY},{turnover()},
+
+def operations_mart(day: str = "TRUE", stock_day: str = "TRUE") -> str:
+    return f"""WITH {POS},{INVENTORY},{turnover(day, stock_day)},
 state AS (
   SELECT product_id, count(*) FILTER (stock_level <= restock_threshold) AS low,
     count(*) FILTER (stock_level <= 0) AS gone
-  FROM inventory GROUP BY product_id)
+  FROM inventory WHERE {stock_day} GROUP BY product_id)
 SELECT product_id, {number('inventory_turnover', 'inventory_turnover')},
   coalesce(low, 0) AS restock_count,
   CASE WHEN gone > 0 THEN 'HIGH' WHEN low > 0 THEN 'MEDIUM' ELSE 'LOW' END AS stockout_risk,
   '1998-06-15' AS date
 FROM turned FULL JOIN state USING (product_id)"""
 
-ORACLES["mart_roundtrip_operations"] = (
-    ORACLES["operations_mart"]
-    .replace(number("inventory_turnover", "inventory_turnover"), number(
-        "CAST(CAST(inventory_turnover AS VARCHAR) AS DECIMAL(10, 2))", "inventory_turnover"))
-    .replace("coalesce(low, 0) AS", "CAST(coalesce(low, 0) AS INTEGER) AS")
-)
+
+def stored_operations(sql: str) -> str:
+    return sql.replace(
+        number("inventory_turnover", "inventory_turnover"),
+        number("CAST(CAST(inventory_turnover AS VARCHAR) AS DECIMAL(10, 2))", "inventory_turnover"),
+    ).replace("coalesce(low, 0) AS", "CAST(coalesce(low, 0) AS INTEGER) AS")
+
+
+ORACLES["operations_mart"] = operations_mart()
+ORACLES["mart_roundtrip_operations"] = stored_operations(ORACLES["operations_mart"])
+SOLD_THEN, COUNTED_THEN = "date = DATE '1998-06-15'", "CAST(last_updated AS DATE) = DATE '1998-06-15'"
+ORACLES["job_operations_mart"] = f"""
+SELECT *, 'counted' AS stock FROM ({stored_operations(operations_mart(SOLD_THEN, COUNTED_THEN))}) AS c
+UNION ALL
+SELECT *, 'missing' AS stock FROM ({stored_operations(operations_mart(SOLD_THEN, "FALSE"))}) AS m"""
+ORACLES["job_sales_mart"] = ORACLES["sales_mart_month"]
 
 # --- streams -----------------------------------------------------------------------
 

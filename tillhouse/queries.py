@@ -364,6 +364,39 @@ def job_marketing_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_mart(spark, lake.mart(S.MARKETING_MART), S.MARKETING_MART)
 
 
+@query
+def job_sales_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales mart that the job of a month publishes, from silver tables filled by jobs."""
+    lake = jobs.Lake(working_folder(spark, "lake"))
+    sold, counted = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    jobs.refresh_silver(spark, lake, feeds.pos_feed(sold), silver.POS, SALES_DATE)
+    jobs.refresh_silver(spark, lake, feeds.inventory_feed(counted), silver.INVENTORY, SALES_DATE)
+    jobs.refresh_sales(spark, lake, SALES_DATE, SALES_MONTH, SALES_MONTH)
+    return read_mart(spark, lake.mart(S.SALES_MART), S.SALES_MART)
+
+
+@query
+def job_operations_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operations mart that the job of a day publishes (``stock`` counted), and the one of
+    a lake whose stock counts never came, where the silver table is an empty typed frame. The
+    sales of both are filled by jobs."""
+    sold, counted = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    lake = jobs.Lake(working_folder(spark, "lake"))
+    jobs.refresh_silver(spark, lake, feeds.pos_feed(sold), silver.POS, SALES_DATE)
+    marts = []
+    for stock in ("missing", "counted"):
+        if stock == "counted":
+            jobs.refresh_silver(
+                spark, lake, feeds.inventory_feed(counted), silver.INVENTORY, SALES_DATE
+            )
+        jobs.refresh_operations(spark, lake, SALES_DATE)
+        found = read_mart(spark, lake.mart(S.OPERATIONS_MART), S.OPERATIONS_MART)
+        folder = working_folder(spark, "mart")
+        found.withColumn("stock", F.lit(stock)).write.parquet(folder)
+        marts.append(spark.read.parquet(folder))
+    return marts[0].unionByName(marts[1])
+
+
 # --- gold --------------------------------------------------------------------------
 
 
