@@ -253,6 +253,17 @@ def test_arrival_is_in_utc(spark, rows):
     assert rows(stamped) == [("2024-05-08 23:30:00", 8, 23)]
 
 
+def test_landing_is_written_by_the_tasks_that_scan(spark, folder, rows):
+    path, before = f"{folder}/bronze", spark.conf.get(landing.WRITERS)
+    values = spark.range(0, 4000, 1, 4).selectExpr("id", "IF(id < 3000, 'a', NULL) AS source_file")
+    landing.land(spark, values, path, DAY, hourly=False)
+    day = Path(f"{path}/year=2024/month=5/day=8")
+    assert len(list(day.glob("source_file=a/*.parquet"))) == 3
+    assert spark.read.parquet(path).where("source_file IS NULL").count() == 1000
+    assert spark.read.parquet(path).selectExpr("sum(id)").first()[0] == 3999 * 2000
+    assert spark.conf.get(landing.WRITERS) == before
+
+
 def test_landing_of_nothing_creates_nothing(spark, folder):
     empty = spark.createDataFrame([], "value int, source_file string")
     landing.land(spark, empty, f"{folder}/bronze", DAY, hourly=False)
