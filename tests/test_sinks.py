@@ -229,6 +229,40 @@ def test_catalog_table_finds_new_partitions(spark, folder):
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_upsert_joins_and_looks_up_only_where_rows_may_be_replaced(
+    spark, folder, rows, monkeypatch
+):
+    path = f"{folder}/inventory"
+
+    def dies(*_):
+        raise AssertionError("needless")
+
+    with monkeypatch.context() as needless:
+        for module, name in ((sink, "merge_frames"), (key_index, "whereabouts")):
+            needless.setattr(module, name, dies)
+        sink.upsert(spark, path, stock(spark, (1, 5, DAY), (2, 6, DAY)), INVENTORY)
+    with monkeypatch.context() as needless:
+        needless.setattr(key_index, "whereabouts", dies)
+        sink.upsert(spark, path, stock(spark, (1, 7, DAY), (3, 8, NEXT)), INVENTORY)
+    assert stored(spark, path, rows) == [(1, 7, 8), (2, 6, 8), (3, 8, 9)]
+    with monkeypatch.context() as needless:
+        needless.setattr(sink, "merge_frames", dies)
+        sink.upsert(spark, path, stock(spark, (4, 1, LATER)), INVENTORY)
+    sink.upsert(spark, path, stock(spark, (1, 9, LATER)), INVENTORY)
+    assert stored(spark, path, rows) == [(1, 9, 10), (2, 6, 8), (3, 8, 9), (4, 1, 10)]
+
+
+def test_unique_updates_are_not_deduplicated_again(spark, folder, rows, monkeypatch):
+    monkeypatch.setattr(sink, "keep_newest", None)
+    path, updates = f"{folder}/inventory", f"{folder}/updates"
+    sink.upsert(spark, path, stock(spark, (1, 5, DAY), (None, 6, DAY)), INVENTORY, unique=True)
+    stock(spark, (1, 7, NEXT), (2, 8, NEXT)).write.parquet(updates)
+    written = spark.read.schema(S.SILVER_INVENTORY).parquet(updates)
+    sink.upsert(spark, path, written, INVENTORY, unique=True, stored=True)
+    assert stored(spark, path, rows) == [(1, 7, 9), (2, 8, 9)]
+    assert written.count() == 2
+
+
 def test_landing_replaces_files_of_the_same_name(spark, folder, rows):
     path = f"{folder}/bronze"
 

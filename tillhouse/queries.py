@@ -321,7 +321,7 @@ def merge_pos_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folder = working_folder(spark, "silver-sales")
     for delivery in (sold, moved):
-        upsert(spark, folder, silver.silver_pos(delivery), silver.POS)
+        upsert(spark, folder, silver.silver_pos(delivery), silver.POS, unique=True)
     return tables.read_table(spark, folder, S.SILVER_POS)
 
 

@@ -53,8 +53,8 @@ def _listed(df: DataFrame, partitions: Sequence[str]) -> set[str]:
 
     These reach the driver as Spark's own file listing does, one entry per folder.
     """
-    rows = df.select(_folder(partitions).alias("folder")).distinct().collect()
-    return {row.folder for row in rows}
+    days = df.select(*partitions).distinct()  # first, so that a name is made per folder, not per row
+    return {row.folder for row in days.select(_folder(partitions).alias("folder")).collect()}
 
 
 def replace_partitions(
@@ -82,13 +82,24 @@ def _indexes(table: SilverTable) -> dict[str, tuple[str, ...]]:
     return kept | ({key_index.OWNERS: (table.owner,)} if table.owner else {})
 
 
-def upsert(spark: SparkSession, path: str, updates: DataFrame, table: SilverTable) -> None:
+def upsert(
+    spark: SparkSession,
+    path: str,
+    updates: DataFrame,
+    table: SilverTable,
+    unique: bool = False,
+    stored: bool = False,
+) -> None:
     """Create the table, or update matched and add unmatched rows.
 
     Updates without a complete key are left out (``silver.keyless`` selects them for
     quarantine). Only partitions that receive an update, or that hold the old version
     of an updated row, are read and rewritten: the index tells which hold one. Errors are
     raised and the table stays.
+
+    The updates are brought to one row per key and stored, as they are read several times.
+    A caller who knows that a complete key comes once says ``unique``; one whose updates are
+    a projection of stored rows, ``stored``.
     """
     if not _same_columns(updates.schema, table.schema):
         raise ValueError(f"updates for {table.name} have columns {updates.schema.simpleString()}")
@@ -96,23 +107,29 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, table: SilverTabl
     for kind, columns in indexes.items():
         key_index.catch_up(spark, path, table.schema, columns, kind)
     staged = working_folder(spark, f"updates-{table.name}")
-    keyed = keep_newest(
-        with_complete_key(updates, table.keys), table.keys, table.time_column
-    )
-    keyed.write.parquet(staged)
-    changes = spark.read.schema(table.schema).parquet(staged)
+    changes = with_complete_key(updates, table.keys)
+    if not unique:
+        changes = keep_newest(changes, table.keys, table.time_column)
+    if not stored:
+        changes.write.parquet(staged)
+        changes = spark.read.schema(table.schema).parquet(staged)
     touched = _listed(changes, table.partitions)
     if touched:
-        if key_index.KEYS in indexes:
+        held = set(versions.current(spark, path))
+        if key_index.KEYS in indexes and held - touched:
             found = key_index.whereabouts(spark, path, changes, table.schema, table.keys)
             touched |= {row.folder for row in found.select("folder").distinct().collect()}
-        affected = versions.read(spark, path, table.schema, only=touched)
-        merged = merge_frames(affected, changes, table.keys).select(*table.schema.names)
+        merged = changes
+        if held & touched:
+            affected = versions.read(spark, path, table.schema, only=touched)
+            merged = merge_frames(affected, changes, table.keys)
+        merged = merged.select(*table.schema.names)
         number = replace_partitions(spark, path, merged, table.partitions, touched)
         placed = changes.withColumn("folder", _folder(table.partitions))
         for kind, columns in indexes.items():
             key_index.append(spark, path, placed, table.schema, columns, number, kind)
-    folders.remove(spark, staged)
+    if not stored:
+        folders.remove(spark, staged)
 
 
 def remove_rows(
