@@ -49,6 +49,30 @@ def test_marts_hold_one_run(spark, lake):
     ]
 
 
+def test_rows_that_keep_their_keys_are_deduplicated_and_stored_once(
+    spark, folder, rows, monkeypatch
+):
+    monkeypatch.setattr(sink, "keep_newest", None)
+    lake = jobs.Lake(folder)
+    for sold in ([("a", 1, 1, 2, 10.0, None, NOON), ("a", 1, 1, 3, 9.0, None, NOON + 60),
+                  ("b", 1, 1, -2, 1.0, None, NOON)], [("b", 1, 1, 4, 1.0, None, NOON)]):
+        jobs.refresh_silver(spark, lake, spark.createDataFrame(sold, S.BRONZE_POS), POS, DATE)
+    kept = jobs.read_silver(spark, lake, POS)
+    assert rows(kept, "transaction_id", "quantity") == [("a", 3), ("b", 4)]
+
+
+def test_keys_that_typing_makes_one_are_deduplicated_once_more(spark, folder, rows):
+    counts = spark.createDataFrame(
+        [("1", 1, 1, 4, 5, NOON), ("01", 1, 1, 6, 5, NOON + 60), ("2", 1, 1, 7, 5, NOON)],
+        "inventory_id string, product_id bigint, warehouse_id int, stock_level int, "
+        "restock_threshold int, last_updated bigint",
+    )
+    lake = jobs.Lake(folder)
+    jobs.refresh_silver(spark, lake, counts, INVENTORY, DATE)
+    kept = jobs.read_silver(spark, lake, INVENTORY)
+    assert rows(kept, "inventory_id", "stock_level") == [(1, 6), (2, 7)]
+
+
 def test_refused_rows_lie_outside_the_tables(spark, lake):
     def reasons(table):
         found = jobs.read_rejects(spark, lake, table).where("year = 2024 AND day = 8")

@@ -22,6 +22,7 @@ from tillhouse.plans.silver import (
     POS,
     WTL,
     SilverTable,
+    keeps_keys,
     keyed,
     keyless,
     project,
@@ -75,13 +76,16 @@ def refresh_silver(
     hour or batch) stay. Accepted rows, refused rows and copies together are the input.
 
     The deduplicated rows are stored once in the working folder, since two consumers read
-    them: the upsert and the refused rows.
+    them: the upsert and the refused rows. Where typing may make two keys one, the upsert
+    deduplicates once more.
     """
     require_columns(bronze, table.keys)
     folder = working_folder(spark, f"survivors-{table.name}")
     survivors(keyed(bronze, table), table).write.parquet(folder)
     rows = spark.read.parquet(folder)
-    upsert(spark, lake.silver(table), project(passing(rows, table.checks()), table), table)
+    good = project(passing(rows, table.checks()), table)
+    as_stored = keeps_keys(bronze, table)
+    upsert(spark, lake.silver(table), good, table, unique=as_stored, stored=as_stored)
     (
         failing(rows, table.checks())
         .unionByName(keyless(bronze, table))

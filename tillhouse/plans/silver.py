@@ -40,7 +40,8 @@ class SilverTable:
 
     ``key_fixes_partition`` is true where the partition columns are computed from the
     key, so that a changed row stays in its partition and an upsert need not look for
-    it elsewhere. ``owner`` is the person whose rows the table holds.
+    it elsewhere. ``key_as_sent`` is true where the key's columns are those of the feed, save
+    for a cast. ``owner`` is the person whose rows the table holds.
     """
 
     name: str
@@ -52,6 +53,7 @@ class SilverTable:
     checks: Callable[[], dict[str, Column]]
     columns: Callable[[], dict[str, Column]]
     key_fixes_partition: bool = False
+    key_as_sent: bool = False
     owner: str | None = None
 
 
@@ -154,11 +156,11 @@ def _wtl_columns() -> dict[str, Column]:
 
 POS = SilverTable(
     "pos", S.BRONZE_POS, S.SILVER_POS, ("transaction_id",), "timestamp", DAILY,
-    _pos_checks, _pos_columns,
+    _pos_checks, _pos_columns, key_as_sent=True,
 )
 INVENTORY = SilverTable(
     "inventory", S.BRONZE_INVENTORY, S.SILVER_INVENTORY, ("inventory_id",),
-    "last_updated", DAILY, _inventory_checks, _inventory_columns,
+    "last_updated", DAILY, _inventory_checks, _inventory_columns, key_as_sent=True,
 )
 CRM = SilverTable(
     "customer_interaction", S.BRONZE_CRM, S.SILVER_CRM, ("customer_id", "timestamp"),
@@ -213,6 +215,14 @@ def keyed(rows: DataFrame, table: SilverTable) -> DataFrame:
     return rows.where(reduce(and_, [typed[key].isNotNull() for key in table.keys]))
 
 
+def keeps_keys(bronze: DataFrame, table: SilverTable) -> bool:
+    """Typing changes no key, so that one row per raw key is one row per typed key."""
+    types = {field.name.lower(): field.dataType for field in bronze.schema}
+    return table.key_as_sent and all(
+        types[key.lower()] == table.schema[key].dataType for key in table.keys
+    )
+
+
 def silver_pos(bronze: DataFrame) -> DataFrame:
     """Sales: one row per transaction, non-negative quantity and revenue."""
     return refine(bronze, POS)
